@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .errors import OptionError
 from .functions.types import split_keys, stream_columns, table_schema
 from .operators.sink import insert_batch
 from .options import resolve
 from .sources.tables import TableStore, check_schema, new_spec
-from .streaming.stream import EpochWriter, insert_stream
+from .streaming.stream import EpochWriter, insert_stream, writer_of
 
 
 def insert(df: DataFrame, table: str | None = None, **options):
@@ -54,3 +55,12 @@ def read_log(spark: SparkSession, table: str | None = None, *, database: str | N
              path: str | None = None) -> DataFrame:
     """The write log of every insert, one row per batch."""
     return TableStore(spark, table=table, database=database, path=path).log()
+
+
+def forget(spark: SparkSession, table: str | None = None, *, database: str | None = None,
+           path: str | None = None, writer: str | None = None, checkpoint: str | None = None) -> None:
+    """Back to the initial state: drop what one writer, or the stream of a checkpoint, wrote."""
+    if bool(writer) == bool(checkpoint):
+        raise OptionError("name either the writer or the checkpoint of the stream")
+    store = TableStore(spark, table=table, database=database, path=path)
+    store.forget_writer(writer or writer_of(checkpoint))

@@ -37,7 +37,7 @@ def order_names(order_by: list[str]) -> list[str]:
 
 
 def with_batch_numbers(numbered: DataFrame, batch_size: int) -> DataFrame:
-    return numbered.withColumn(BATCH, F.floor(F.col(SEQ) / batch_size).cast("bigint"))
+    return numbered.withColumn(BATCH, F.expr(f"{SEQ} div {batch_size}"))
 
 
 def summarise_batches(numbered: DataFrame, order: list[str]) -> DataFrame:
@@ -86,8 +86,8 @@ def batches_from_counts(sized: DataFrame, batch_size: int) -> DataFrame:
     batches of a whole channel.
     """
     parts = partition_offsets(sized, [CHANNEL])
-    first = F.ceil(F.col("offset") / batch_size).cast("bigint")
-    last = F.floor((F.col("offset") + F.col("cnt") - 1) / batch_size).cast("bigint")
+    first = F.expr(f"(offset + {batch_size - 1}) div {batch_size}")
+    last = F.expr(f"(offset + cnt - 1) div {batch_size}")
     started = parts.where(first <= last).select(
         CHANNEL, GROUP_ROWS, F.explode(F.sequence(first, last)).alias(BATCH))
     return started.select(

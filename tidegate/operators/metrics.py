@@ -65,15 +65,15 @@ def insert_times_running(durations: DataFrame, channel: str = "channel", seq: st
         F.least(F.min("duration").over(inside), F.col("min_before")).alias("t_min"),
         F.greatest(F.max("duration").over(inside), F.col("max_before")).alias("t_max"))
 
-    block = F.floor(F.col(SEQ) / AVERAGE_SPAN).cast("bigint")
+    block = F.expr(f"{SEQ} div {AVERAGE_SPAN}")
     blocked = running.select("*", F.posexplode(F.array(block, block + 1)).alias("_older", "_block"))
     in_block = Window.partitionBy("channel", "_block").orderBy(SEQ)
     spanned = blocked.withColumn(
         "_left", F.coalesce(F.lag("total", AVERAGE_SPAN).over(in_block), F.lit(0)))
     n_averaged = F.least(F.col(SEQ), F.lit(AVERAGE_SPAN))
     average = F.when(F.col(SEQ) == 0, F.col("duration")).otherwise(
-        F.floor((F.col("total") - F.col("_left")) / n_averaged).cast("bigint"))
-    return spanned.where("_older = 0").select(
+        F.expr("(total - _left) div _averaged"))
+    return spanned.where("_older = 0").withColumn("_averaged", n_averaged).select(
         "channel", "seq", "t_min", "t_max", average.alias("t_avg"))
 
 
@@ -88,5 +88,4 @@ def insert_times_final(durations: DataFrame, channel: str = "channel", seq: str
         F.count(F.when(averaged, 1)).alias("n"))
     return totals.select(
         "channel", "t_min", "t_max",
-        F.when(F.col("n") == 0, F.col("t_max"))
-        .otherwise(F.floor(F.col("total") / F.col("n")).cast("bigint")).alias("t_avg"))
+        F.when(F.col("n") == 0, F.col("t_max")).otherwise(F.expr("total div n")).alias("t_avg"))

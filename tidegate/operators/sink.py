@@ -175,7 +175,7 @@ def insert_epoch(df: DataFrame, plan: InsertPlan, store: TableStore, writer: str
     """Write one epoch; running it again with the same rows replaces it."""
     started = time.monotonic()
     done = Epoch(writer, epoch)
-    if plan.bad is None and not plan.options.track_batches:
+    if not plan.options.track_batches and _nothing_to_reject(df, plan, evaluate_once):
         _insert_all(df, plan, store, done, scratch, started)
         return done
 
@@ -201,6 +201,20 @@ def insert_epoch(df: DataFrame, plan: InsertPlan, store: TableStore, writer: str
     return done
 
 
+def _nothing_to_reject(df: DataFrame, plan: InsertPlan, evaluate_once: bool) -> bool:
+    """Whether the verdict can be skipped.
+
+    Without an order a verdict needs a copy of the rows, so it pays to look for a bad
+    row first: the scan reads the tested columns only and stops at the first hit, and
+    NULL tests are answered from file statistics.
+    """
+    if plan.bad is None:
+        return True
+    if evaluate_once or plan.options.order_columns:
+        return False
+    return df.where(plan.bad).select(F.lit(1)).isEmpty()
+
+
 def _helpers(plan: InsertPlan) -> list[Column]:
     order = plan.options.order_columns
     bad = F.lit(False) if plan.bad is None else plan.bad
@@ -292,19 +306,23 @@ def _key_straddles(verdict: Verdict, order: list[str]) -> bool:
     return not shared.isEmpty()
 
 
-def _write_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch) -> None:
+def table_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch) -> DataFrame:
+    """What is written for the accepted rows: converted, laid out, with helper columns."""
     order = tuple(order_names(plan.options.order_columns))
-    table_rows = conform(rows, plan.columns, (CHANNEL, *order))
+    converted = conform(rows, plan.columns, (CHANNEL, *order))
     if plan.options.dedupe_on_key:
         keys = list(plan.spec.primary_key)
-        table_rows = first_per_key(table_rows, keys, list(order))
-        table_rows = without_stored_keys(table_rows, store.stored_rows(), keys,
-                                         done.writer, done.epoch)
-    table_rows = lay_out(table_rows.drop(*order), plan.spec)
-    table_rows = table_rows.select(*map(quoted, plan.spec.schema.fieldNames()), CHANNEL,
-                                   F.spark_partition_id().alias(PART), SHARD)
+        converted = first_per_key(converted, keys, list(order))
+        converted = without_stored_keys(converted, store.stored_rows(), keys,
+                                        done.writer, done.epoch)
+    laid_out = lay_out(converted.drop(*order), plan.spec)
+    return laid_out.select(*map(quoted, plan.spec.schema.fieldNames()), CHANNEL,
+                           F.spark_partition_id().alias(PART), SHARD)
+
+
+def _write_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch) -> None:
     try:
-        store.write_epoch("rows", table_rows, done.writer, done.epoch)
+        store.write_epoch("rows", table_rows(rows, plan, store, done), done.writer, done.epoch)
     except Exception as e:
         if plan.options.on_failure == "fail":
             raise
@@ -357,15 +375,11 @@ class InsertResult:
         self.plan, self.store, self.writer, self.epoch = plan, store, writer, epoch
         self.outcome, self.query, self._scratch = outcome, query, scratch
 
-    def _own(self, df: DataFrame) -> DataFrame:
-        own = F.col(WRITER) == self.writer
-        return df.where(own if self.epoch is None else own & (F.col(EPOCH) == self.epoch))
-
     @property
     def rows(self) -> DataFrame:
         """Accepted rows of this insert, as stored."""
         names = self.plan.spec.schema.fieldNames()
-        return self._own(self.store.stored_rows()).select(*map(quoted, names))
+        return self.store.stored_rows(self.writer, self.epoch).select(*map(quoted, names))
 
     @property
     def results(self) -> DataFrame:
@@ -373,7 +387,7 @@ class InsertResult:
         if not self.plan.options.results:
             raise IngestError("this insert was asked for no results")
         fields = self.plan.input_schema.fields
-        kept = self._own(self.store.results(self.plan.input_schema))
+        kept = self.store.results(self.plan.input_schema, self.writer, self.epoch)
         kept = kept.select(*[quoted(f.name) for f in fields], INSERTED)
         if self.plan.stores_all_results:
             return kept
@@ -384,7 +398,7 @@ class InsertResult:
     @property
     def log(self) -> DataFrame:
         """One row per batch."""
-        return self._own(self.store.log())
+        return self.store.log(self.writer, self.epoch)
 
     @property
     def assignments(self) -> DataFrame:

@@ -113,7 +113,7 @@ class TableStore:
 
     def create(self, spec: TableSpec) -> None:
         if self.path:
-            (self.spark.createDataFrame([(spec.to_json(),)], "value string").coalesce(1)
+            (self.spark.range(1).select(F.lit(spec.to_json()).alias("value")).coalesce(1)
              .write.mode("overwrite").text(f"{self.path}/spec"))
             return
         self._create_catalog_table("rows", T.StructType(spec.schema.fields + HIDDEN.fields), spec)
@@ -177,6 +177,16 @@ class TableStore:
             self.spark.sql(f"ALTER TABLE {self._catalog(kind)} DROP IF EXISTS "
                            f"PARTITION ({WRITER} = '{writer}', {EPOCH} = {epoch})")
 
+    def forget_writer(self, writer: str) -> None:
+        """Drop every epoch of a writer: its rows, results and log."""
+        for kind in ("log", "results", "rows"):
+            folder = f"{self.location(kind)}/{WRITER}={writer}"
+            known = storage.children(self.spark, folder)
+            storage.remove(self.spark, folder)
+            if self.name and kind != "results" and known:
+                self.spark.sql(f"ALTER TABLE {self._catalog(kind)} DROP IF EXISTS "
+                               f"PARTITION ({WRITER} = '{writer}')")
+
     def _register(self, kind: str, writer: str, epoch: int) -> None:
         if self.name and kind != "results":
             self.spark.sql(f"ALTER TABLE {self._catalog(kind)} ADD IF NOT EXISTS "
@@ -185,18 +195,32 @@ class TableStore:
 
     # -- reading -----------------------------------------------------------------
 
-    def _read(self, kind: str, schema: T.StructType) -> DataFrame:
+    def _read(self, kind: str, schema: T.StructType, writer: str | None,
+              epoch: int | None) -> DataFrame:
+        """One of the three datasets; only the folders of the writer and epoch are listed."""
         full = T.StructType(schema.fields + ADDRESS.fields)
-        location = self.location(kind)
-        if not storage.exists(self.spark, location):
-            return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).parquet(location)
-
-    def stored_rows(self) -> DataFrame:
+        base = folder = self.location(kind)
+        if writer is not None:
+            folder = f"{base}/{WRITER}={writer}"
+        if epoch is not None:
+            folder = self.epoch_path(kind, writer, epoch)
+        if not storage.exists(self.spark, folder):
+            return self.spark.range(0).select(
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in full.fields])
+        return self.spark.read.schema(full).option("basePath", base).parquet(folder)
+
+    def _read_catalog(self, kind: str, writer: str | None, epoch: int | None) -> DataFrame:
+        df = self.spark.table(self._catalog(kind))
+        if writer is not None:
+            df = df.where(F.col(WRITER) == writer)
+        return df if epoch is None else df.where(F.col(EPOCH) == epoch)
+
+    def stored_rows(self, writer: str | None = None, epoch: int | None = None) -> DataFrame:
         """Accepted rows with the helper and address columns."""
         if self.name:
-            return self.spark.table(self._catalog("rows"))
-        return self._read("rows", T.StructType(self.spec().schema.fields + HIDDEN.fields))
+            return self._read_catalog("rows", writer, epoch)
+        fields = self.spec().schema.fields + HIDDEN.fields
+        return self._read("rows", T.StructType(fields), writer, epoch)
 
     def rows(self, committed_only: bool = False) -> DataFrame:
         """The user-facing table."""
@@ -206,16 +230,22 @@ class TableStore:
             stored = stored.join(complete, [WRITER, EPOCH], "left_semi")
         return stored.select(*[F.col(f"`{n}`") for n in self.spec().schema.fieldNames()])
 
-    def log(self) -> DataFrame:
+    def log(self, writer: str | None = None, epoch: int | None = None) -> DataFrame:
         if self.name:
-            return self.spark.table(self._catalog("log"))
-        return self._read("log", LOG_SCHEMA)
+            return self._read_catalog("log", writer, epoch)
+        return self._read("log", LOG_SCHEMA, writer, epoch)
 
-    def results(self, input_schema: T.StructType) -> DataFrame:
+    def results(self, input_schema: T.StructType, writer: str, epoch: int | None) -> DataFrame:
         fields = [*input_schema.fields, T.StructField(INSERTED, T.BooleanType())]
-        return self._read("results", T.StructType(fields))
+        return self._read("results", T.StructType(fields), writer, epoch)
 
     def next_epoch(self, writer: str) -> int:
         """One past the last complete epoch; an unfinished one is run again."""
-        last = self.log().where(F.col(WRITER) == writer).agg(F.max(EPOCH)).first()[0]
-        return 0 if last is None else last + 1
+        folder = f"{self.location('log')}/{WRITER}={writer}"
+        epochs = [int(name.partition("=")[2]) for name in storage.children(self.spark, folder)
+                  if name.startswith(f"{EPOCH}=")]
+        for epoch in sorted(epochs, reverse=True):
+            written = storage.children(self.spark, f"{folder}/{EPOCH}={epoch}")
+            if any(not name.startswith("_temporary") for name in written):
+                return epoch + 1
+        return 0

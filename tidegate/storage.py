@@ -54,3 +54,11 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _file_system(spark, path)
     if fs.exists(hadoop_path):
         fs.delete(hadoop_path, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder, none if it is missing."""
+    hadoop_path, fs = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
