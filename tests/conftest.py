@@ -14,6 +14,8 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("tidegate-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        # Keep every shuffle partition, however small, so that groups do span partitions.
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.session.timeZone", "UTC")
