@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("tidegate-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         # Keep every shuffle partition, however small, so that groups do span partitions.
         .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.ui.enabled", "false")

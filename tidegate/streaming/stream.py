@@ -43,6 +43,8 @@ class EpochWriter:
 
     def __init__(self, df: DataFrame, options: InsertOptions):
         spark = df.sparkSession
+        if not (options.writer or options.checkpoint):
+            raise OptionError("a streaming insert needs a checkpoint location")
         self.writer = options.writer or writer_of(options.checkpoint)
         self.store = TableStore(spark, table=options.table, database=options.database,
                                 path=options.path)
