@@ -78,6 +78,14 @@ def test_timestamp_precision(spark, tmp_path, kind):
     assert (micro.microsecond, milli.microsecond) == (123456, 123000)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_timestamp_precision_inside_a_list(spark, target, kind):
+    df = spark.sql(f"select array(cast('2024-01-01 00:00:00.987654' as {kind})) t")
+    done = stored(df, target, f"list<{kind}> t", timestamp_precision="ms")
+    assert done.rows.first().t[0].microsecond == 987000
+    assert done.results.first().t[0].microsecond == 987654
+
+
 def test_nullable_collections(spark, target):
     df = spark.createDataFrame([(1, None), (2, [1, None])], "id int, l array<int>")
     rows = {r.id: r.l for r in stored(df, target, "int32 id, optional<list<int32>> l").rows.collect()}

@@ -32,7 +32,7 @@ def planned(df, path, **options):
 
 def test_rows_are_written_without_a_shuffle(events, target):
     plan, store = planned(events, target, order_by="event_id", channels="user_id % 3")
-    rows = events.select("*", *sink._helpers(plan))
+    rows = sink.with_helpers(events, plan)
     text = explained(sink.table_rows(rows, plan, store, sink.Epoch("batch", 0)))
     assert "Exchange" not in text and "Window" not in text and "Python" not in text
     assert "WholeStageCodegen" in text or "[codegen id" in text
@@ -40,7 +40,7 @@ def test_rows_are_written_without_a_shuffle(events, target):
 
 def test_sharded_rows_are_rebalanced_once(events, target):
     plan, store = planned(events, target, partitioning_key="user_id", shards=4)
-    rows = events.select("*", *sink._helpers(plan))
+    rows = sink.with_helpers(events, plan)
     text = explained(sink.table_rows(rows, plan, store, sink.Epoch("batch", 0)))
     assert text.count("REBALANCE_PARTITIONS_BY_COL") >= 1 and "Window" not in text
 
@@ -48,7 +48,7 @@ def test_sharded_rows_are_rebalanced_once(events, target):
 def test_verdict_reads_and_moves_the_tested_columns_only(events, target, spark):
     plan, _ = planned(events, target, order_by="event_id", channels="user_id % 3",
                       reject_when="value > 250", batch_size=50)
-    narrow = events.select(*sink._helpers(plan))
+    narrow = sink.with_helpers(events, plan).select("_channel", "_bad", "_o0")
     text = explained(narrow.repartitionByRange("_channel", "_o0"))
     scan = [line for line in text.splitlines() if line.startswith("ReadSchema")]
     assert scan == ["ReadSchema: struct<event_id:bigint,user_id:bigint,value:double>"]
@@ -66,7 +66,7 @@ def test_bad_rows_are_looked_for_in_file_statistics(events, target):
 def test_accepted_rows_join_by_equality(events, target, spark):
     plan, _ = planned(events, target, order_by="event_id", channels="user_id % 3",
                       reject_when="value > 250", batch_size=50)
-    verdict = sink._judge(events, plan, False, f"{target}-scratch")
+    verdict = sink._judge(sink.with_helpers(events, plan), plan, False, f"{target}-scratch")
     text = explained(verdict.accepted())
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert "BroadcastHashJoin LeftAnti" in text

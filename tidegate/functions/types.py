@@ -114,7 +114,7 @@ def parse_schema(text: str) -> list[tuple[str, StreamType]]:
 
 def _primitive_name(dtype: T.DataType) -> str | None:
     # Collations are a property of a string column, not another type.
-    if isinstance(dtype, T.StringType) and type(dtype) is T.StringType:
+    if type(dtype) is T.StringType:
         return "rstring"
     for name, (spark_type, _) in PRIMITIVES.items():
         if spark_type == dtype:

@@ -52,6 +52,7 @@ def without_stored_keys(rows: DataFrame, stored: DataFrame, keys: list[str],
                         writer: str, epoch: int) -> DataFrame:
     """Rows whose key the table does not hold yet, the epoch being written aside."""
     others = (stored.where(~((F.col(WRITER) == writer) & (F.col(EPOCH) == epoch)))
-              .select(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)]))
+              .select(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+              .distinct())
     same = [quoted(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     return rows.join(others, same, "left_anti")

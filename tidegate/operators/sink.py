@@ -3,13 +3,14 @@
 The payload is moved as little as the semantics allow:
 
 * nothing can be rejected: the rows are converted and written in one map-only pass;
-  batches follow from counts, or from a narrow pass over the order columns;
+  batches follow from counts, or from a narrow pass over the stored order columns;
 * rows can be rejected and have an order: only (channel, order columns, verdict) is
   shuffled to find the failed batches; the payload is then filtered by an anti-join
   against the keys of those batches;
-* rows can be rejected and have no order, or must be evaluated once: the rows are
-  written to scratch space as they arrive, which pins their batches, and filtered
-  from there.
+* rows can be rejected and have no order: the rows are written to scratch space as
+  they arrive, which pins their batches, and filtered from there.
+
+An input that may differ when read again is first written to scratch space as it is.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import time
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,9 +130,10 @@ def _bad_row(columns: list[ColumnPlan], spec: TableSpec, reject_when) -> Column
     return reduce(Column.__or__, reasons) if reasons else None
 
 
-def repeats_exactly(df: DataFrame) -> bool:
-    """Whether reading ``df`` twice gives the same rows."""
-    return df._jdf.queryExecution().analyzed().deterministic()
+def repeats_exactly(df: DataFrame, plan: InsertPlan) -> bool:
+    """Whether reading the input twice gives the same rows, channels, order and verdicts."""
+    rows = with_helpers(df, plan)
+    return rows._jdf.queryExecution().analyzed().deterministic()
 
 
 @dataclass
@@ -175,14 +177,15 @@ def insert_epoch(df: DataFrame, plan: InsertPlan, store: TableStore, writer: str
     """Write one epoch; running it again with the same rows replaces it."""
     started = time.monotonic()
     done = Epoch(writer, epoch)
+    rows = with_helpers(df, plan)
     if not plan.options.track_batches and _nothing_to_reject(df, plan, evaluate_once):
-        _insert_all(df, plan, store, done, scratch, started)
+        batches = _insert_all(rows, plan, store, done, evaluate_once, scratch)
+        _write_log(batches, store, done, started)
         return done
 
-    verdict = _judge(df, plan, evaluate_once, scratch)
+    verdict = _judge(rows, plan, evaluate_once, scratch)
     done.rows_failed, done.batches_failed = verdict.rows_failed, verdict.batches_failed
-    failing = verdict.rows_failed > 0 and plan.options.on_failure == "fail"
-    if failing:
+    if verdict.rows_failed and plan.options.on_failure == "fail":
         _write_results(plan, store, done, None, verdict.rejected())
         store.drop_epoch("rows", writer, epoch)
         raise InsertFailed(
@@ -194,7 +197,6 @@ def insert_epoch(df: DataFrame, plan: InsertPlan, store: TableStore, writer: str
                        verdict.rejected() if verdict.rows_failed else None)
     else:
         _write_results(plan, store, done, None, verdict.rows)
-        done.rows_failed = done.batches_failed = None
     _write_log(verdict.batches, store, done, started)
     if plan.options.track_batches:
         done.assignments = _assignments(verdict, plan, done)
@@ -215,46 +217,52 @@ def _nothing_to_reject(df: DataFrame, plan: InsertPlan, evaluate_once: bool) ->
     return df.where(plan.bad).select(F.lit(1)).isEmpty()
 
 
-def _helpers(plan: InsertPlan) -> list[Column]:
+def with_helpers(df: DataFrame, plan: InsertPlan) -> DataFrame:
+    """The input with its channel, verdict and order columns."""
     order = plan.options.order_columns
     bad = F.lit(False) if plan.bad is None else plan.bad
-    return [plan.channel.alias(CHANNEL), bad.alias(BAD),
-            *[F.expr(o).alias(n) for o, n in zip(order, order_names(order))]]
+    return df.select(*map(quoted, df.columns), plan.channel.alias(CHANNEL), bad.alias(BAD),
+                     *[F.expr(o).alias(n) for o, n in zip(order, order_names(order))])
 
 
-def _insert_all(df: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch, scratch: str,
-                started: float) -> None:
+def _insert_all(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch,
+                evaluate_once: bool, scratch: str) -> DataFrame:
+    """Write every row; the batches are then read off the written rows where possible."""
     order = order_names(plan.options.order_columns)
-    _write_rows(df.select(*map(quoted, df.columns), *_helpers(plan)), plan, store, done)
+    shown = None if plan.options.dedupe_on_key else _stored_order(plan)
+    reads_again = shown is None or (plan.stores_all_results and plan.options.results)
+    if evaluate_once and reads_again:
+        rows, _ = _written(rows, f"{scratch}/input")
+    _write_rows(rows, plan, store, done)
     if done.error is None:
-        accepted = df if plan.stores_all_results else None
-        _write_results(plan, store, done, accepted, None)
-    else:
-        _write_results(plan, store, done, None, df)
-    if order:
-        narrow = df.select(*_helpers(plan))
-        numbered = number_staged(stage(narrow, [CHANNEL], order, f"{scratch}/rows"),
-                                 [CHANNEL], f"{scratch}/offsets")
-        batches = summarise_batches(with_batch_numbers(numbered, plan.batch_size), order)
+        _write_results(plan, store, done, rows, None)
     else:
-        batches = batches_from_counts(_stored_sizes(df, plan, store, done), plan.batch_size)
-    _write_log(batches, store, done, started)
-
-
-def _stored_sizes(df: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch) -> DataFrame:
-    """Rows per channel and writing task; from the written files if they hold every row."""
-    if done.error is None and not plan.options.dedupe_on_key:
-        spark = df.sparkSession
-        path = store.epoch_path("rows", done.writer, done.epoch)
-        return sizes_by_partition(spark.read.schema(f"{CHANNEL} bigint, {PART} int").parquet(path))
-    return sizes_by_partition(
-        df.select(plan.channel.alias(CHANNEL), F.spark_partition_id().alias(PART)))
+        _write_results(plan, store, done, None, rows)
+
+    counted = rows.withColumn(PART, F.spark_partition_id())
+    if shown is not None and done.error is None:
+        counted = store.epoch_rows(done.writer, done.epoch)
+        counted = counted.select(CHANNEL, PART, *[quoted(t).alias(n) for t, n in zip(shown, order)])
+    if not order:
+        return batches_from_counts(sizes_by_partition(counted), plan.batch_size)
+    narrow = counted.select(CHANNEL, F.lit(False).alias(BAD), *order)
+    numbered = number_staged(stage(narrow, [CHANNEL], order, f"{scratch}/rows"),
+                             [CHANNEL], f"{scratch}/offsets")
+    return summarise_batches(with_batch_numbers(numbered, plan.batch_size), order)
+
+
+def _stored_order(plan: InsertPlan) -> list[str] | None:
+    """Table columns that hold the order unchanged, or None if it is not stored."""
+    unchanged = {c.source: c.target for c in plan.columns if c.lossless}
+    order = plan.options.order_columns
+    return [unchanged[o] for o in order] if all(o in unchanged for o in order) else None
 
 
-def _judge(df: DataFrame, plan: InsertPlan, evaluate_once: bool, scratch: str) -> Verdict:
+def _judge(rows: DataFrame, plan: InsertPlan, evaluate_once: bool, scratch: str) -> Verdict:
     order = order_names(plan.options.order_columns)
-    rows = df.select(*map(quoted, df.columns), *_helpers(plan))
-    if order and not evaluate_once:
+    if order:
+        if evaluate_once:
+            rows, _ = _written(rows, f"{scratch}/input")
         verdict = _verdict(rows, rows.select(CHANNEL, BAD, *order), [CHANNEL, *order], plan,
                            f"{scratch}/keys")
         if verdict.failed is None or not _key_straddles(verdict, order):
@@ -265,13 +273,12 @@ def _judge(df: DataFrame, plan: InsertPlan, evaluate_once: bool, scratch: str) -
 
 def _verdict(rows: DataFrame | None, to_number: DataFrame, link: list[str], plan: InsertPlan,
              scratch: str) -> Verdict:
-    spark = to_number.sparkSession
     order = order_names(plan.options.order_columns)
     staged = stage(to_number, [CHANNEL], order, f"{scratch}/rows")
     numbered = with_batch_numbers(
         number_staged(staged, [CHANNEL], f"{scratch}/offsets"), plan.batch_size)
     batches, totals = _written(
-        spark, summarise_batches(numbered, order), f"{scratch}/batches",
+        summarise_batches(numbered, order), f"{scratch}/batches",
         F.sum(F.when(F.col("failed"), F.col("n_rows"))).alias("rows"),
         F.count(F.when(F.col("failed"), 1)).alias("batches"))
     rows_failed, batches_failed = totals.get("rows") or 0, totals.get("batches") or 0
@@ -283,17 +290,18 @@ def _verdict(rows: DataFrame | None, to_number: DataFrame, link: list[str], plan
         else:
             members = failed_batches
         # Written so that the planner sees its size and broadcasts it only when small.
-        failed, _ = _written(spark, members, f"{scratch}/failed")
+        failed, _ = _written(members, f"{scratch}/failed")
     return Verdict(numbered if rows is None else rows, batches, failed, link,
                    rows_failed, batches_failed, numbered)
 
 
-def _written(spark: SparkSession, df: DataFrame, path: str, *observed: Column):
+def _written(df: DataFrame, path: str, *observed: Column):
+    """``df`` read back from where it was written, and the observed totals."""
     if observed:
         seen = Observation()
         df = df.observe(seen, *observed)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get if observed else {}
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get if observed else {}
 
 
 def _key_straddles(verdict: Verdict, order: list[str]) -> bool:
@@ -466,7 +474,7 @@ def insert_batch(df: DataFrame, options: InsertOptions):
     plan = plan_insert(df, options, store)
     writer = options.writer or BATCH_WRITER
     epoch = store.next_epoch(writer) if options.epoch is None else options.epoch
-    once = not repeats_exactly(df) if options.evaluate_once is None else options.evaluate_once
+    once = not repeats_exactly(df, plan) if options.evaluate_once is None else options.evaluate_once
     scratch = storage.scratch_path(spark, "insert")
     keep = False
     try:

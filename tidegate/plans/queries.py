@@ -81,8 +81,9 @@ def dry_run(spark, sf_dir):
     path = _target(spark)
     done = api.insert(events, path=path, dry_run=True)
     written = 0 if not storage.exists(spark, path) else api.read_table(spark, path=path).count()
-    return spark.createDataFrame(
-        [(done.metrics["rows_converted"], written)], "rows_converted bigint, rows_written bigint")
+    return spark.range(1).select(
+        F.lit(done.metrics["rows_converted"]).cast("bigint").alias("rows_converted"),
+        F.lit(written).cast("bigint").alias("rows_written"))
 
 
 def partition_key_layout(spark, sf_dir):

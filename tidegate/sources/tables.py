@@ -112,6 +112,7 @@ class TableStore:
         return False
 
     def create(self, spec: TableSpec) -> None:
+        self._spec = spec
         if self.path:
             (self.spark.range(1).select(F.lit(spec.to_json()).alias("value")).coalesce(1)
              .write.mode("overwrite").text(f"{self.path}/spec"))
@@ -222,6 +223,12 @@ class TableStore:
         fields = self.spec().schema.fields + HIDDEN.fields
         return self._read("rows", T.StructType(fields), writer, epoch)
 
+    def epoch_rows(self, writer: str, epoch: int) -> DataFrame:
+        """The rows of one epoch, read from its folder."""
+        fields = self.spec().schema.fields + HIDDEN.fields
+        return (self.spark.read.schema(T.StructType(fields))
+                .parquet(self.epoch_path("rows", writer, epoch)))
+
     def rows(self, committed_only: bool = False) -> DataFrame:
         """The user-facing table."""
         stored = self.stored_rows()

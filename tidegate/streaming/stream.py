@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 
 from .. import storage
 from ..errors import OptionError
-from ..functions.conform import conform
-from ..operators.sink import Epoch, InsertPlan, InsertResult, insert_epoch, plan_insert
+from ..operators.sink import (Epoch, InsertPlan, InsertResult, dry_run, insert_epoch,
+                             plan_insert)
 from ..options import InsertOptions
 from ..sources.tables import TableStore
 
@@ -86,13 +86,18 @@ def insert_stream(df: DataFrame, options: InsertOptions):
 
 
 class DryStreamResult:
-    def __init__(self, plan: InsertPlan, query):
-        self.plan, self.query = plan, query
+    """A stream whose rows are converted and not written."""
+
+    def __init__(self):
+        self.query = None
+        self._converted = 0
+
+    def count(self, batch: DataFrame, plan: InsertPlan) -> None:
+        self._converted += dry_run(batch, plan).metrics["rows_converted"]
 
     @property
     def metrics(self) -> dict:
-        converted = sum(p.numInputRows for p in self.query.recentProgress)
-        return {"rows_converted": converted, "rows_written": 0}
+        return {"rows_converted": self._converted, "rows_written": 0}
 
     def await_termination(self, timeout: float | None = None):
         return self.query.awaitTermination(timeout)
@@ -100,6 +105,7 @@ class DryStreamResult:
 
 def _dry_stream(df: DataFrame, options: InsertOptions, trigger: dict) -> DryStreamResult:
     plan = plan_insert(df, options, None)
-    query = (conform(df, plan.columns).writeStream.format("noop")
-             .option("checkpointLocation", options.checkpoint).trigger(**trigger).start())
-    return DryStreamResult(plan, query)
+    done = DryStreamResult()
+    done.query = (df.writeStream.foreachBatch(lambda batch, _: done.count(batch, plan))
+                  .option("checkpointLocation", options.checkpoint).trigger(**trigger).start())
+    return done
