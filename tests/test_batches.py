@@ -154,6 +154,25 @@ def test_composite_order(spark, target):
     assert first.order_lo == '{"_o0":0,"_o1":0}'
 
 
+def test_many_failed_keys_are_not_broadcast(spark, target, monkeypatch):
+    monkeypatch.setattr("tidegate.operators.sink.BROADCAST_ROWS", 10)
+    done = tg.insert(spark.range(1000), path=target, order_by="id", batch_size=50,
+                     reject_when="id % 100 = 7")
+    assert done.metrics["rows_failed"] == 500 and done.rows.count() == 500
+    assert done.results.where("not _Inserted_").count() == 500
+
+
+def test_batches_of_a_hot_channel_are_listed_by_many_tasks(spark, monkeypatch):
+    from tidegate.operators import batching
+    monkeypatch.setattr(batching, "BATCHES_PER_TASK", 100)
+    placed = spark.range(10_000, numPartitions=16).selectExpr(
+        "0L _channel", "spark_partition_id() _part")
+    batches = batching.batches_from_counts(batching.arrival_offsets(placed), 7, 10_000)
+    assert batches.count() == -(-10_000 // 7)
+    assert batches.agg(F.sum("n_rows")).first()[0] == 10_000
+    assert batches.select(F.spark_partition_id()).distinct().count() > 4
+
+
 @pytest.mark.parametrize("n, batch_size, sizes", [
     (105, 50, [50, 50, 5]), (100, 50, [50, 50]), (1, 50, [1]), (0, 50, []), (7, 1, [1] * 7)])
 @pytest.mark.parametrize("order_by", [None, "id"])

@@ -138,6 +138,19 @@ def test_streams_and_batches_do_not_overwrite_each_other(spark, feed, target):
     assert tg.read_table(spark, path=target).count() == 25
 
 
+@pytest.mark.parametrize("catalog", [False, True])
+def test_upstream_redelivery_with_keys(spark, feed, target, name, catalog):
+    feed(0, 30)
+    feed(10, 40)
+    where = {"table": name} if catalog else {"path": target}
+    done = tg.insert(feed.stream(), primary_key="id", dedupe_on_key=True, batch_size=10, order_by="id",
+                     shards=3, checkpoint=f"{target}-cp", trigger="availableNow", **where)
+    done.await_termination()
+    assert sorted(r.id for r in tg.read_table(spark, **where).collect()) == list(range(40))
+    assert done.results.where("_Inserted_").count() == 60
+    assert done.metrics["rows_ok"] == 60
+
+
 def test_back_to_the_initial_state(spark, feed, target):
     feed(0, 10)
     run(feed.stream(), target)

@@ -10,6 +10,7 @@ from .numbering import GROUP_ROWS, PART, SEQ, partition_offsets
 
 CHANNEL, BATCH, BAD = "_channel", "_batch_no", "_bad"
 NO_CHANNEL = -1
+BATCHES_PER_TASK = 1_000_000
 
 LOG_SCHEMA = T.StructType([
     T.StructField("channel", T.LongType()),
@@ -79,17 +80,18 @@ def log_from_batches(batches: DataFrame, duration_ms: int, all_failed: bool = Fa
     )
 
 
-def batches_from_counts(sized: DataFrame, batch_size: int) -> DataFrame:
-    """Batches of rows in arrival order, from (channel, partition) sizes alone.
+def batches_from_counts(offsets: DataFrame, batch_size: int, total_rows: int) -> DataFrame:
+    """Batches of rows in arrival order, from cumulated (channel, partition) sizes alone.
 
-    Every partition lists the batches that start in it, so no task has to list the
-    batches of a whole channel.
+    Every partition lists the batches that start in it. The partitions of a channel lie
+    in one task after they were cumulated, so they are spread again before they grow
+    into batches; the number of tasks follows from the number of batches.
     """
-    parts = partition_offsets(sized, [CHANNEL])
+    tasks = 1 + total_rows // (batch_size * BATCHES_PER_TASK)
     first = F.expr(f"(offset + {batch_size - 1}) div {batch_size}")
     last = F.expr(f"(offset + cnt - 1) div {batch_size}")
-    started = parts.where(first <= last).select(
-        CHANNEL, GROUP_ROWS, F.explode(F.sequence(first, last)).alias(BATCH))
+    started = (offsets.where(first <= last).repartition(tasks, CHANNEL, PART)
+               .select(CHANNEL, GROUP_ROWS, F.explode(F.sequence(first, last)).alias(BATCH)))
     return started.select(
         CHANNEL, BATCH,
         F.least(F.lit(batch_size).cast("bigint"),
@@ -98,5 +100,7 @@ def batches_from_counts(sized: DataFrame, batch_size: int) -> DataFrame:
     )
 
 
-def sizes_by_partition(df: DataFrame) -> DataFrame:
-    return df.groupBy(CHANNEL, PART).agg(F.count(F.lit(1)).alias("cnt"))
+def arrival_offsets(df: DataFrame) -> DataFrame:
+    """Cumulated sizes of the (channel, partition) groups of ``df``."""
+    sized = df.groupBy(CHANNEL, PART).agg(F.count(F.lit(1)).alias("cnt"))
+    return partition_offsets(sized, [CHANNEL])

@@ -31,14 +31,15 @@ from ..functions.types import default_batch_size, split_keys, stream_columns, ta
 from ..options import InsertOptions
 from ..sources.tables import (EPOCH, INSERTED, SHARD, WRITER, TableSpec, TableStore, check_schema,
                               new_spec)
-from .batching import (BAD, BATCH, CHANNEL, batches_from_counts, channel_column, log_from_batches,
-                       order_names, sizes_by_partition, summarise_batches, with_batch_numbers)
+from .batching import (BAD, BATCH, CHANNEL, arrival_offsets, batches_from_counts, channel_column,
+                       log_from_batches, order_names, summarise_batches, with_batch_numbers)
 from .keys import first_per_key, lay_out, without_stored_keys
 from .numbering import PART, number_staged, stage
 
 log = logging.getLogger(__name__)
 
 BATCH_WRITER = "batch"
+BROADCAST_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -244,7 +245,9 @@ def _insert_all(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoc
         counted = store.epoch_rows(done.writer, done.epoch)
         counted = counted.select(CHANNEL, PART, *[quoted(t).alias(n) for t, n in zip(shown, order)])
     if not order:
-        return batches_from_counts(sizes_by_partition(counted), plan.batch_size)
+        offsets, totals = _written(arrival_offsets(counted), f"{scratch}/offsets",
+                                   F.sum("cnt").alias("rows"))
+        return batches_from_counts(offsets, plan.batch_size, totals.get("rows") or 0)
     narrow = counted.select(CHANNEL, F.lit(False).alias(BAD), *order)
     numbered = number_staged(stage(narrow, [CHANNEL], order, f"{scratch}/rows"),
                              [CHANNEL], f"{scratch}/offsets")
@@ -286,11 +289,15 @@ def _verdict(rows: DataFrame | None, to_number: DataFrame, link: list[str], plan
     if rows_failed:
         failed_batches = batches.where("failed").select(CHANNEL, BATCH)
         if rows is not None:
-            members = numbered.join(failed_batches, [CHANNEL, BATCH], "left_semi").select(*link)
+            members = numbered.join(failed_batches, [CHANNEL, BATCH], "left_semi")
+            members = members.select(*link).distinct()
         else:
             members = failed_batches
-        # Written so that the planner sees its size and broadcasts it only when small.
+        # Written so that the planner sees its size and broadcasts it only when small;
+        # as sorted keys compress well, their number is bounded too.
         failed, _ = _written(members, f"{scratch}/failed")
+        if (rows_failed if rows is not None else batches_failed) > BROADCAST_ROWS:
+            failed = failed.hint("merge")
     return Verdict(numbered if rows is None else rows, batches, failed, link,
                    rows_failed, batches_failed, numbered)
 
@@ -450,9 +457,10 @@ class DryRunResult:
 
     @property
     def log(self) -> DataFrame:
-        sized = sizes_by_partition(self._df.select(
-            self.plan.channel.alias(CHANNEL), F.spark_partition_id().alias(PART)))
-        return log_from_batches(batches_from_counts(sized, self.plan.batch_size), 0)
+        placed = self._df.select(
+            self.plan.channel.alias(CHANNEL), F.spark_partition_id().alias(PART))
+        return log_from_batches(batches_from_counts(
+            arrival_offsets(placed), self.plan.batch_size, self._rows_converted), 0)
 
     @property
     def metrics(self) -> dict:
