@@ -33,7 +33,7 @@ def frame(spark, rows):
 
 
 @pytest.mark.parametrize("evaluate_once", [False, True])
-@settings(max_examples=5, deadline=None,
+@settings(max_examples=4, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(keys=st.lists(st.integers(-1000, 1000), unique=True, min_size=1, max_size=120),
        width=st.integers(1, 4), batch_size=st.integers(1, 17), every=st.integers(1, 40))

@@ -4,6 +4,7 @@ import io
 from contextlib import redirect_stdout
 
 import pytest
+from pyspark.sql import functions as F
 
 import tidegate as tg
 from tidegate.operators import sink
@@ -79,6 +80,41 @@ def test_accepted_rows_join_by_equality(events, target, spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_which_inputs_repeat(spark, events, target, name):
+    def repeats(df, **options):
+        resolved = resolve(spark, dry_run=True, **options)
+        return sink.repeats_exactly(df, sink.plan_insert(df, resolved, None))
+
+    events.createOrReplaceTempView("repeating_events")
+    tg.insert(spark.range(3), path=target)
+    tg.insert(spark.range(3), name)                  # rows of a catalog table are partitioned
+    events.limit(0).write.saveAsTable(f"{name}_plain")
+    assert repeats(spark.table(f"{name}_plain")) and not repeats(spark.table(name))
+    for df in (events, events.where("value > 3").select("event_id", "value"), spark.range(5),
+               spark.table("repeating_events"), events.union(events),
+               tg.read_table(spark, path=target),
+               events.select("event_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("x"))):
+        assert repeats(df)
+    for df in (events.withColumn("r", F.rand()), events.limit(5), events.dropDuplicates(["user_id"]),
+               events.groupBy("user_id").agg(F.first("value").alias("v")),
+               events.join(events.select("event_id"), "event_id"), events.orderBy("ts").limit(3),
+               events.repartition(3), events.sample(0.5)):
+        assert not repeats(df)
+    assert not repeats(events, channels="cast(rand() * 3 as int)")
+    assert not repeats(events, order_by=["rand()"])
+    assert not repeats(events, reject_when="rand() > 0.5")
+
+
+def test_failed_keys_above_the_bound_are_shuffled(events, target, monkeypatch):
+    monkeypatch.setattr(sink, "BROADCAST_ROWS", 10)
+    plan, _ = planned(events, target, order_by="event_id", reject_when="value > 250", batch_size=50)
+    verdict = sink._judge(sink.with_helpers(events, plan), plan, False, f"{target}-scratch")
+    assert verdict.rows_failed > 10
+    for side in (verdict.accepted(), verdict.rejected()):
+        text = explained(side)
+        assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_reading_one_insert_lists_its_folder_only(spark, target):
     for _ in range(3):
         done = tg.insert(spark.range(10), path=target)

@@ -140,6 +140,14 @@ def test_forget_a_writer(spark, name, target, catalog):
     assert tg.insert(spark.range(1), writer="a", **where).epoch == 0
 
 
+def test_copying_a_table_into_itself(spark, name):
+    df = spark.range(100).select("id", F.lit(200).alias("u"))
+    tg.insert(df, name, schema="int64 id, optional<int16> u")
+    done = tg.insert(spark.table(name), name, order_by="id", batch_size=10, reject_when="id = 55")
+    assert (done.rows.count(), done.results.count()) == (90, 100)
+    assert spark.table(name).count() == 190
+
+
 def test_shards_keep_a_key_together(spark, target):
     df = spark.range(2000).select((F.col("id") % 50).alias("k"), "id")
     done = tg.insert(df, path=target, partitioning_key="k", shards=4)

@@ -40,6 +40,11 @@ log = logging.getLogger(__name__)
 
 BATCH_WRITER = "batch"
 BROADCAST_ROWS = 2_000_000
+# Plan nodes that yield the same rows whenever they are read.
+REPEATING_NODES = {
+    "DataSourceV2Relation", "Filter", "Generate", "LocalRelation", "LogicalRelation", "Project",
+    "Range", "SubqueryAlias", "Union", "View",
+}
 
 
 @dataclass(frozen=True)
@@ -132,9 +137,26 @@ def _bad_row(columns: list[ColumnPlan], spec: TableSpec, reject_when) -> Column
 
 
 def repeats_exactly(df: DataFrame, plan: InsertPlan) -> bool:
-    """Whether reading the input twice gives the same rows, channels, order and verdicts."""
-    rows = with_helpers(df, plan)
-    return rows._jdf.queryExecution().analyzed().deterministic()
+    """Whether reading the input again surely gives the same rows, channels and verdicts.
+
+    True for files, tables and ranges under filters and deterministic projections. A
+    limit, an aggregate or a window may pick other rows when tasks finish in another
+    order, a partitioned catalog table is listed anew by every job, and a join is dear
+    to repeat, so those count as not repeating.
+    """
+    analyzed = with_helpers(df, plan)._jdf.queryExecution().analyzed()
+    return analyzed.deterministic() and _only_repeating(analyzed)
+
+
+def _only_repeating(node) -> bool:
+    if node.nodeName() not in REPEATING_NODES:
+        return False
+    if node.nodeName() == "LogicalRelation":
+        table = node.catalogTable()
+        if table.isDefined() and not table.get().partitionColumnNames().isEmpty():
+            return False
+    children = node.children()
+    return all(_only_repeating(children.apply(i)) for i in range(children.size()))
 
 
 @dataclass
