@@ -162,15 +162,19 @@ def test_many_failed_keys_are_not_broadcast(spark, target, monkeypatch):
     assert done.results.where("not _Inserted_").count() == 500
 
 
-def test_batches_of_a_hot_channel_are_listed_by_many_tasks(spark, monkeypatch):
-    from tidegate.operators import batching
-    monkeypatch.setattr(batching, "BATCHES_PER_TASK", 100)
-    placed = spark.range(10_000, numPartitions=16).selectExpr(
-        "0L _channel", "spark_partition_id() _part")
-    batches = batching.batches_from_counts(batching.arrival_offsets(placed), 7, 10_000)
-    assert batches.count() == -(-10_000 // 7)
-    assert batches.agg(F.sum("n_rows")).first()[0] == 10_000
-    assert batches.select(F.spark_partition_id()).distinct().count() > 4
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_batches_of_a_hot_channel_are_listed_by_many_tasks(spark, adaptive):
+    from tidegate.operators.batching import arrival_offsets, batches_from_counts
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    try:
+        placed = spark.range(10_000, numPartitions=16).selectExpr(
+            "0L _channel", "spark_partition_id() _part")
+        batches = batches_from_counts(arrival_offsets(placed), 7)
+        assert batches.count() == -(-10_000 // 7)
+        assert batches.agg(F.sum("n_rows")).first()[0] == 10_000
+        assert batches.select(F.spark_partition_id()).distinct().count() > 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
 
 
 @pytest.mark.parametrize("n, batch_size, sizes", [

@@ -10,7 +10,6 @@ from .numbering import GROUP_ROWS, PART, SEQ, partition_offsets
 
 CHANNEL, BATCH, BAD = "_channel", "_batch_no", "_bad"
 NO_CHANNEL = -1
-BATCHES_PER_TASK = 1_000_000
 
 LOG_SCHEMA = T.StructType([
     T.StructField("channel", T.LongType()),
@@ -80,14 +79,15 @@ def log_from_batches(batches: DataFrame, duration_ms: int, all_failed: bool = Fa
     )
 
 
-def batches_from_counts(offsets: DataFrame, batch_size: int, total_rows: int) -> DataFrame:
+def batches_from_counts(offsets: DataFrame, batch_size: int) -> DataFrame:
     """Batches of rows in arrival order, from cumulated (channel, partition) sizes alone.
 
     Every partition lists the batches that start in it. The partitions of a channel lie
     in one task after they were cumulated, so they are spread again before they grow
-    into batches; the number of tasks follows from the number of batches.
+    into batches. The number of tasks is fixed: judged by its size before it grows,
+    adaptive execution would put them all into one.
     """
-    tasks = 1 + total_rows // (batch_size * BATCHES_PER_TASK)
+    tasks = int(offsets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = F.expr(f"(offset + {batch_size - 1}) div {batch_size}")
     last = F.expr(f"(offset + cnt - 1) div {batch_size}")
     started = (offsets.where(first <= last).repartition(tasks, CHANNEL, PART)

@@ -267,9 +267,7 @@ def _insert_all(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoc
         counted = store.epoch_rows(done.writer, done.epoch)
         counted = counted.select(CHANNEL, PART, *[quoted(t).alias(n) for t, n in zip(shown, order)])
     if not order:
-        offsets, totals = _written(arrival_offsets(counted), f"{scratch}/offsets",
-                                   F.sum("cnt").alias("rows"))
-        return batches_from_counts(offsets, plan.batch_size, totals.get("rows") or 0)
+        return batches_from_counts(arrival_offsets(counted), plan.batch_size)
     narrow = counted.select(CHANNEL, F.lit(False).alias(BAD), *order)
     numbered = number_staged(stage(narrow, [CHANNEL], order, f"{scratch}/rows"),
                              [CHANNEL], f"{scratch}/offsets")
@@ -481,8 +479,8 @@ class DryRunResult:
     def log(self) -> DataFrame:
         placed = self._df.select(
             self.plan.channel.alias(CHANNEL), F.spark_partition_id().alias(PART))
-        return log_from_batches(batches_from_counts(
-            arrival_offsets(placed), self.plan.batch_size, self._rows_converted), 0)
+        return log_from_batches(
+            batches_from_counts(arrival_offsets(placed), self.plan.batch_size), 0)
 
     @property
     def metrics(self) -> dict:

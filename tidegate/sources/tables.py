@@ -114,8 +114,7 @@ class TableStore:
     def create(self, spec: TableSpec) -> None:
         self._spec = spec
         if self.path:
-            (self.spark.range(1).select(F.lit(spec.to_json()).alias("value")).coalesce(1)
-             .write.mode("overwrite").text(f"{self.path}/spec"))
+            storage.write_text(self.spark, f"{self.path}/spec", spec.to_json())
             return
         self._create_catalog_table("rows", T.StructType(spec.schema.fields + HIDDEN.fields), spec)
         self._create_catalog_table("log", LOG_SCHEMA, None)

@@ -62,3 +62,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file; an existing one is an error."""
+    hadoop_path, fs = _file_system(spark, path)
+    stream = fs.create(hadoop_path, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
