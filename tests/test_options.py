@@ -3,6 +3,7 @@
 import warnings
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import tidegate as tg
@@ -73,3 +74,12 @@ def test_a_stream_needs_attributes(spark, target):
 def test_dedupe_needs_a_primary_key(spark, target):
     with pytest.raises(OptionError, match="primary key"):
         tg.insert(spark.range(1), path=target, dedupe_on_key=True)
+    assert not tg.sources.tables.TableStore(spark, path=target).exists()
+
+
+@pytest.mark.parametrize("option", [
+    {"order_by": "nope"}, {"channels": "nope % 3"}, {"reject_when": "nope > 1"}])
+def test_unknown_columns_leave_no_table(spark, target, option):
+    with pytest.raises(AnalysisException):
+        tg.insert(spark.range(1), path=target, **option)
+    assert not tg.sources.tables.TableStore(spark, path=target).exists()

@@ -59,7 +59,6 @@ class InsertPlan:
     batch_size: int
     channel: Column
     bad: Column | None
-    dedupe_order: tuple[str, ...] = ()
 
     @property
     def lossless(self) -> bool:
@@ -90,20 +89,19 @@ def plan_insert(df: DataFrame, options: InsertOptions, store: TableStore | None)
     columns = plan_columns(df.schema, declared, **by_name)
     schema = table_schema(declared)
 
-    if store is not None and store.exists():
+    existing = store is not None and store.exists()
+    if existing:
         spec = store.spec()
         check_schema(schema, spec.schema, options.match)
         columns = _in_table_order(columns, spec.schema, options.match)
     else:
         spec = new_spec(schema, split_keys(options.partitioning_key),
                         split_keys(options.primary_key), options.shards)
-        if store is not None:
-            store.create(spec)
     if options.dedupe_on_key and not spec.primary_key:
         raise OptionError("dedupe_on_key needs a primary key")
 
     by_target = {c.target: c.expr for c in columns}
-    return InsertPlan(
+    plan = InsertPlan(
         options=options,
         input_schema=df.schema,
         columns=columns,
@@ -113,6 +111,10 @@ def plan_insert(df: DataFrame, options: InsertOptions, store: TableStore | None)
         channel=channel_column(options.channels, [by_target[k] for k in spec.partitioning_key]),
         bad=_bad_row(columns, spec, options.reject_when),
     )
+    with_helpers(df, plan)          # unknown columns are refused before the table exists
+    if store is not None and not existing:
+        store.create(spec)
+    return plan
 
 
 def _in_table_order(columns: list[ColumnPlan], table: T.StructType, match: str) -> list[ColumnPlan]:
