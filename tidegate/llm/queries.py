@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .ann import neighbours
 from .host_rules import judge
 from .mixing import mix
+from .packing import pack_documents
 from .sharding import shard_rows
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,5 +34,14 @@ def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-QUERIES = {q.__name__: q for q in (op4_host_rules, op5_feistel_shards, op6_entropy_mix)}
+def op2_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+QUERIES = {q.__name__: q for q in (
+    op2_multi_index_hashing, op4_host_rules, op5_feistel_shards, op6_entropy_mix, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
