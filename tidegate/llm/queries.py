@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from .ann import neighbours
 from .host_rules import judge
+from .line_dedup import dedup_lines
 from .mixing import mix
 from .packing import pack_documents
 from .sharding import shard_rows
+from .toxicity import fit, score_documents
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -34,14 +36,26 @@ def op6_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op1_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op7_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("__lines").cast("long").alias("n_lines"), F.col("__gone").cast("long").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 QUERIES = {q.__name__: q for q in (
-    op2_multi_index_hashing, op4_host_rules, op5_feistel_shards, op6_entropy_mix, op10_best_fit_packing)}
+    op1_string_kernel_toxicity, op2_multi_index_hashing, op4_host_rules, op5_feistel_shards, op6_entropy_mix,
+    op7_line_alignment, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
