@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .ann import neighbours
 from .host_rules import judge
+from .jaccard_join import near_duplicates
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .packing import pack_documents
@@ -51,11 +52,15 @@ def op7_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 QUERIES = {q.__name__: q for q in (
     op1_string_kernel_toxicity, op2_multi_index_hashing, op4_host_rules, op5_feistel_shards, op6_entropy_mix,
-    op7_line_alignment, op10_best_fit_packing)}
+    op7_line_alignment, op9_jaccard_join, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}

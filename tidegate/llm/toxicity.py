@@ -39,6 +39,8 @@ LAMBDA, LONGEST = 0.6, 24
 LANDMARKS = {"toxic": 64, "neutral": 32}
 ROUNDS = 3
 TOP = 3
+#: Scores of words below this are all alike.
+LOWEST = -0.5
 CACHE_WORDS = 400_000
 
 _ALPHABET = 64
@@ -118,14 +120,16 @@ class Machine:
         self.table, self.bias, self.document = table.astype(np.float32), np.float32(bias), document
 
     def words(self, data, starts, ends) -> np.ndarray:
-        out = np.full(len(starts), self.bias, dtype=np.float32)
+        out = np.full(len(starts), LOWEST, dtype=np.float32)
         for rows, symbols in _matrices(data, starts, ends):
             codes, weight = _codes(symbols)
             raw = self.table[codes] @ weight
-            hit = np.flatnonzero(raw)
-            value = np.full(len(rows), self.bias, dtype=np.float32)
+            # The norm is at least that of distinct triples; below LOWEST a word counts as LOWEST.
+            least = np.sqrt((codes > 0) @ (weight * weight)) + 1e-6
+            hit = np.flatnonzero(raw / least + self.bias > LOWEST)
+            value = np.full(len(rows), LOWEST, dtype=np.float32)
             if len(hit):
-                value[hit] += raw[hit] / _norms(symbols[hit])
+                value[hit] = np.maximum(raw[hit] / _norms(symbols[hit]) + self.bias, LOWEST)
             np.maximum.at(out, rows, value)
         return out
 
@@ -253,20 +257,17 @@ def train(texts: list[str], labels: list[int], toxic_share: float) -> Machine |
         machine = Machine(_table(landmarks, root @ w[:-1]), w[-1], np.zeros(TOP + 2))
         # The strongest word of each toxic document's sentences, if the machine finds one.
         witness = []
+        flat = sorted(seen[1])
+        score = dict(zip(flat, machine.words(*_from_strings(flat)).tolist()))
         for sentences, label in zip(split, labels):
             if label:
-                flat = sorted({u for s in sentences for u in s})
-                score = dict(zip(flat, machine.words(*_from_strings(flat)))) if flat else {}
                 best = [max(s, key=lambda u: score[u]) for s in sentences if s]
                 witness += [u for u in best if score[u] > 0]
     if machine is None:
         return None
-    tops, hits = [], []
-    for text in texts:
-        found = list(_scored(pa.array([text or ""]), machine, {}))
-        tops.append(found[0][0][0])
-        hits.append(found[0][1][0])
-    x = np.column_stack([np.ones(len(tops)), np.array(tops), np.log1p(hits)])
+    found = list(_scored(pa.array(texts, pa.string()), machine, {}))
+    tops, hits = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+    x = np.column_stack([np.ones(len(tops)), tops, np.log1p(hits)])
     y = np.array(labels, dtype=float)
     balance = np.where(y == 1, toxic_share * len(y) / n_toxic, (1 - toxic_share) * len(y) / n_clean)
     machine.document = _logistic(x, y, balance)
@@ -286,7 +287,8 @@ def _spelled(words) -> list[tuple[int, bytes]]:
     edge = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
     doc = words.doc_of()
     out = []
-    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+    long = np.flatnonzero(edge[1::2] - edge[::2] >= 3)
+    for a, b in zip(edge[::2][long].tolist(), edge[1::2][long].tolist()):
         for d in np.unique(doc[a:b]).tolist():
             lo, hi = max(a, int(words.first[d])), min(b, int(words.first[d + 1]))
             if hi - lo >= 3:
@@ -320,14 +322,15 @@ def _scored(texts: pa.Array, machine: Machine, cache: dict):
             ends = np.cumsum([len(s) for _, s in spelled])
             extra = machine.words(np.frombuffer(joined, np.uint8), ends - [len(s) for _, s in spelled], ends)
             score, doc = np.append(score, extra), np.append(doc, [d for d, _ in spelled])
-        tops = np.full((n, TOP), -1.0)
-        # Only words near or above 0 can be among the first of a toxic text.
+        tops = np.full((n, TOP), LOWEST)
+        above = np.flatnonzero(score > LOWEST)
+        score, doc = score[above], doc[above]
         order = np.lexsort((-score, doc))
         start = np.searchsorted(doc[order], np.arange(n))
         size = np.diff(np.append(start, len(order)))
         for k in range(TOP):
             has = size > k
-            tops[has, k] = np.maximum(score[order[start[has] + k]], -1.0)
+            tops[has, k] = score[order[start[has] + k]]
         yield tops, np.bincount(doc[score > 0], minlength=n)[:n]
 
 
