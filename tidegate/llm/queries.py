@@ -13,6 +13,7 @@ from .line_dedup import dedup_lines
 from .mixing import mix
 from .packing import pack_documents
 from .sharding import shard_rows
+from .substring_dedup import remove_repeats
 from .toxicity import fit, score_documents
 
 
@@ -52,6 +53,11 @@ def op7_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op8_fm_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -62,5 +68,5 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_string_kernel_toxicity, op2_multi_index_hashing, op4_host_rules, op5_feistel_shards, op6_entropy_mix,
-    op7_line_alignment, op9_jaccard_join, op10_best_fit_packing)}
+    op7_line_alignment, op8_fm_index_dedup, op9_jaccard_join, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
