@@ -12,6 +12,7 @@ from .jaccard_join import near_duplicates
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .packing import pack_documents
+from .pitman_yor import score_texts
 from .sharding import shard_rows
 from .substring_dedup import remove_repeats
 from .toxicity import fit, score_documents
@@ -24,6 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -67,6 +72,6 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_string_kernel_toxicity, op2_multi_index_hashing, op4_host_rules, op5_feistel_shards, op6_entropy_mix,
+    op1_string_kernel_toxicity, op2_multi_index_hashing, op3_pitman_yor, op4_host_rules, op5_feistel_shards, op6_entropy_mix,
     op7_line_alignment, op8_fm_index_dedup, op9_jaccard_join, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {}
