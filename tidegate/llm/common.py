@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,9 +36,14 @@ class Workspace:
 
     def drop(self, df: DataFrame) -> None:
         """Delete a table that ``keep`` returned and nothing will read again."""
-        for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            if file.startswith(self.path) or self.path in file:
-                storage.remove(self.spark, file)
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if self.path.split("://")[-1].removeprefix("file:") in folder:
+                storage.remove(self.spark, folder)
+
+    def release(self) -> None:
+        """Free the shuffle files of finished steps, which Spark keeps until the driver collects its garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
 
 def pinned(ws: Workspace, df: DataFrame) -> DataFrame:

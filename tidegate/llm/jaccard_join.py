@@ -3,8 +3,8 @@
 Lists: the tokens (shingle hashes) of a set are ordered, frequent ones last, and two sets
 of Jaccard similarity t share one of their first |x| - ceil(t|x|) + 1 tokens. Only those
 enter the inverted lists, with the size of the set and the place of the token; a list is
-cut into blocks by set size, and pairs whose sizes or places leave too little room for
-overlap are skipped without being looked at.
+cut into blocks by set size; blocks whose sizes can't match are skipped, and so are pairs
+whose prefixes have too little in common for what is left behind them to make up.
 
 Set relations: equal sets are one set. In a list block the first set is the leader; each
 set is compared with the leader it shares most tokens with. Sets found similar to a leader
@@ -158,7 +158,8 @@ def _set_bytes(length: int):
                 ends = np.searchsorted(doc, np.arange(n + 1))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, n),
-                     pa.array([value[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())], [ROW, "tokens"])
+                     pa.array([value[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+                     batch.column(2).slice(row, n), batch.column(3).slice(row, n)], [ROW, "tokens", "leader", "leads"])
     return run
 
 
@@ -188,6 +189,7 @@ class JaccardJoin:
         counted = self.texts.select("text").mapInArrow(_low_tokens(self.length, buckets), "bucket int, tokens binary")
         frequent = ws.keep(counted.groupBy("bucket").applyInArrow(_frequent, "token long, n long"), "frequent")
         top = frequent.orderBy(F.desc("n"), "token").limit(HOT_TOKENS).select("token").collect()
+        ws.release()
         hot = np.sort(np.array([r["token"] for r in top], dtype=np.int64).view(np.uint64))
         entries = self.texts.mapInArrow(
             _postings(self.length, self.percent, hot, buckets),
@@ -195,12 +197,42 @@ class JaccardJoin:
         entries = entries.groupBy("bucket").applyInArrow(_repeated, f"token long, {ROW} long, n int, place int")
         # Of equal sets the first stands for all.
         first = self.profile.where("n > 0").groupBy("n", "f1", "f2").agg(F.min(ROW).alias(ROW)).select(ROW)
-        return ws.keep(ws.keep(entries, "entries").join(first, ROW, "left_semi"), "lists")
-
-    def compared(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        entries = ws.keep(entries, "entries")
+        ws.release()
+        lists = ws.keep(entries.join(first, ROW, "left_semi"), "lists")
+        ws.drop(entries)
+        return lists
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """The tokens of the wanted rows, with the other columns of ``wanted``."""
+        rest = [c for c in wanted.columns if c != ROW]
+        kept = self.texts.join(wanted, ROW).select(ROW, "text", *rest).mapInArrow(
+            _set_bytes(self.length), f"{ROW} long, tokens binary, leader long, leads boolean")
+        return self.ws.keep(kept, "sets")
+
+    def with_leaders(self, chosen: DataFrame) -> DataFrame:
+        """a, b, common, joint for rows a and the one leader b of each."""
+        followers = chosen.select(F.col("a").alias(ROW), F.col("b").alias("leader"), F.lit(False).alias("leads"))
+        leaders = chosen.select(F.col("b").alias(ROW), F.lit(None).cast("long").alias("leader"), F.lit(True).alias("leads"))
+        wanted = followers.unionByName(leaders).groupBy(ROW).agg(
+            F.max("leader").alias("leader"), F.max("leads").alias("leads"))
+        sets = self.sets(wanted)
+        left = sets.where("leader is not null").select(F.col(ROW).alias("a"), F.col("leader").alias("b"), F.col("tokens").alias("left"))
+        right = sets.where("leads").select(F.col(ROW).alias("b"), F.col("tokens").alias("right"))
+        found = self._counted(left.join(right, "b"))
+        self.ws.drop(sets)
+        return found
+
+    def compared(self, pairs: DataFrame) -> DataFrame:
         """a, b, common, joint for pairs (a, b)."""
+        ends = pairs.select(F.col("a").alias(ROW)).unionByName(pairs.select(F.col("b").alias(ROW))).distinct()
+        sets = self.sets(ends.select(ROW, F.lit(None).cast("long").alias("leader"), F.lit(False).alias("leads")))
         left = pairs.join(sets.select(F.col(ROW).alias("a"), F.col("tokens").alias("left")), "a")
-        both = left.join(sets.select(F.col(ROW).alias("b"), F.col("tokens").alias("right")), "b")
+        found = self._counted(left.join(sets.select(F.col(ROW).alias("b"), F.col("tokens").alias("right")), "b"))
+        self.ws.drop(sets)
+        return found
+
+    def _counted(self, both: DataFrame) -> DataFrame:
         return self.ws.keep(both.select("a", "b", "left", "right").mapInArrow(
             _common, "a long, b long, common long, joint long"), "compared")
 
@@ -213,11 +245,14 @@ class JaccardJoin:
         leaders = lists.groupBy("token", "block").agg(F.min(ROW).alias("leader"), F.count(F.lit(1)).alias("m")).where("m > 1")
         votes = (lists.join(leaders.drop("m"), ["token", "block"]).where(F.col(ROW) != F.col("leader"))
                  .groupBy(ROW, "leader").agg(F.count(F.lit(1)).alias("votes")))
+        # Few common tokens are left to the second round, which has an exact bound for them.
+        sizes = lists.groupBy(ROW).agg(F.first("n").alias("n"))
         chosen = votes.groupBy(ROW).agg(F.min(F.struct((-F.col("votes")).alias("v"), F.col("leader"))).alias("best"))
-        chosen = ws.keep(chosen.select(F.col(ROW).alias("a"), F.col("best.leader").alias("b")), "chosen")
-        sets = ws.keep(self.texts.join(lists.select(ROW).distinct(), ROW, "left_semi").select(ROW, "text").mapInArrow(
-            _set_bytes(self.length), f"{ROW} long, tokens binary"), "sets")
-        first = self.compared(chosen, sets)
+        chosen = ws.keep(chosen.join(sizes, ROW).where(-20 * F.col("best.v") >= F.col("n")).select(
+            F.col(ROW).alias("a"), F.col("best.leader").alias("b")), "chosen")
+        ws.release()
+        first = self.with_leaders(chosen)
+        ws.release()
         similar = F.expr(f"100 * common >= {percent} * joint")
         edges = first.where(similar).select("a", "b")
         classes = components(ws, edges)
@@ -232,16 +267,18 @@ class JaccardJoin:
         open_lists = ws.keep(marked.join(mixed, "token", "left_semi"), "open")
         x, y = open_lists.alias("x"), open_lists.alias("y")
         slack = 1 - percent / 100 + 1e-9
-        room = F.expr("least(x.n - x.place, y.n - y.place)")
-        needed = F.expr(f"({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent}")
-        pairs = (x.join(y, F.expr(f"""x.token = y.token and x.{ROW} < y.{ROW} and x.comp <> y.comp
+        shared = (x.join(y, F.expr(f"""x.token = y.token and x.{ROW} < y.{ROW} and x.comp <> y.comp
                     and abs(x.block - y.block) <= 1 and {percent} * x.n <= 100 * y.n and {percent} * y.n <= 100 * x.n"""))
-                 .where(room >= needed)
-                 .where(F.expr(f"x.leader <> y.leader or abs(x.far - y.far) <= {slack}"))
-                 .select(F.col(f"y.{ROW}").alias("a"), F.col(f"x.{ROW}").alias("b")).distinct())
+                  .where(F.expr(f"x.leader <> y.leader or abs(x.far - y.far) <= {slack}"))
+                  .groupBy(F.col(f"y.{ROW}").alias("a"), F.col(f"x.{ROW}").alias("b"))
+                  .agg(F.count(F.lit(1)).alias("c"), F.first("x.n").alias("nx"), F.first("y.n").alias("ny")))
+        # Up to the end of the prefix that ends first, common tokens are all in both lists.
+        enough = F.expr(f"""c + ({percent} * greatest(nx, ny) + 99) div 100 - 1
+                            >= ({percent} * (nx + ny) + {99 + percent}) div {100 + percent}""")
         done = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        pairs = ws.keep(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        second = self.compared(pairs, sets)
+        pairs = ws.keep(shared.where(enough).select("a", "b").join(done, ["a", "b"], "left_anti"), "pairs")
+        ws.release()
+        second = self.compared(pairs)
         edges = ws.keep(edges.unionByName(second.where(similar).select("a", "b")), "links")
         return edges, components(ws, edges)
 
