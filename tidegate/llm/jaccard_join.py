@@ -36,6 +36,8 @@ WORDS, PERCENT = 5, 75
 #: Tokens counted for the order: those whose hash is in the lowest share; a prefix hardly
 #: reaches further. Frequent: in more sets than HOT; at most so many are told to all tasks.
 COUNTED_SHARE, HOT, HOT_TOKENS = 0.3, 40, 200_000
+#: Rounds in which sets outside a class try further members before all pairs left are looked at.
+ROUNDS = 3
 #: Tokens a task collects before it sends them on.
 SEND = 2_000_000
 
@@ -206,7 +208,8 @@ class JaccardJoin:
     def sets(self, wanted: DataFrame) -> DataFrame:
         """The tokens of the wanted rows, with the other columns of ``wanted``."""
         rest = [c for c in wanted.columns if c != ROW]
-        kept = self.texts.join(wanted, ROW).select(ROW, "text", *rest).mapInArrow(
+        # Nothing bounds the wanted rows, so they are never sent to all tasks.
+        kept = self.texts.join(wanted.hint("merge"), ROW).select(ROW, "text", *rest).mapInArrow(
             _set_bytes(self.length), f"{ROW} long, tokens binary, leader long, leads boolean")
         return self.ws.keep(kept, "sets")
 
@@ -236,26 +239,59 @@ class JaccardJoin:
         return self.ws.keep(both.select("a", "b", "left", "right").mapInArrow(
             _common, "a long, b long, common long, joint long"), "compared")
 
+    @staticmethod
+    def most_votes(votes: DataFrame) -> DataFrame:
+        """a, b: the leader that shares most tokens with each set, if not too few."""
+        best = votes.groupBy(ROW).agg(F.min(F.struct((-F.col("votes")).alias("v"), F.col("leader"))).alias("best"),
+                                      F.first("n").alias("n"))
+        return best.where(-20 * F.col("best.v") >= F.col("n")).select(F.col(ROW).alias("a"), F.col("best.leader").alias("b"))
+
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Links (a, b) that connect all similar sets, and the classes they make (node, comp)."""
         ws, percent = self.ws, self.percent
         # A block: entries of one token whose sizes lie within one power of 100 / percent.
         width = float(np.log(100 / percent))
         lists = self.lists().withColumn("block", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)))
-        leaders = lists.groupBy("token", "block").agg(F.min(ROW).alias("leader"), F.count(F.lit(1)).alias("m")).where("m > 1")
-        votes = (lists.join(leaders.drop("m"), ["token", "block"]).where(F.col(ROW) != F.col("leader"))
-                 .groupBy(ROW, "leader").agg(F.count(F.lit(1)).alias("votes")))
+        # The leader of a block is the set that shares most with all others, as the original of copies does.
+        tokens = lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
+        weights = lists.join(tokens, "token").groupBy(ROW).agg(F.sum("m").alias("weight"), F.first("n").alias("n"))
+        lists = ws.keep(lists.join(weights.select(ROW, "weight"), ROW), "weighted")
+        best = F.max(F.struct("weight", (-F.col(ROW)).alias("row")))
+        leaders = lists.groupBy("token", "block").agg(best.alias("best"), F.count(F.lit(1)).alias("m")).where("m > 1")
+        votes = (lists.join(leaders.select("token", "block", (-F.col("best.row")).alias("leader")), ["token", "block"])
+                 .where(F.col(ROW) != F.col("leader")).groupBy(ROW, "leader").agg(F.count(F.lit(1)).alias("votes"),
+                                                                                   F.first("n").alias("n")))
         # Few common tokens are left to the second round, which has an exact bound for them.
-        sizes = lists.groupBy(ROW).agg(F.first("n").alias("n"))
-        chosen = votes.groupBy(ROW).agg(F.min(F.struct((-F.col("votes")).alias("v"), F.col("leader"))).alias("best"))
-        chosen = ws.keep(chosen.join(sizes, ROW).where(-20 * F.col("best.v") >= F.col("n")).select(
-            F.col(ROW).alias("a"), F.col("best.leader").alias("b")), "chosen")
+        chosen = ws.keep(self.most_votes(votes), "chosen")
         ws.release()
         first = self.with_leaders(chosen)
         ws.release()
         similar = F.expr(f"100 * common >= {percent} * joint")
         edges = first.where(similar).select("a", "b")
         classes = components(ws, edges)
+        compared = first.select("a", "b")
+        for turn in range(ROUNDS):
+            # Sets outside the largest class of a block try another member of it.
+            named = lists.join(classes.withColumnRenamed("node", ROW), ROW, "left").withColumn("comp", F.coalesce("comp", ROW))
+            counts = named.groupBy("token", "block", "comp").agg(
+                F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64(ROW, F.lit(turn)).alias("h"), F.col(ROW))).alias("one"))
+            largest = counts.groupBy("token", "block").agg(
+                F.max(F.struct("m", "one", "comp")).alias("top"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+            tries = (named.join(largest.where("top.m > 1").select("token", "block", "top"), ["token", "block"])
+                     .where(F.col("comp") != F.col("top.comp"))
+                     .groupBy(ROW, F.col(f"top.one.{ROW}").alias("leader"))
+                     .agg(F.count(F.lit(1)).alias("votes"), F.first("n").alias("n")))
+            chosen = ws.keep(self.most_votes(tries).join(compared, ["a", "b"], "left_anti"), "chosen")
+            if chosen.isEmpty():
+                break
+            ws.release()
+            more = self.with_leaders(chosen)
+            compared = ws.keep(compared.unionByName(more.select("a", "b")), "compared")
+            new = more.where(similar).select("a", "b")
+            if new.isEmpty():
+                break
+            edges = ws.keep(edges.unionByName(new), "links")
+            classes = components(ws, edges)
 
         known = first.select(F.col("a").alias(ROW), F.col("b").alias("leader"), (1 - F.col("common") / F.col("joint")).alias("far"))
         marked = (lists.join(classes.withColumnRenamed("node", ROW), ROW, "left").join(known, ROW, "left")
@@ -275,7 +311,7 @@ class JaccardJoin:
         # Up to the end of the prefix that ends first, common tokens are all in both lists.
         enough = F.expr(f"""c + ({percent} * greatest(nx, ny) + 99) div 100 - 1
                             >= ({percent} * (nx + ny) + {99 + percent}) div {100 + percent}""")
-        done = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        done = compared.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         pairs = ws.keep(shared.where(enough).select("a", "b").join(done, ["a", "b"], "left_anti"), "pairs")
         ws.release()
         second = self.compared(pairs)
