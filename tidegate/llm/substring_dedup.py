@@ -33,7 +33,7 @@ from .common import ROW, Workspace, keyed, pinned
 from .words import runs, u64, words_of
 
 WINDOW, MARK = 35, 8
-#: Different segments of a minimizer beyond which they are cut to windows.
+#: Different segments of a minimizer beyond which they are cut to windows; at least 1.
 HOT = 2000
 #: Words of text in a shard.
 SHARD_WORDS = 400_000
