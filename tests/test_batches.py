@@ -268,3 +268,14 @@ def test_scratch_is_cleaned(spark, target):
     assert set(storage.children(spark, storage._scratch_root(spark))) == before
     with pytest.raises(tg.IngestError, match="track_batches"):
         tg.insert(spark.range(5), path=target).assignments
+
+
+@pytest.mark.parametrize("bad_id", [10, 120])
+def test_null_order_keys_longer_than_a_batch(spark, target, bad_id):
+    """Half of the rows have no order key; exactly one batch of 50 fails."""
+    rows = spark.range(150).select("id", F.when(F.col("id") >= 75, F.col("id")).alias("o"))
+    done = tg.insert(rows, path=target, batch_size=50, order_by="o", reject_when=f"id = {bad_id}")
+    failed = sum(r["n_rows"] for r in done.log.where("not ok").collect())
+    assert failed == 50
+    assert done.rows.count() == 100
+    assert done.results.where("not _Inserted_").count() == 50

@@ -156,9 +156,22 @@ def test_back_to_the_initial_state(spark, feed, target):
     run(feed.stream(), target)
     tg.forget(spark, path=target, checkpoint=f"{target}-cp")
     assert tg.read_table(spark, path=target).count() == 0
-    done = tg.insert(feed.stream(), path=target, checkpoint=f"{target}-cp3", trigger="availableNow")
+    done = tg.insert(feed.stream(), path=target, checkpoint=f"{target}-cp", trigger="availableNow")
     done.await_termination()
     assert done.metrics["rows_ok"] == 10
+    assert tg.read_table(spark, path=target).count() == 10
+
+
+def test_a_checkpoint_made_anew_keeps_what_is_stored(spark, feed, target):
+    from tidegate import storage
+
+    feed(0, 10)
+    run(feed.stream(), target)
+    storage.remove(spark, f"{target}-cp")
+    feed(10, 12)
+    run(feed.stream(), target)
+    # The new stream reads all its input; nothing of the old one is replaced.
+    assert tg.read_table(spark, path=target).count() == 22
 
 
 def test_dry_run_of_a_stream(spark, feed, target):

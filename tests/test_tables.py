@@ -99,8 +99,8 @@ def test_foreign_table_is_not_touched(spark, name):
 
 
 def test_epochs_append_and_replace(spark, target):
-    assert tg.insert(spark.range(5), path=target).epoch == 0
-    assert tg.insert(spark.range(5, 7), path=target).epoch == 1
+    assert tg.insert(spark.range(5), path=target, writer="batch").epoch == 0
+    assert tg.insert(spark.range(5, 7), path=target, writer="batch").epoch == 1
     assert tg.read_table(spark, path=target).count() == 7
     tg.insert(spark.range(3), path=target, epoch=0)
     assert tg.read_table(spark, path=target).count() == 5
@@ -121,12 +121,12 @@ def test_replay_with_nothing_accepted_empties_the_epoch(spark, name, target, cat
 
 
 def test_unfinished_epoch_is_taken_again(spark, target):
-    tg.insert(spark.range(5), path=target)
+    tg.insert(spark.range(5), path=target, writer="batch")
     store = TableStore(spark, path=target)
     store.drop_epoch("log", "batch", 0)            # as if the log had never been written
     assert tg.read_table(spark, path=target).count() == 5
     assert tg.read_table(spark, path=target, committed_only=True).count() == 0
-    assert tg.insert(spark.range(3), path=target).epoch == 0
+    assert tg.insert(spark.range(3), path=target, writer="batch").epoch == 0
     assert tg.read_table(spark, path=target, committed_only=True).count() == 3
 
 
@@ -162,3 +162,13 @@ def test_key_audit(spark, target):
     rows = tg.insert(df, path=target, primary_key="a,b").rows
     assert sorted(map(tuple, tg.audit_keys(rows, ["a", "b"]).collect()), key=str) == [
         (1, 1, 2), (2, None, 2)]
+
+
+def test_inserts_at_the_same_time_keep_all_rows(spark, target):
+    from concurrent.futures import ThreadPoolExecutor
+
+    tg.create_table(spark, "int64 id", path=target)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda k: tg.insert(spark.range(k, k + 500), path=target), (0, 500)))
+    assert sorted(r[0] for r in tg.read_table(spark, path=target).collect()) == list(range(1000))
+    assert sum(r["n_rows"] for r in tg.read_log(spark, path=target).collect()) == 1000

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import storage
 from .errors import OptionError
 from .functions.types import split_keys, stream_columns, table_schema
 from .operators.sink import insert_batch
 from .options import resolve
 from .sources.tables import TableStore, check_schema, new_spec
-from .streaming.stream import EpochWriter, insert_stream, writer_of
+from .streaming.stream import EpochWriter, checkpoint_writer, insert_stream
 
 
 def insert(df: DataFrame, table: str | None = None, **options):
@@ -59,8 +60,13 @@ def read_log(spark: SparkSession, table: str | None = None, *, database: str | N
 
 def forget(spark: SparkSession, table: str | None = None, *, database: str | None = None,
            path: str | None = None, writer: str | None = None, checkpoint: str | None = None) -> None:
-    """Back to the initial state: drop what one writer, or the stream of a checkpoint, wrote."""
+    """Back to the initial state: drop what one writer, or the stream of a checkpoint, wrote.
+
+    The checkpoint goes too, so that the stream reads its input again.
+    """
     if bool(writer) == bool(checkpoint):
         raise OptionError("name either the writer or the checkpoint of the stream")
     store = TableStore(spark, table=table, database=database, path=path)
-    store.forget_writer(writer or writer_of(checkpoint))
+    store.forget_writer(writer or checkpoint_writer(spark, checkpoint))
+    if checkpoint:
+        storage.remove(spark, checkpoint)

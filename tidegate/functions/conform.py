@@ -154,6 +154,9 @@ def _map_conversion(key: Conversion, value: Conversion) -> Conversion:
     checks = []
     if key.fails is not None:
         checks.append(lambda c: F.exists(F.map_keys(c), key.fails))
+    if not key.identity:
+        # Keys that become equal can't share a map; the row is bad, not the job.
+        checks.append(lambda c: F.size(F.array_distinct(F.transform(F.map_keys(c), key.apply))) < F.size(F.map_keys(c)))
     if value.fails is not None:
         checks.append(lambda c: F.exists(F.map_values(c), value.fails))
     fails = None

@@ -52,16 +52,17 @@ def summarise_batches(numbered: DataFrame, order: list[str]) -> DataFrame:
 
 
 def _order_key(order: list[str]) -> Column | None:
-    if not order:
-        return None
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    # A struct even of one column: min and max skip NULL values, but not structs that hold one.
+    return F.struct(*order) if order else None
 
 
 def _as_text(df: DataFrame, name: str) -> Column:
     if name not in df.columns:
         return F.lit(None).cast("string")
-    column = F.col(name)
-    if isinstance(df.schema[name].dataType, T.StructType):
+    column, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, T.StructType) and len(kind) == 1:
+        column, kind = column[kind[0].name], kind[0].dataType
+    if isinstance(kind, T.StructType):
         return F.to_json(column)
     return column.cast("string")
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -59,6 +60,7 @@ class InsertPlan:
     batch_size: int
     channel: Column
     bad: Column | None
+    streaming: bool = False
 
     @property
     def lossless(self) -> bool:
@@ -202,6 +204,9 @@ def insert_epoch(df: DataFrame, plan: InsertPlan, store: TableStore, writer: str
     """Write one epoch; running it again with the same rows replaces it."""
     started = time.monotonic()
     done = Epoch(writer, epoch)
+    # The log says that an epoch is complete, so it goes before the rows are touched.
+    if storage.exists(store.spark, store.epoch_path("log", writer, epoch)):
+        store.drop_epoch("log", writer, epoch)
     rows = with_helpers(df, plan)
     if not plan.options.track_batches and _nothing_to_reject(df, plan, evaluate_once):
         batches = _insert_all(rows, plan, store, done, evaluate_once, scratch)
@@ -361,7 +366,8 @@ def _write_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoc
     try:
         store.write_epoch("rows", table_rows(rows, plan, store, done), done.writer, done.epoch)
     except Exception as e:
-        if plan.options.on_failure == "fail":
+        # A stream runs the epoch again; offsets of rows that were not stored must not be committed.
+        if plan.options.on_failure == "fail" or plan.streaming:
             raise
         log.error("epoch %s of %s was not written: %s", done.epoch, done.writer, e)
         store.drop_epoch("rows", done.writer, done.epoch)
@@ -502,7 +508,10 @@ def insert_batch(df: DataFrame, options: InsertOptions):
         return dry_run(df, plan_insert(df, options, None))
     store = TableStore(spark, table=options.table, database=options.database, path=options.path)
     plan = plan_insert(df, options, store)
-    writer = options.writer or BATCH_WRITER
+    # Inserts that run at the same time must not meet in one epoch, so each has a writer of its
+    # own unless it names one, or an epoch that is meant to be replaced.
+    named = BATCH_WRITER if options.epoch is not None else f"{BATCH_WRITER}-{uuid.uuid4().hex}"
+    writer = options.writer or named
     epoch = store.next_epoch(writer) if options.epoch is None else options.epoch
     once = not repeats_exactly(df, plan) if options.evaluate_once is None else options.evaluate_once
     scratch = storage.scratch_path(spark, "insert")

@@ -7,7 +7,7 @@ import warnings
 from dataclasses import dataclass, fields, replace
 
 from .errors import OptionError
-from .functions.types import MAX_BATCH_SIZE, split_keys
+from .functions.types import split_keys
 
 CONFIG_PREFIX = "tidegate.config."
 # The options a named configuration may set.
@@ -98,8 +98,6 @@ def _checked(o: InsertOptions) -> InsertOptions:
     if o.batch_size is not None:
         if o.batch_size < 1:
             raise OptionError(f"batch_size must be at least 1, not {o.batch_size}")
-        if o.batch_size > MAX_BATCH_SIZE:
-            o = replace(o, batch_size=MAX_BATCH_SIZE)
     if isinstance(o.channels, int) and o.channels < 1:
         raise OptionError(f"channels must be at least 1, not {o.channels}")
     if o.shards is not None and o.shards < 1:

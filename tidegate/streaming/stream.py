@@ -7,6 +7,8 @@ batch is carried over, and one that runs again replaces what it wrote before.
 from __future__ import annotations
 
 import hashlib
+import json
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
@@ -21,8 +23,22 @@ from ..sources.tables import TableStore
 TRIGGERS = ("availableNow", "processingTime")
 
 
+def query_writer(query_id: str) -> str:
+    """The writer of a stream: its id lives in the checkpoint, so a restart keeps it and a
+    checkpoint that is made anew, be it at the same path, has another."""
+    return f"stream-{query_id}"
+
+
+def checkpoint_writer(spark, checkpoint: str) -> str:
+    """The writer of the stream that a checkpoint belongs to."""
+    path = f"{checkpoint.rstrip('/')}/metadata"
+    if not storage.exists(spark, path):
+        return writer_of(checkpoint)
+    return query_writer(json.loads(spark.read.text(path).first()[0])["id"])
+
+
 def writer_of(checkpoint: str) -> str:
-    """The writer a checkpoint stands for: the same after a restart."""
+    """The writer for a checkpoint path, where no query is known."""
     return "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
@@ -48,12 +64,16 @@ class EpochWriter:
         self.writer = options.writer or writer_of(options.checkpoint)
         self.store = TableStore(spark, table=options.table, database=options.database,
                                 path=options.path)
-        self.plan = plan_insert(df, options, self.store)
+        self._named = bool(options.writer)
+        self.plan = replace(plan_insert(df, options, self.store), streaming=True)
         # Verdict and rows must come from one evaluation unless the caller knows better.
         self.evaluate_once = True if options.evaluate_once is None else options.evaluate_once
         self._scratch = storage.scratch_path(spark, self.writer)
 
     def __call__(self, batch: DataFrame, epoch: int) -> Epoch:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query and not self._named:
+            self.writer = query_writer(query)
         scratch = f"{self._scratch}-{epoch}"
         try:
             return insert_epoch(batch, self.plan, self.store, self.writer, epoch,
@@ -62,6 +82,8 @@ class EpochWriter:
             storage.remove(batch.sparkSession, scratch)
 
     def result(self, query=None) -> InsertResult:
+        if query is not None and not self._named:
+            self.writer = query_writer(query.id)
         return InsertResult(self.plan, self.store, self.writer, None, query=query)
 
 
