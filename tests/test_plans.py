@@ -117,7 +117,7 @@ def test_failed_keys_above_the_bound_are_shuffled(events, target, monkeypatch):
 
 def test_reading_one_insert_lists_its_folder_only(spark, target):
     for _ in range(3):
-        done = tg.insert(spark.range(10), path=target)
+        done = tg.insert(spark.range(10), path=target, writer="one")
     assert {f.rsplit("/", 2)[-2] for f in done.rows.inputFiles()} == {"_epoch=2"}
 
 
