@@ -92,11 +92,12 @@ def removed_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_c
     shared = ws.keep(single.groupBy("line").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("holders"))
                      .where("holders > 1"), "shared")
     pairs = ws.keep(
-        single.join(shared, "line").where(F.col("doc") > F.col("first"))
+        single.join(shared.hint("merge"), "line").where(F.col("doc") > F.col("first"))
         .groupBy(F.col(f"doc.{ROW}").alias(ROW), F.col(f"first.{ROW}").alias("early"))
         .agg(F.min("holders").alias("rarest")), "pairs")
-    later = pairs.join(whole.select(ROW, F.col("lines").alias("late_lines")), ROW)
-    both = later.join(whole.select(F.col(ROW).alias("early"), F.col("lines").alias("early_lines")), "early")
+    # Both sides grow with the corpus: shuffled at every size, never broadcast.
+    later = pairs.join(whole.select(ROW, F.col("lines").alias("late_lines")).hint("merge"), ROW)
+    both = later.join(whole.select(F.col(ROW).alias("early"), F.col("lines").alias("early_lines")).hint("merge"), "early")
     gone = both.select(ROW, "early_lines", "late_lines").mapInArrow(_align, f"{ROW} long, gone array<int>")
     return ws.keep(gone.select(ROW, F.explode("gone").alias("place")).distinct()
                    .groupBy(ROW).agg(F.collect_list("place").alias("gone")), "gone")
@@ -107,7 +108,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ws = Workspace(docs.sparkSession, "line-dedup")
     docs = pinned(ws, docs)
     gone = removed_lines(ws, docs, id_col, text_col)
-    out = docs.withColumn(ROW, F.monotonically_increasing_id()).join(gone.withColumnRenamed("gone", "__places"), ROW, "left")
+    out = docs.withColumn(ROW, F.monotonically_increasing_id()).join(
+        gone.withColumnRenamed("gone", "__places").hint("merge"), ROW, "left")
     out = out.withColumn("__split", F.when(F.col("__places").isNotNull(), F.split(F.col(text_col), "\n")))
     kept = F.expr("""array_join(transform(array_except(sequence(0, size(__split) - 1), __places),
                                           i -> __split[i]), '\n')""")
