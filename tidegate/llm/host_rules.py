@@ -116,4 +116,4 @@ def keep_good(docs: DataFrame, **columns) -> DataFrame:
     docs = pinned(ws, docs)
     kept = ws.keep(judge(docs, ws=ws, **columns).where("kept").select(ROW), "kept")
     return (docs.withColumn(ROW, F.monotonically_increasing_id())
-            .join(kept, ROW, "left_semi").drop(ROW))
+            .join(kept.hint("merge"), ROW, "left_semi").drop(ROW))

@@ -165,6 +165,6 @@ def repeat_by_mix(docs: DataFrame, **columns) -> DataFrame:
     docs = pinned(ws, docs)
     taken = ws.keep(mix(docs, ws=ws, **columns).where("copies > 0").select(
         ROW, F.col("copies").alias("__copies")), "taken")
-    return (docs.withColumn(ROW, F.monotonically_increasing_id()).join(taken, ROW)
+    return (docs.withColumn(ROW, F.monotonically_increasing_id()).join(taken.hint("merge"), ROW)
             .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
             .select(*docs.columns))
