@@ -11,7 +11,8 @@ set is compared with the leader it shares most tokens with. Sets found similar t
 inherit its answers: they are in its class, so pairs inside a class are never made. For
 the rest the leader's answer bounds theirs, since the Jaccard distance is a metric: sets
 whose distances to a common leader differ by more than 1 - t can't be similar. What these
-bounds leave is compared exactly. A group of N copies thus costs about N comparisons.
+bounds leave is compared exactly, block of sets against block of sets. A group of N copies thus
+costs about N comparisons.
 
 The order of the tokens only decides the work, never the result: tokens whose count among
 all sets is high come last; the list of those is bounded, and others follow hash order.
@@ -40,6 +41,10 @@ COUNTED_SHARE, HOT, HOT_TOKENS = 0.3, 40, 200_000
 ROUNDS = 3
 #: Tokens a task collects before it sends them on.
 SEND = 2_000_000
+#: Sets of a block and bytes of their tokens; a longer set is a block of its own.
+BLOCK_SETS, BLOCK_BYTES = 128, 400_000
+#: Tokens that two blocks are compared on at a time.
+STRIPE = 4096
 
 
 def _sets(batch, column: int, length: int):
@@ -175,6 +180,68 @@ def _common(batches):
                                          ["a", "b", "common", "joint"])
 
 
+def _blocks(batches):
+    """Cuts the sets (row, tokens), as they come, into blocks."""
+    rows, sizes, parts, held = [], [], [], 0
+
+    def block():
+        return pa.RecordBatch.from_arrays(
+            [pa.array([rows], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
+             pa.array([b"".join(parts)], pa.binary())], ["rows", "sizes", "tokens"])
+
+    for batch in batches:
+        for row, tokens in zip(batch.column(0), batch.column(1)):
+            tokens = tokens.as_py()
+            if rows and (len(rows) == BLOCK_SETS or held + len(tokens) > BLOCK_BYTES):
+                yield block()
+                rows, sizes, parts, held = [], [], [], 0
+            rows.append(row.as_py())
+            sizes.append(len(tokens) // 8)
+            parts.append(tokens)
+            held += len(tokens)
+    if rows:
+        yield block()
+
+
+def _grid_counts(left, left_sizes, right, right_sizes) -> np.ndarray:
+    """Common tokens of every set of one block with every set of another."""
+    shared = np.intersect1d(left, right)
+    sides = []
+    for tokens, sizes in ((left, left_sizes), (right, right_sizes)):
+        at = np.searchsorted(shared, tokens)
+        hit = np.flatnonzero(np.append(shared, np.uint64(0))[at] == tokens) if len(shared) else np.zeros(0, np.int64)
+        hit = hit[at[hit] < len(shared)]
+        sides.append((np.repeat(np.arange(len(sizes)), sizes)[hit], at[hit], len(sizes)))
+    counts = np.zeros((len(left_sizes), len(right_sizes)), np.float32)
+    for start in range(0, len(shared), STRIPE):
+        grids = []
+        for member, at, n in sides:
+            inside = (at >= start) & (at < start + STRIPE)
+            grid = np.zeros((n, STRIPE), np.float32)
+            grid[member[inside], at[inside] - start] = 1
+            grids.append(grid)
+        counts += grids[0] @ grids[1].T
+    return counts.astype(np.int64)
+
+
+def _common_of_blocks(batches):
+    """a, b, common, joint for the wanted pairs of two blocks."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            pairs, rows_a, sizes_a, left, rows_b, sizes_b, right = (
+                np.frombuffer(v.as_buffer(), np.uint64) if pa.types.is_binary(v.type) or pa.types.is_large_binary(v.type)
+                else v.values.to_numpy(zero_copy_only=False) for v in (batch.column(c)[k] for c in range(7)))
+            i, j = pairs // BLOCK_SETS, pairs % BLOCK_SETS
+            if len(pairs) > len(rows_a) + len(rows_b):
+                common = _grid_counts(left, sizes_a, right, sizes_b)[i, j]
+            else:
+                a, b = (np.split(t, np.cumsum(n)[:-1]) for t, n in ((left, sizes_a), (right, sizes_b)))
+                common = np.array([len(np.intersect1d(a[x], b[y], assume_unique=True)) for x, y in zip(i, j)], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows_a[i]), pa.array(rows_b[j]), pa.array(common),
+                 pa.array(sizes_a[i].astype(np.int64) + sizes_b[j] - common)], ["a", "b", "common", "joint"])
+
+
 class JaccardJoin:
     """The join over one pinned table; the parts are kept in the workspace."""
 
@@ -227,12 +294,31 @@ class JaccardJoin:
         return found
 
     def compared(self, pairs: DataFrame) -> DataFrame:
-        """a, b, common, joint for pairs (a, b)."""
-        ends = pairs.select(F.col("a").alias(ROW)).unionByName(pairs.select(F.col("b").alias(ROW))).distinct()
-        sets = self.sets(ends.select(ROW, F.lit(None).cast("long").alias("leader"), F.lit(False).alias("leads")))
-        left = pairs.join(sets.select(F.col(ROW).alias("a"), F.col("tokens").alias("left")), "a")
-        found = self._counted(left.join(sets.select(F.col(ROW).alias("b"), F.col("tokens").alias("right")), "b"))
+        """a, b, common, joint for pairs (a, b), b the smaller row.
+
+        Rows are sorted by their smallest partner, so that those of one group are neighbours, and cut
+        into blocks. Two blocks meet once, with the list of the pairs wanted of them: a set travels
+        once for every block that it meets, not once for every pair.
+        """
+        ends = pairs.select(F.col("a").alias(ROW), F.col("b").alias("leader")).unionByName(
+            pairs.select(F.col("b").alias(ROW), F.col("b").alias("leader"))).groupBy(ROW).agg(F.min("leader").alias("leader"))
+        sets = self.sets(ends.withColumn("leads", F.lit(False)))
+        order = ["leader", ROW]
+        blocks = sets.repartitionByRange(*order).sortWithinPartitions(*order).select(ROW, "tokens").mapInArrow(
+            _blocks, "rows array<long>, sizes array<int>, tokens binary")
+        blocks = self.ws.keep(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
         self.ws.drop(sets)
+        place = blocks.select("block", F.posexplode("rows").alias("place", ROW)).hint("merge")
+        met = (pairs.join(place.select(F.col(ROW).alias("a"), F.col("block").alias("x"), F.col("place").alias("i")), "a")
+               .join(place.select(F.col(ROW).alias("b"), F.col("block").alias("y"), F.col("place").alias("j")), "b")
+               .groupBy("x", "y").agg(F.collect_list(F.col("i") * BLOCK_SETS + F.col("j")).alias("pairs")))
+        sides = {side: blocks.hint("merge").select(
+            F.col("block").alias(side), F.col("rows").alias(f"rows_{side}"), F.col("sizes").alias(f"sizes_{side}"),
+            F.col("tokens").alias(f"tokens_{side}")) for side in "xy"}
+        both = met.join(sides["x"], "x").join(sides["y"], "y").select(
+            "pairs", "rows_x", "sizes_x", "tokens_x", "rows_y", "sizes_y", "tokens_y")
+        found = self.ws.keep(both.mapInArrow(_common_of_blocks, "a long, b long, common long, joint long"), "compared")
+        self.ws.drop(blocks)
         return found
 
     def _counted(self, both: DataFrame) -> DataFrame:
