@@ -318,7 +318,9 @@ def test_blocks_of_sets_are_compared_exactly():
     for wanted in ([(i, j) for i in range(10) for j in range(10)], [(3, 4), (9, 9), (0, 8)]):
         side = [pa.array([whole["rows"]]), pa.array([whole["sizes"]], pa.list_(pa.int32())), pa.array([whole["tokens"]], pa.binary())]
         codes = pa.array([[i * jaccard_join.BLOCK_SETS + j for i, j in wanted]], pa.list_(pa.int32()))
-        batch = pa.RecordBatch.from_arrays([codes, *side, *side], list("pabcdef"))
+        trimmed = next(jaccard_join._needed([pa.RecordBatch.from_arrays([pa.array([7]), codes, *side], list("ypabc"))]))
+        assert len(trimmed["rows_x"][0]) == len({i for i, _ in wanted})
+        batch = pa.RecordBatch.from_arrays([*trimmed.columns[1:], *side], list("pabcdef"))
         found = pa.Table.from_batches(list(jaccard_join._common_of_blocks([batch]))).to_pylist()
         assert [(r["a"], r["b"], r["common"], r["joint"]) for r in found] == [
             (10 + i, 10 + j, len(set(sets[i].tolist()) & set(sets[j].tolist())), len(set(sets[i].tolist()) | set(sets[j].tolist())))

@@ -203,6 +203,21 @@ def _blocks(batches):
         yield block()
 
 
+def _needed(batches):
+    """The sets of a block that some of the wanted pairs hold, and the pairs numbered by them."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            y, pairs, rows, sizes, tokens = (batch.column(c)[k] for c in range(5))
+            pairs, rows, sizes = (v.values.to_numpy(zero_copy_only=False) for v in (pairs, rows, sizes))
+            used, place = np.unique(pairs // BLOCK_SETS, return_inverse=True)
+            sets = np.split(np.frombuffer(tokens.as_buffer(), np.uint64), np.cumsum(sizes)[:-1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([y.as_py()], pa.int64()), pa.array([(place * BLOCK_SETS + pairs % BLOCK_SETS).astype(np.int32)]),
+                 pa.array([rows[used]]), pa.array([sizes[used]]),
+                 pa.array([b"".join(sets[u].tobytes() for u in used)], pa.binary())],
+                ["y", "pairs", "rows_x", "sizes_x", "tokens_x"])
+
+
 def _grid_counts(left, left_sizes, right, right_sizes) -> np.ndarray:
     """Common tokens of every set of one block with every set of another."""
     shared = np.intersect1d(left, right)
@@ -298,7 +313,7 @@ class JaccardJoin:
 
         Rows are sorted by their smallest partner, so that those of one group are neighbours, and cut
         into blocks. Two blocks meet once, with the list of the pairs wanted of them: a set travels
-        once for every block that it meets, not once for every pair.
+        once for every block in which it has a partner, not once for every pair.
         """
         ends = pairs.select(F.col("a").alias(ROW), F.col("b").alias("leader")).unionByName(
             pairs.select(F.col("b").alias(ROW), F.col("b").alias("leader"))).groupBy(ROW).agg(F.min("leader").alias("leader"))
@@ -315,7 +330,10 @@ class JaccardJoin:
         sides = {side: blocks.hint("merge").select(
             F.col("block").alias(side), F.col("rows").alias(f"rows_{side}"), F.col("sizes").alias(f"sizes_{side}"),
             F.col("tokens").alias(f"tokens_{side}")) for side in "xy"}
-        both = met.join(sides["x"], "x").join(sides["y"], "y").select(
+        # Only the sets that a pair of the two blocks needs travel on to the other block.
+        near = met.join(sides["x"], "x").select("y", "pairs", "rows_x", "sizes_x", "tokens_x").mapInArrow(
+            _needed, "y long, pairs array<int>, rows_x array<long>, sizes_x array<int>, tokens_x binary")
+        both = near.join(sides["y"], "y").select(
             "pairs", "rows_x", "sizes_x", "tokens_x", "rows_y", "sizes_y", "tokens_y")
         found = self.ws.keep(both.mapInArrow(_common_of_blocks, "a long, b long, common long, joint long"), "compared")
         self.ws.drop(blocks)
