@@ -97,6 +97,20 @@ def test_a_bad_host_loses_its_good_documents_and_small_ones_are_shrunk(spark):
     assert found[1].kept and not found[1000].kept and found[1000].base_failed is False
 
 
+def test_junk_goes_from_mixed_hosts_and_their_clean_documents_stay(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    signs, long = good + " #$%&" * 5, good.replace("word", "w" * 20)
+    lines = "\n".join([good, *["the same line again"] * 4])
+    rows = [(i, good, "mixed") for i in range(200)]
+    rows += [(300, signs, "mixed"), (301, long, "mixed"), (302, lines, "mixed"), (303, signs, "tiny"), (304, good, "tiny")]
+    rows += [(400 + i, signs if i % 5 < 2 else good, "code") for i in range(200)] + [(700, long, "code"), (701, lines, None)]
+    judged = host_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    found = {r.doc_id: r for r in judged}
+    assert all(r.host_ok and not r.base_failed for r in judged)
+    assert all(found[i].kept for i in (*range(200), 304, *range(400, 600)))   # signs are normal for the host code
+    assert not any(found[i].kept for i in (300, 301, 302, 303, 700, 701))
+
+
 def test_mixing_meets_the_targets(docs, rows, none):
     found = mixing.mix(docs).collect()
     assert len(found) == len(rows) and all(r.taken <= 3 * r.size for r in found)

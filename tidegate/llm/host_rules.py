@@ -5,6 +5,10 @@ the failure rates are shrunk towards a beta prior fitted to all hosts by the met
 moments, and a host whose shrunk rate passes a rule's limit loses its documents. A host
 with few documents therefore needs strong evidence, a large one is judged by its own.
 
+Beside that every document answers for itself: one that fails a rule goes, unless the shrunk
+rate of its host's other documents shows that failing this rule is normal there. Junk in a mixed host goes and the
+host's clean documents stay. Failing ``short`` or ``repeats`` (``base_failed``) is never excused.
+
 Only SQL functions run. The text is read once; the rest works on one narrow row a document.
 
 Defined results: a NULL text has no words; a NULL host is a host of its own; repeated rows
@@ -20,6 +24,10 @@ from .common import ROW, SPACES, Workspace, keyed, pinned, words
 
 #: Highest shrunk failure rate of a host by rule; a host above any of them is rejected.
 LIMITS = {"short": 0.5, "repeats": 0.5, "symbols": 0.5, "lines": 0.5, "lengths": 0.5}
+#: Shrunk failure rate of a document's host, without itself, from which failing a rule is normal there.
+NORMAL = 0.3
+#: Rules whose failure no host excuses.
+BASE = ("short", "repeats")
 #: Strength of the prior, in documents: at least and at most.
 STRENGTH = (1.0, 1e6)
 
@@ -71,7 +79,8 @@ def measure(df: DataFrame, text: str) -> DataFrame:
 
 
 def host_rates(measured: DataFrame, limits: dict[str, float] = LIMITS) -> DataFrame:
-    """One row a host: n_docs, and for each rule its failures and shrunk rate; ``host_ok``."""
+    """One row a host: n_docs, and for each rule its failures and shrunk rate; ``host_ok``; ``normal``, the rules
+    whose failure the host excuses."""
     hosts = measured.groupBy("host").agg(
         F.count(F.lit(1)).alias("n_docs"),
         *[F.sum(F.expr(f"cast({RULES[r]} as bigint)")).alias(f"{r}_failures") for r in limits])
@@ -81,7 +90,7 @@ def host_rates(measured: DataFrame, limits: dict[str, float] = LIMITS) -> DataFr
         sums += [F.sum(f).alias(f"{r}_f"), F.sum(f * f / n).alias(f"{r}_ff")]
     total = hosts.agg(*sums).first()
     ok = F.lit(True)
-    columns = []
+    columns, normal = [], []
     for r, limit in limits.items():
         if not total["n"]:
             break
@@ -93,21 +102,31 @@ def host_rates(measured: DataFrame, limits: dict[str, float] = LIMITS) -> DataFr
         rate = (F.col(f"{r}_failures") + F.lit(mean * strength)) / (F.col("n_docs") + F.lit(strength))
         columns.append(rate.alias(f"{r}_rate"))
         ok &= rate <= limit
-    return hosts.select("*", *columns, ok.alias("host_ok"))
+        if r not in BASE:
+            others = (F.col(f"{r}_failures") - 1 + F.lit(mean * strength)) / (F.col("n_docs") - 1 + F.lit(strength))
+            normal.append(F.when(others >= NORMAL, F.lit(r)))
+    excused = F.array_compact(F.array(*normal)) if normal else F.array().cast("array<string>")
+    return hosts.select("*", *columns, ok.alias("host_ok"), excused.alias("normal"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
           limits: dict[str, float] = LIMITS, ws: Workspace | None = None) -> DataFrame:
-    """One row a document: its row key, doc_id, the measures, base_failed, host_ok, kept."""
+    """One row a document: its row key, doc_id, the measures, base_failed, host_ok, own_ok, kept."""
     ws = ws or Workspace(docs.sparkSession, "host-rules")
     narrow = keyed(pinned(ws, docs), F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"),
                    F.col(text_col).alias("_text"))
     measured = ws.keep(measure(narrow, "_text"), "measured")
-    verdicts = ws.keep(host_rates(measured, limits).select(F.col("host").alias("_host"), "host_ok"), "hosts")
+    verdicts = ws.keep(host_rates(measured, limits).select(
+        F.col("host").alias("_host"), "host_ok", F.col("normal").alias("_normal")), "hosts")
+    own_ok = F.lit(True)
+    for r in limits:
+        if r not in BASE:
+            own_ok &= ~F.expr(RULES[r]) | F.array_contains("_normal", r)
     return (measured.join(verdicts, F.col("host").eqNullSafe(F.col("_host")))
-            .withColumn("base_failed", F.expr(f"{RULES['short']} or {RULES['repeats']}"))
-            .withColumn("kept", F.expr("not base_failed and host_ok"))
-            .drop("_host"))
+            .withColumn("base_failed", F.expr(" or ".join(RULES[r] for r in BASE)))
+            .withColumn("own_ok", own_ok)
+            .withColumn("kept", F.expr("not base_failed and host_ok and own_ok"))
+            .drop("_host", "_normal"))
 
 
 def keep_good(docs: DataFrame, **columns) -> DataFrame:
