@@ -147,6 +147,32 @@ def test_line_dedup(docs, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def brute_line_dedup(rows):
+    """(doc_id, lines, deleted, text left): every document aligned with all earlier ones that share a line."""
+    split = [(d[1] or "").split("\n") for d in rows]
+    named = [[s if words_of(s) else None for s in lines] for lines in split]
+    out = []
+    for k, lines in enumerate(named):
+        gone = {j for e in range(k) if set(named[e]) & set(lines) - {None} for _, j in line_dedup.patience(named[e], lines)}
+        left = "\n".join(s for j, s in enumerate(split[k]) if j not in gone)
+        out.append((rows[k][0], len(lines), len(gone), left))
+    return Counter(out)
+
+
+def test_lines_are_aligned_with_every_earlier_holder(spark):
+    rng = random.Random(7)
+    rows = [(1, "x\ny"), (2, "q\ny"), (3, "y\nx"), (4, "z\ny"), (5, "y\nx\nz")]     # x goes from 3 by 1, y by 2
+    rows += [(10 + i, "\n".join(rng.choice("abcdefghijklmnopqrstuv ") for _ in range(rng.randint(1, 12)))) for i in range(60)]
+    found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((r.doc_id, r["__lines"], r["__gone"], r.text) for r in found) == brute_line_dedup(rows)
+    assert {r.doc_id: r.text for r in found}[3] == ""
+
+
+def test_ranges_without_unique_lines_are_aligned():
+    assert line_dedup.patience([7, 1, 2, 1, 2, 8], [9, 2, 1, 2, 6]) == [(2, 1), (3, 2), (4, 3)]
+    assert [i for i, _ in line_dedup.patience([5, None, 5, None], [None, 5, 6, None, 5, 5])] == [0, 2]
+
+
 def brute_sets(rows):
     fold = lambda t: re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")
     out = []

@@ -1,12 +1,17 @@
 """Line deduplication by pairwise alignment.
 
-Documents overlap where they share a line. Of a line that several documents hold, the first
-document (smallest id) keeps it, and every later holder is paired with that first one, so a
-line links each holder once, however many hold it; the rarest shared line of a pair is
-kept as evidence. Each pair is aligned by patience diff: common prefix and suffix, then
-the lines that occur once on both sides, of which the longest increasing run anchors the
-alignment, and again between the anchors. The lines of the aligned blocks are deleted
-from the later document.
+Documents overlap where they share a line. A line goes from a document if the alignment with
+any earlier document (smaller id) that holds it deletes it; the first holder keeps it. Each
+later holder is first aligned with the first holder of each of its lines, which links every
+holder once and settles nearly all. Line places that an earlier document holds and that are
+still there are then aligned with the further earlier holders, in rank: 1, 2, 4, ... holders
+a round, until the place is deleted or no earlier holder is left, so no place costs more
+than twice the alignments it needs.
+
+Each pair is aligned by patience diff: common prefix and suffix, then the lines that occur
+once on both sides, of which the longest increasing run anchors the alignment, and again
+between the anchors; a range without such lines is aligned by a longest common subsequence.
+The lines of the aligned blocks are deleted from the later document.
 
 Lines are compared by a 64-bit hash of their bytes. A pair carries two arrays of hashes,
 as long as its documents have lines; no group of documents ever meets in one task.
@@ -21,10 +26,12 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.numbering import SEQ, number_rows
 from .common import ROW, SPACES, Workspace, keyed, pinned
 
 
@@ -50,6 +57,41 @@ def _anchors(a: list, b: list, box: tuple) -> list[tuple[int, int]]:
     return run[::-1]
 
 
+def _lengths(a: list, b: list) -> np.ndarray:
+    """Length of the longest common subsequence of b and the first i of a, for every i; a row of bits a line of b."""
+    masks = {}
+    for i, line in enumerate(a):
+        masks[line] = masks.get(line, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    bits = full
+    for line in b:
+        hit = bits & masks.get(line, 0)
+        bits = ((bits + hit) | (bits - hit)) & full
+    flat = np.unpackbits(np.frombuffer(bits.to_bytes(len(a) // 8 + 1, "little"), np.uint8), bitorder="little")
+    return np.append(0, np.cumsum(1 - flat[:len(a)].astype(np.int64)))
+
+
+def _longest(a: list, b: list, box: tuple) -> list[tuple[int, int]]:
+    """A longest common subsequence of two ranges, found by halving, in memory of one row."""
+    a0, a1, b0, b1 = box
+    found, halves = [], [([*range(a0, a1)], [*range(b0, b1)])]
+    while halves:
+        x, y = halves.pop()
+        both = {a[i] for i in x} & {b[j] for j in y} - {None}
+        x, y = [i for i in x if a[i] in both], [j for j in y if b[j] in both]
+        if not x or not y:
+            continue
+        if len(y) == 1:
+            found.append((x[0], y[0]))
+            continue
+        mid = len(y) // 2
+        head = _lengths([a[i] for i in x], [b[j] for j in y[:mid]])
+        tail = _lengths([a[i] for i in reversed(x)], [b[j] for j in reversed(y[mid:])])
+        cut = int(np.argmax(head + tail[::-1]))
+        halves += [(x[:cut], y[:mid]), (x[cut:], y[mid:])]
+    return found
+
+
 def patience(a: list, b: list) -> list[tuple[int, int]]:
     """(place in a, place in b) of the aligned lines, in order. None never aligns."""
     found, boxes = [], [(0, len(a), 0, len(b))]
@@ -64,8 +106,11 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
         if a0 == a1 or b0 == b1:
             continue
         anchors = [p for p in _anchors(a, b, (a0, a1, b0, b1)) if a[p[0]] is not None]
+        if not anchors:
+            found += _longest(a, b, (a0, a1, b0, b1))
+            continue
         found += anchors
-        edges = [(a0 - 1, b0 - 1), *anchors, (a1, b1)] if anchors else []
+        edges = [(a0 - 1, b0 - 1), *anchors, (a1, b1)]
         boxes += [(i + 1, k, j + 1, m) for (i, j), (k, m) in zip(edges, edges[1:]) if k > i + 1 and m > j + 1]
     return sorted(found)
 
@@ -82,25 +127,63 @@ def _align(batches):
             [pa.array(rows, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], [ROW, "gone"])
 
 
+def _aligned(whole: DataFrame, pairs: DataFrame) -> DataFrame:
+    """__row, place of the lines that the pairs (__row, early) delete."""
+    # Both sides grow with the corpus: shuffled at every size, never broadcast.
+    later = pairs.join(whole.select(ROW, F.col("lines").alias("late_lines")).hint("merge"), ROW)
+    both = later.join(whole.select(F.col(ROW).alias("early"), F.col("lines").alias("early_lines")).hint("merge"), "early")
+    gone = both.select(ROW, "early_lines", "late_lines").mapInArrow(_align, f"{ROW} long, gone array<int>")
+    return gone.select(ROW, F.explode("gone").alias("place")).distinct()
+
+
+def _further(ws: Workspace, whole: DataFrame, single: DataFrame, left: DataFrame) -> list[DataFrame]:
+    """What the alignments with the holders after the first delete of the places ``left`` (__row, place, line)."""
+    lines = ws.keep(left.select("line").distinct(), "left-lines")
+    holders = single.join(lines.hint("merge"), "line", "left_semi").select("line", F.col("doc.id").alias("id"), ROW)
+    holders = ws.keep(number_rows(holders, ["line"], ["id", ROW], ws.folder("ranked")).select(
+        "line", ROW, F.col(SEQ).alias("rank")), "holders")
+    whole = ws.keep(whole.join(holders.select(ROW).distinct().hint("merge"), ROW, "left_semi"), "left-texts")
+    left = ws.keep(left.join(holders.hint("merge"), ["line", ROW]), "left")
+    found, low = [], 1
+    while True:
+        left = left.where(F.col("rank") > low)
+        if left.isEmpty():
+            return found
+        high = 2 * low
+        tried = left.select(ROW, "line", F.explode(F.sequence(
+            F.lit(low).cast("long"), F.least(F.lit(high).cast("long"), "rank") - 1)).alias("rank")).distinct()
+        pairs = ws.keep(tried.join(holders.withColumnRenamed(ROW, "early").hint("merge"), ["line", "rank"])
+                        .select(ROW, "early").distinct(), "further-pairs")
+        gone = ws.keep(_aligned(whole, pairs), "further-gone")
+        found.append(gone)
+        left = ws.keep(left.join(gone.hint("merge"), [ROW, "place"], "left_anti"), "left")
+        low = high
+        ws.release()
+
+
 def removed_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """__row, gone: places of the deleted lines, for the documents of a pinned input that lose any."""
     lines = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda line: F.when(
         F.btrim(line, F.lit(SPACES)) != "", F.xxhash64(line)))
     whole = ws.keep(keyed(docs, F.col(id_col).alias("id"), lines.alias("lines")), "lines")
-    single = whole.select(F.struct("id", ROW).alias("doc"), F.explode(F.array_distinct("lines")).alias("line"))
+    single = whole.select(ROW, F.struct("id", ROW).alias("doc"), F.explode(F.array_distinct("lines")).alias("line"))
     single = single.where("line is not null")
     shared = ws.keep(single.groupBy("line").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("holders"))
                      .where("holders > 1"), "shared")
-    pairs = ws.keep(
-        single.join(shared.hint("merge"), "line").where(F.col("doc") > F.col("first"))
-        .groupBy(F.col(f"doc.{ROW}").alias(ROW), F.col(f"first.{ROW}").alias("early"))
-        .agg(F.min("holders").alias("rarest")), "pairs")
-    # Both sides grow with the corpus: shuffled at every size, never broadcast.
-    later = pairs.join(whole.select(ROW, F.col("lines").alias("late_lines")).hint("merge"), ROW)
-    both = later.join(whole.select(F.col(ROW).alias("early"), F.col("lines").alias("early_lines")).hint("merge"), "early")
-    gone = both.select(ROW, "early_lines", "late_lines").mapInArrow(_align, f"{ROW} long, gone array<int>")
-    return ws.keep(gone.select(ROW, F.explode("gone").alias("place")).distinct()
-                   .groupBy(ROW).agg(F.collect_list("place").alias("gone")), "gone")
+    claims = ws.keep(single.join(shared.hint("merge"), "line").where(F.col("doc") > F.col("first"))
+                     .select(ROW, "line", F.col(f"first.{ROW}").alias("early")), "claims")
+    gone = ws.keep(_aligned(whole, claims.select(ROW, "early").distinct()), "first-gone")
+    # The places of the claimed lines that the first holders leave.
+    held = claims.groupBy(ROW).agg(F.collect_list("line").alias("held"))
+    taken = gone.groupBy(ROW).agg(F.collect_list("place").alias("taken"))
+    rest = (whole.join(held.hint("merge"), ROW).join(taken.hint("merge"), ROW, "left")
+            .select(ROW, "held", "taken", F.posexplode("lines").alias("place", "line"))
+            .where("line is not null and array_contains(held, line)"
+                   " and not coalesce(array_contains(taken, place), false)"))
+    left = ws.keep(rest.select(ROW, "place", "line"), "unsettled")
+    for more in _further(ws, whole, single, left):
+        gone = gone.unionByName(more)
+    return ws.keep(gone.distinct().groupBy(ROW).agg(F.collect_list("place").alias("gone")), "gone")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
