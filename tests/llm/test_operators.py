@@ -71,6 +71,27 @@ def test_shards(docs, rows, none):
     assert sharding.shard_rows(none).count() == 0
 
 
+def test_row_keys_hold_however_a_scan_is_split(spark, rows, docs, tmp_path):
+    from tidegate.llm.common import ROW, Workspace, keyed, pinned
+
+    texts = docs.select("doc_id", "text")
+    path = str(tmp_path / "t")
+    docs.write.json(path)
+    twice = spark.read.parquet(*docs.inputFiles(), *docs.inputFiles())
+    for given in (docs, texts.distinct(), spark.read.schema(docs.schema).json(path), twice):
+        table, found = pinned(Workspace(spark, "keys"), given), []
+        for size, least in (("128m", "1"), ("1k", "64")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            spark.conf.set("spark.sql.files.minPartitionNum", least)
+            try:
+                found.append(sorted(map(tuple, keyed(table, F.col("doc_id"), F.col("text")).collect()), key=lambda r: r[0]))
+            finally:
+                for name in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+                    spark.conf.unset(f"spark.sql.files.{name}")
+        assert found[0] == found[1] and len({r[0] for r in found[0]}) == len(found[0]) == given.count()
+
+
 def test_host_rules(docs, rows, none):
     found = host_rules.judge(docs).collect()
     expected = []

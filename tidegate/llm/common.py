@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import gc
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import storage
+from ..operators.numbering import SEQ, number_rows
 
 ROW = "__row"
+#: Place of a row in its file; bits of a key that hold it.
+_PLACE, _FILE_BITS = "_metadata.row_index", 40
 #: The bytes that separate words, as characters and as a regular expression class.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
@@ -47,22 +51,36 @@ class Workspace:
 
 
 def pinned(ws: Workspace, df: DataFrame) -> DataFrame:
-    """``df`` if it is a plain file scan, whose partitions are the same at every reading;
-    else a copy in the workspace."""
-    node = df._jdf.queryExecution().optimizedPlan()
-    while node.nodeName() in ("Project", "Filter") and node.deterministic():
-        node = node.children().apply(0)
-    if node.nodeName().startswith(("LogicalRelation", "Relation")):
+    """``df`` with a key of the row in ``__row``, equal at every reading.
+
+    A Parquet scan is keyed by its files, ranked by name, and the places of the rows in them: how
+    a scan is split depends on the cores that are there when it is planned. Any other input is
+    written with its keys.
+    """
+    if ROW in df.columns:
         return df
-    return ws.keep(df, "input")
+    if df._jdf.queryExecution().optimizedPlan().nodeName().startswith(("LogicalRelation", "Relation")):
+        try:
+            placed = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col(_PLACE).alias("__place"))
+            placed.schema
+        except AnalysisException:           # another format, which has no places
+            placed = None
+        if placed is not None:
+            files = placed.groupBy("__file").agg(F.count(F.lit(1)).alias("n"), F.max("__place").alias("last"))
+            files = ws.keep(number_rows(files, [], ["__file"], ws.folder("files")), "files")
+            # A file that is read twice repeats its places.
+            if files.where(f"n <> last + 1 or n > {1 << _FILE_BITS}").isEmpty():
+                return placed.join(files.select("__file", SEQ), "__file").select(
+                    *df.columns, (F.shiftleft(SEQ, _FILE_BITS) + F.col("__place")).alias(ROW))
+    return ws.keep(df.withColumn(ROW, F.monotonically_increasing_id()), "input")
 
 
 def keyed(df: DataFrame, *columns: Column) -> DataFrame:
-    """The given columns with a key of the row, equal at every reading of a pinned ``df``.
+    """The given columns of a pinned ``df`` with the key of the row.
 
     Documents may repeat their ids, so joins back to rows use this key.
     """
-    return df.select(F.monotonically_increasing_id().alias(ROW), *columns)
+    return df.select(ROW, *columns)
 
 
 def words(text: Column) -> Column:

@@ -134,5 +134,4 @@ def keep_good(docs: DataFrame, **columns) -> DataFrame:
     ws = Workspace(docs.sparkSession, "host-rules")
     docs = pinned(ws, docs)
     kept = ws.keep(judge(docs, ws=ws, **columns).where("kept").select(ROW), "kept")
-    return (docs.withColumn(ROW, F.monotonically_increasing_id())
-            .join(kept.hint("merge"), ROW, "left_semi").drop(ROW))
+    return (docs.join(kept.hint("merge"), ROW, "left_semi").drop(ROW))

@@ -450,4 +450,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = classes.where("comp is not null").groupBy("comp").agg(F.min(F.struct("id", ROW)).alias("first"))
     kept = ws.keep(first.select(F.col(f"first.{ROW}").alias(ROW))
                    .unionByName(classes.where("comp is null").select(ROW)), "kept")
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(kept.hint("merge"), ROW, "left_semi").drop(ROW)
+    return docs.join(kept.hint("merge"), ROW, "left_semi").drop(ROW)

@@ -191,14 +191,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ws = Workspace(docs.sparkSession, "line-dedup")
     docs = pinned(ws, docs)
     gone = removed_lines(ws, docs, id_col, text_col)
-    out = docs.withColumn(ROW, F.monotonically_increasing_id()).join(
+    out = docs.join(
         gone.withColumnRenamed("gone", "__places").hint("merge"), ROW, "left")
     out = out.withColumn("__split", F.when(F.col("__places").isNotNull(), F.split(F.col(text_col), "\n")))
     kept = F.expr("""array_join(transform(array_except(sequence(0, size(__split) - 1), __places),
                                           i -> __split[i]), '\n')""")
     text = F.when(F.col("__places").isNull(), F.col(text_col)).otherwise(kept)
     return out.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns],
+        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c != ROW],
         F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("__lines"),
         F.coalesce(F.size("__places"), F.lit(0)).alias("__gone"))
 

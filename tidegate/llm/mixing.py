@@ -162,9 +162,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def repeat_by_mix(docs: DataFrame, **columns) -> DataFrame:
     """The documents, each as often as ``mix`` takes it, with all their columns."""
     ws = Workspace(docs.sparkSession, "mixing")
-    docs = pinned(ws, docs)
+    columns_in, docs = docs.columns, pinned(ws, docs)
     taken = ws.keep(mix(docs, ws=ws, **columns).where("copies > 0").select(
         ROW, F.col("copies").alias("__copies")), "taken")
-    return (docs.withColumn(ROW, F.monotonically_increasing_id()).join(taken.hint("merge"), ROW)
+    return (docs.join(taken.hint("merge"), ROW)
             .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-            .select(*docs.columns))
+            .select(*columns_in))
