@@ -16,9 +16,10 @@ from .pitman_yor import score_texts
 from .sharding import shard_rows
 from .substring_dedup import remove_repeats
 from .toxicity import fit, score_documents
-
+from .trie_bpe import round_trip
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,7 +72,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 QUERIES = {q.__name__: q for q in (
     op1_string_kernel_toxicity, op2_multi_index_hashing, op3_pitman_yor, op4_host_rules, op5_feistel_shards, op6_entropy_mix,
-    op7_line_alignment, op8_fm_index_dedup, op9_jaccard_join, op10_best_fit_packing)}
+    op7_line_alignment, op8_fm_index_dedup, op9_jaccard_join, op10_best_fit_packing, op11_trie_bpe)}
 ORACLES: dict[str, str] = {}
