@@ -12,8 +12,11 @@ from .. import storage
 from ..operators.numbering import SEQ, number_rows
 
 ROW = "__row"
-#: Place of a row in its file; bits of a key that hold it.
-_PLACE, _FILE_BITS = "_metadata.row_index", 40
+_FILE, _RANK, _AT = "__keyed_file", "__keyed_rank", "__keyed_at"
+#: Bits of a key that hold the place of a row in its file.
+_FILE_BITS = 40
+#: Files whose ranks every task is told; the rows of more files are written with their keys.
+_RANKED_FILES = 100_000
 #: The bytes that separate words, as characters and as a regular expression class.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
@@ -50,29 +53,41 @@ class Workspace:
         self.spark.sparkContext._jvm.System.gc()
 
 
-def pinned(ws: Workspace, df: DataFrame) -> DataFrame:
-    """``df`` with a key of the row in ``__row``, equal at every reading.
+def keyed_rows(ws: Workspace, df: DataFrame, **columns: Column) -> DataFrame:
+    """The given columns of ``df`` with a key of the row in ``__row``, equal at every reading.
 
     A Parquet scan is keyed by its files, ranked by name, and the places of the rows in them: how
-    a scan is split depends on the cores that are there when it is planned. Any other input is
-    written with its keys.
+    a scan is split depends on the cores that are there when it is planned. Any other input,
+    and one of very many files, is written with its keys. No row is shuffled. Other columns of
+    ``df`` play no part, whatever their names.
     """
-    if ROW in df.columns:
-        return df
+    chosen = [c.alias(name) for name, c in columns.items()]
     if df._jdf.queryExecution().optimizedPlan().nodeName().startswith(("LogicalRelation", "Relation")):
         try:
-            placed = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col(_PLACE).alias("__place"))
-            placed.schema
+            hidden = df.metadataColumn("_metadata")
+            file, place = hidden["file_path"], hidden["row_index"]
+            files = df.select(file.alias("file"), place.alias("place"))
+            files.schema
         except AnalysisException:           # another format, which has no places
-            placed = None
-        if placed is not None:
-            files = placed.groupBy("__file").agg(F.count(F.lit(1)).alias("n"), F.max("__place").alias("last"))
-            files = ws.keep(number_rows(files, [], ["__file"], ws.folder("files")), "files")
+            files = None
+        if files is not None:
+            files = files.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.max("place").alias("last"))
+            ranked = ws.keep(number_rows(files, [], ["file"], ws.folder("files")), "files")
             # A file that is read twice repeats its places.
-            if files.where(f"n <> last + 1 or n > {1 << _FILE_BITS}").isEmpty():
-                return placed.join(files.select("__file", SEQ), "__file").select(
-                    *df.columns, (F.shiftleft(SEQ, _FILE_BITS) + F.col("__place")).alias(ROW))
-    return ws.keep(df.withColumn(ROW, F.monotonically_increasing_id()), "input")
+            if (ranked.where(f"n <> last + 1 or n > {1 << _FILE_BITS}").isEmpty()
+                    and ranked.count() <= _RANKED_FILES):
+                ranked = ranked.select(F.col("file").alias(_FILE), F.col(SEQ).alias(_RANK))
+                rows = df.select(*chosen, file.alias(_FILE), place.alias(_AT))
+                return rows.join(F.broadcast(ranked), _FILE).select(
+                    *columns, (F.shiftleft(_RANK, _FILE_BITS) + F.col(_AT)).alias(ROW))
+    return ws.keep(df.select(*chosen).withColumn(ROW, F.monotonically_increasing_id()), "input")
+
+
+def pinned(ws: Workspace, df: DataFrame) -> DataFrame:
+    """``df`` with a key of the row in ``__row``, as ``keyed_rows`` gives it."""
+    if ROW in df.columns:
+        return df
+    return keyed_rows(ws, df, **{name: df[name] for name in df.columns})
 
 
 def keyed(df: DataFrame, *columns: Column) -> DataFrame:

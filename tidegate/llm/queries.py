@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import neighbours
+from .conversation_repair import repair_damaged
 from .host_rules import judge
 from .jaccard_join import near_duplicates
 from .line_dedup import dedup_lines
@@ -15,11 +16,13 @@ from .packing import pack_documents
 from .pitman_yor import score_texts
 from .sharding import shard_rows
 from .substring_dedup import remove_repeats
+from .token_alignment import align_documents
 from .toxicity import fit, score_documents
 from .trie_bpe import round_trip
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,7 +79,16 @@ def op11_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 QUERIES = {q.__name__: q for q in (
     op1_string_kernel_toxicity, op2_multi_index_hashing, op3_pitman_yor, op4_host_rules, op5_feistel_shards, op6_entropy_mix,
-    op7_line_alignment, op8_fm_index_dedup, op9_jaccard_join, op10_best_fit_packing, op11_trie_bpe)}
+    op7_line_alignment, op8_fm_index_dedup, op9_jaccard_join, op10_best_fit_packing, op11_trie_bpe,
+    op12_conversation_repair, op13_token_alignment)}
 ORACLES: dict[str, str] = {}

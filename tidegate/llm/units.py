@@ -60,11 +60,18 @@ class Numbers:
         self._known: dict[bytes, int] = {}
         self._bytes = 0
 
+    def full(self) -> bool:
+        return len(self._known) > KNOWN_UNITS or self._bytes > KNOWN_BYTES
+
+    def clear(self) -> None:
+        """Numbers given before are void."""
+        self._known, self._bytes = {}, 0
+        self._forget()
+
     def make_room(self) -> None:
         """Between texts only: numbers given before it are void if the table was full."""
-        if len(self._known) > KNOWN_UNITS or self._bytes > KNOWN_BYTES:
-            self._known, self._bytes = {}, 0
-            self._forget()
+        if self.full():
+            self.clear()
 
     def of(self, units: list[bytes]) -> np.ndarray:
         found = list(map(self._known.get, units))
