@@ -43,6 +43,8 @@ SPLIT_BYTES, FAN, MOST_BUCKETS = 16_000_000, 64, 4096
 COUNT_UNITS = 4_000_000
 
 _B_BITS = np.int64(32)
+#: The white space that units are cut before; bytes beyond which a unit is encoded by itself.
+_SPACES, _LONG = b" \t\n\x0b\x0c", 1000
 _OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
         "groups_sha256 string")
 _PARTS = "split long, bucket int, keys binary, counts binary"
@@ -72,17 +74,18 @@ class Tokenizers:
                 plain = piece.replace("▁", " ")
                 self.b_bytes.append(plain.encode())
                 # Units are cut before a space, tab or line end that follows something else.
-                self.cuttable &= re.search("[^ ] |[\t\n\x0b\x0c]", plain) is None
+                self.cuttable &= len(plain) == 1 or re.search("[^ ] |[\t\n\x0b\x0c]", plain) is None
         self._space = self._b.piece_to_id("▁")
 
-    def a_ids(self, units: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._a.encode_batch(units, add_special_tokens=False)]
+    def a_ids(self, text: str) -> np.ndarray:
+        return np.array(self._a.encode(text, add_special_tokens=False).ids, np.int64)
 
-    def b_ids(self, units: list[str]) -> list[list[int]]:
-        """The library puts a space before what it is given: it stands for a unit's own first space, or goes."""
-        given = [u[1:] if u[0] == " " else u for u in units]
-        return [[self._space] if not g else ids if g is not u else ids[1:]
-                for u, g, ids in zip(units, given, self._b.encode(given, num_threads=1))]
+    def b_ids(self, text: str) -> np.ndarray:
+        """The library puts a space before what it is given: it stands for the text's own first space, or goes."""
+        if text == " ":
+            return np.array([self._space], np.int64)
+        ids = self._b.encode(text[1:] if text[0] == " " else text, num_threads=1)
+        return np.array(ids if text[0] == " " else ids[1:], np.int64)
 
 
 class Aligner:
@@ -92,7 +95,10 @@ class Aligner:
         self.tokenizers = Tokenizers(a_path, b_path)
         self._a_sizes, self._b_sizes = (np.fromiter(map(len, t), np.int64, len(t)) for t in (
             self.tokenizers.a_bytes, self.tokenizers.b_bytes))
-        self._names = [str(k) for k in range(max(len(self._a_sizes), len(self._b_sizes)))]
+        self._width = max(len(self._a_sizes), len(self._b_sizes))
+        #: Ids as written, before a comma, a bar and a semicolon.
+        self._written = [f"{k}{mark}" for mark in ",|;" for k in range(self._width)]
+        self._written_sizes = np.fromiter(map(len, self._written), np.int64, len(self._written))
         self._numbers = Numbers(self._learn, self._forget)
         self._forget()
 
@@ -118,42 +124,65 @@ class Aligner:
             numbers = self._numbers.of([data])
         return None if self.bad.all()[numbers].any() else numbers
 
+    def _encode(self, text: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of A and B; None if the bytes of either differ from the text's."""
+        told, t = text.decode(), self.tokenizers
+        a, b = t.a_ids(told), t.b_ids(told)
+        if b"".join(map(t.a_bytes.__getitem__, a.tolist())) == text == b"".join(map(t.b_bytes.__getitem__, b.tolist())):
+            return a, b
+        return None
+
     def _learn(self, units: list[bytes]) -> None:
-        texts = [u.decode() for u in units]
-        a_bytes, b_bytes = self.tokenizers.a_bytes, self.tokenizers.b_bytes
-        a_lists, b_lists = self.tokenizers.a_ids(texts), self.tokenizers.b_ids(texts)
-        for k, unit in enumerate(units):
-            bad = (b"".join([a_bytes[i] for i in a_lists[k]]) != unit
-                   or b"".join([b_bytes[i] for i in b_lists[k]]) != unit)
-            self.bad.add([bad])
-            if bad:
-                a_lists[k], b_lists[k], units[k] = [], [], b""
-        a, b = (np.fromiter((i for ids in lists for i in ids), np.int64) for lists in (a_lists, b_lists))
+        # Units that begin with white space and end without stay apart when they are put together.
+        apart = np.array([u[0] not in _SPACES or u[-1] in _SPACES or len(u) > _LONG for u in units])
+        together = b"".join(u for u, alone in zip(units, apart) if not alone)
+        encoded = self._encode(together) if together else None
+        if encoded is None:
+            apart[:] = True
+        parts = {k: self._encode(units[k]) for k in np.flatnonzero(apart).tolist()}
+        bad = np.array([k in parts and parts[k] is None for k in range(len(units))])
+        good = [k for k, found in parts.items() if found is not None]
+        # The units put together come first, then those encoded apart.
+        order = np.concatenate([np.flatnonzero(~apart), np.array(good, np.int64)])
+        all_ids = [e for e in (encoded, *[parts[k] for k in good]) if e is not None]
+        a, b = (np.concatenate([np.zeros(0, np.int64), *[e[side] for e in all_ids]]) for side in (0, 1))
+        ends_of = np.cumsum(np.array([len(units[k]) for k in order], np.int64))
         a_ends, b_ends = np.cumsum(self._a_sizes[a]), np.cumsum(self._b_sizes[b])
         # Between two borders of either kind lies one piece of one A and one B token: a link.
-        ends = np.union1d(a_ends, b_ends)
+        ends = np.unique(np.concatenate([a_ends, b_ends]))
         a_at, b_at = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
-        shared = (a_ends[a_at] == ends) & (b_ends[b_at] == ends)
-        until = np.searchsorted(ends, np.cumsum([len(u) for u in units]), side="right")
-        groups = np.append(0, np.cumsum(shared))[until]
-        spelled = [f"{x}|{y}" for x, y in zip(self._spell(a, np.isin(a_ends, ends[shared])),
-                                              self._spell(b, np.isin(b_ends, ends[shared])))]
-        first = np.append(0, groups[:-1])
-        self.spelled += [";".join(spelled[x:y]) for x, y in zip(first.tolist(), groups.tolist())]
-        self.n_a.add([len(ids) for ids in a_lists])
-        self.n_b.add([len(ids) for ids in b_lists])
-        self.n_groups.add(groups - first)
-        self.link_ends.add(until + self.keys.size)
-        self.keys.add(b[b_at] << _B_BITS | a[a_at])
-
-    def _spell(self, ids: np.ndarray, closes: np.ndarray) -> list[str]:
-        """The ids, comma-separated, of each group."""
-        names, out, last = self._names, [], 0
-        ids = ids.tolist()
-        for end in (np.flatnonzero(closes) + 1).tolist():
-            out.append(names[ids[last]] if end == last + 1 else ",".join([names[i] for i in ids[last:end]]))
-            last = end
-        return out
+        shared = ends[(a_ends[a_at] == ends) & (b_ends[b_at] == ends)]
+        n_a, n_b, n_groups, n_links = (np.zeros(len(units), np.int64) for _ in range(4))
+        until = {}
+        for name, n, borders in (("a", n_a, a_ends), ("b", n_b, b_ends), ("g", n_groups, shared), ("l", n_links, ends)):
+            until[name] = np.searchsorted(borders, ends_of, side="right")
+            n[order] = np.diff(until[name], prepend=0)
+        texts = self._spell(a, b, a_ends, b_ends, shared, until)
+        spelled = [""] * len(units)
+        for k, text in zip(order.tolist(), texts):
+            spelled[k] = text
+        self.spelled += spelled
+        # Links in the order of the units' numbers.
+        first = np.zeros(len(units), np.int64)
+        first[order] = until["l"] - n_links[order]
+        upto = np.cumsum(n_links)
+        links = np.repeat(first - upto + n_links, n_links) + np.arange(len(ends))
+        self.link_ends.add(upto + self.keys.size)
+        self.keys.add((b[b_at] << _B_BITS | a[a_at])[links])
+        for held, values in ((self.n_a, n_a), (self.n_b, n_b), (self.n_groups, n_groups), (self.bad, bad)):
+            held.add(values)
+
+    def _spell(self, a, b, a_ends, b_ends, shared, until) -> list[str]:
+        """The groups of each unit: A ids, a bar, B ids, joined by semicolons."""
+        group = np.concatenate([np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)])
+        side = np.repeat([0, 1], [len(a), len(b)])
+        order = np.lexsort((np.arange(len(group)), side, group))
+        codes, group, side = np.concatenate([a, b])[order], group[order], side[order]
+        last = np.append((group[1:] != group[:-1]) | (side[1:] != side[:-1]), True)[:len(group)]
+        codes = codes + self._width * np.where(last, side + 1, 0)
+        whole = "".join(map(self._written.__getitem__, codes.tolist()))
+        ends = np.append(0, np.cumsum(self._written_sizes[codes]))[until["a"] + until["b"]].tolist()
+        return [whole[x:y - 1] for x, y in zip([0, *ends[:-1]], ends)]
 
     def counted(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Distinct keys of the links of texts, and how many links have each."""
