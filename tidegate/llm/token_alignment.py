@@ -24,7 +24,9 @@ are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +47,10 @@ COUNT_UNITS = 4_000_000
 _B_BITS = np.int64(32)
 #: The white space that units are cut before; bytes beyond which a unit is encoded by itself.
 _SPACES, _LONG = b" \t\n\x0b\x0c", 1000
+#: Units encoded in one call; characters of texts whose units are looked up together.
+_TOGETHER, _CHUNK = 2000, 500_000
+#: The words of byte-level vocabularies.
+_WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
         "groups_sha256 string")
 _PARTS = "split long, bucket int, keys binary, counts binary"
@@ -76,16 +82,33 @@ class Tokenizers:
                 # Units are cut before a space, tab or line end that follows something else.
                 self.cuttable &= len(plain) == 1 or re.search("[^ ] |[\t\n\x0b\x0c]", plain) is None
         self._space = self._b.piece_to_id("▁")
+        self._ascii = self._by_ranks(a_path)
+
+    def _by_ranks(self, a_path: str):
+        """The same encoding by the ranks of tokens, which is faster, for texts whose letters and digits all
+        libraries agree on; None if ids don't follow the order of the merges."""
+        import tiktoken
+
+        with open(a_path, encoding="utf-8") as file:
+            merges = json.load(file)["model"]["merges"]
+        made = [m.replace(" ", "") if isinstance(m, str) else m[0] + m[1] for m in merges]
+        ids = self._a.get_vocab(with_added_tokens=False)
+        if [ids[token] for token in made] != list(range(256, 256 + len(made))):
+            return None
+        return tiktoken.Encoding("ranks", pat_str=_WORD, special_tokens={}, mergeable_ranks={
+            self.a_bytes[i]: i for i in ids.values()}).encode_ordinary
 
-    def a_ids(self, text: str) -> np.ndarray:
-        return np.array(self._a.encode(text, add_special_tokens=False).ids, np.int64)
+    def a_ids(self, text: str) -> list[int]:
+        if self._ascii is not None and text.isascii():
+            return self._ascii(text)
+        return self._a.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def b_ids(self, text: str) -> np.ndarray:
+    def b_ids(self, text: str) -> list[int]:
         """The library puts a space before what it is given: it stands for the text's own first space, or goes."""
         if text == " ":
-            return np.array([self._space], np.int64)
+            return [self._space]
         ids = self._b.encode(text[1:] if text[0] == " " else text, num_threads=1)
-        return np.array(ids if text[0] == " " else ids[1:], np.int64)
+        return ids if text[0] == " " else ids[1:]
 
 
 class Aligner:
@@ -113,39 +136,58 @@ class Aligner:
     def start_afresh(self) -> None:
         self._numbers.clear()
 
-    def units_of(self, text: str | None) -> np.ndarray | None:
-        """Numbers of the text's units; None if it has no tokens."""
-        if not text:
-            return None
-        data = b" " + text.encode()
-        if self.tokenizers.cuttable and plainly_spaced(data):
-            numbers = np.concatenate([self._numbers.of(units) for units in cut(data)])
-        else:
-            numbers = self._numbers.of([data])
-        return None if self.bad.all()[numbers].any() else numbers
+    def units_of(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """Numbers of the units of each text; None for a text without tokens."""
+        units, ends = [], []
+        for text in texts:
+            if text:
+                data = b" " + text.encode()
+                if self.tokenizers.cuttable and plainly_spaced(data):
+                    for part in cut(data):
+                        units += part
+                else:
+                    units.append(data)
+            ends.append(len(units))
+        numbers = self._numbers.of(units)
+        bad = np.append(0, np.cumsum(self.bad.all()[numbers]))
+        return [None if x == y or bad[y] > bad[x] else numbers[x:y] for x, y in zip([0, *ends[:-1]], ends)]
 
     def _encode(self, text: bytes) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of A and B; None if the bytes of either differ from the text's."""
         told, t = text.decode(), self.tokenizers
         a, b = t.a_ids(told), t.b_ids(told)
-        if b"".join(map(t.a_bytes.__getitem__, a.tolist())) == text == b"".join(map(t.b_bytes.__getitem__, b.tolist())):
-            return a, b
+        if b"".join(map(t.a_bytes.__getitem__, a)) == text == b"".join(map(t.b_bytes.__getitem__, b)):
+            return np.array(a, np.int64), np.array(b, np.int64)
         return None
 
     def _learn(self, units: list[bytes]) -> None:
         # Units that begin with white space and end without stay apart when they are put together.
-        apart = np.array([u[0] not in _SPACES or u[-1] in _SPACES or len(u) > _LONG for u in units])
-        together = b"".join(u for u, alone in zip(units, apart) if not alone)
-        encoded = self._encode(together) if together else None
-        if encoded is None:
-            apart[:] = True
-        parts = {k: self._encode(units[k]) for k in np.flatnonzero(apart).tolist()}
-        bad = np.array([k in parts and parts[k] is None for k in range(len(units))])
-        good = [k for k, found in parts.items() if found is not None]
-        # The units put together come first, then those encoded apart.
-        order = np.concatenate([np.flatnonzero(~apart), np.array(good, np.int64)])
-        all_ids = [e for e in (encoded, *[parts[k] for k in good]) if e is not None]
-        a, b = (np.concatenate([np.zeros(0, np.int64), *[e[side] for e in all_ids]]) for side in (0, 1))
+        order, found, plain = [], [], {True: [], False: []}
+        apart = []
+        for k, u in enumerate(units):
+            if u[0] not in _SPACES or u[-1] in _SPACES or len(u) > _LONG:
+                apart.append(k)
+            else:
+                plain[u.isascii()].append(k)
+        for numbers in plain.values():
+            for x in range(0, len(numbers), _TOGETHER):
+                some = numbers[x:x + _TOGETHER]
+                ids = self._encode(b"".join([units[k] for k in some]))
+                if ids is None:
+                    apart += some
+                else:
+                    order += some
+                    found.append(ids)
+        bad = np.zeros(len(units), bool)
+        for k in apart:
+            ids = self._encode(units[k])
+            if ids is None:
+                bad[k] = True
+            else:
+                order.append(k)
+                found.append(ids)
+        order = np.array(order, np.int64)
+        a, b = (np.concatenate([np.zeros(0, np.int64), *[ids[side] for ids in found]]) for side in (0, 1))
         ends_of = np.cumsum(np.array([len(units[k]) for k in order], np.int64))
         a_ends, b_ends = np.cumsum(self._a_sizes[a]), np.cumsum(self._b_sizes[b])
         # Between two borders of either kind lies one piece of one A and one B token: a link.
@@ -193,6 +235,20 @@ class Aligner:
         return keys, np.bincount(back, weights=weights[used], minlength=len(keys)).astype(np.int64)
 
 
+def _chunks(texts) -> Iterator[list[str | None]]:
+    """Consecutive texts, so many that a chunk is not long, at least one."""
+    held, size = [], 0
+    for text in texts:
+        text = text.as_py()
+        held.append(text)
+        size += len(text or "")
+        if size > _CHUNK:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (mix((keys >> _B_BITS).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
@@ -215,17 +271,19 @@ def _first_pass(make, buckets: int):
                  pa.array([counts[p].tobytes() for p in parts], pa.binary())], ["split", "bucket", "keys", "counts"])
 
         for batch in batches:
-            for one, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if one != split or size > COUNT_UNITS or aligner.full():
-                    if texts:
-                        yield rows()
-                    texts, size, split = [], 0, one
-                    if aligner.full():
-                        aligner.start_afresh()
-                numbers = aligner.units_of(text.as_py())
-                if numbers is not None:
-                    texts.append(numbers)
-                    size += len(numbers)
+            splits = np.asarray(batch.column(0))
+            edges = np.flatnonzero(np.append(True, splits[1:] != splits[:-1])[:len(splits)]).tolist()
+            for x, y in zip(edges, [*edges[1:], len(splits)]):
+                for chunk in _chunks(batch.column(1).slice(x, y - x)):
+                    if splits[x] != split or size > COUNT_UNITS or aligner.full():
+                        if texts:
+                            yield rows()
+                        texts, size, split = [], 0, int(splits[x])
+                        if aligner.full():
+                            aligner.start_afresh()
+                    found = [numbers for numbers in aligner.units_of(chunk) if numbers is not None]
+                    texts += found
+                    size += sum(map(len, found))
         if texts:
             yield rows()
     return run
@@ -340,11 +398,11 @@ def _second_pass(make):
                             hashlib.sha256(spelled.encode()).hexdigest()))
             waiting.clear()
 
-        for text in docs.column("text"):
+        for chunk in _chunks(docs.column("text")):
             if aligner.full():
                 finish()
                 aligner.start_afresh()
-            waiting.append(aligner.units_of(text.as_py()))
+            waiting += aligner.units_of(chunk)
         finish()
         columns = list(zip(*out)) if out else [[]] * 7
         return pa.table([docs.column("doc_id").combine_chunks(), *[pa.array(c, pa.int64()) for c in columns[:6]],
