@@ -363,26 +363,3 @@ def test_toxicity_tolerates_gaps(spark, none):
     blank = toxicity.fit(docs, labels.where("toxic = 0"))
     assert blank is None and {r.score for r in toxicity.score_documents(docs, blank).collect()} == {0.0}
     assert toxicity.score_documents(none, None).count() == 0
-
-
-def test_blocks_of_sets_are_compared_exactly():
-    import pyarrow as pa
-
-    rng = np.random.default_rng(5)
-    near = rng.integers(0, 2**63, 9000).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    sets = [np.sort(rng.choice(near, size, replace=False)) for size in (1, 4, 300, 8999, 9000, 9000, 50, 50)]
-    sets += [np.sort(rng.integers(0, 2**63, 40).astype(np.uint64)), np.array([0, 2**64 - 1], np.uint64)]
-    given = pa.RecordBatch.from_arrays([pa.array(range(10, 20)), pa.array([s.tobytes() for s in sets], pa.binary())], ["row", "t"])
-    blocks = pa.Table.from_batches(list(jaccard_join._blocks([given]))).to_pylist()
-    assert [r for b in blocks for r in b["rows"]] == list(range(10, 20))
-    whole = {"rows": list(range(10, 20)), "sizes": [len(s) for s in sets], "tokens": b"".join(s.tobytes() for s in sets)}
-    for wanted in ([(i, j) for i in range(10) for j in range(10)], [(3, 4), (9, 9), (0, 8)]):
-        side = [pa.array([whole["rows"]]), pa.array([whole["sizes"]], pa.list_(pa.int32())), pa.array([whole["tokens"]], pa.binary())]
-        codes = pa.array([[i * jaccard_join.BLOCK_SETS + j for i, j in wanted]], pa.list_(pa.int32()))
-        trimmed = next(jaccard_join._needed([pa.RecordBatch.from_arrays([pa.array([7]), codes, *side], list("ypabc"))]))
-        assert len(trimmed["rows_x"][0]) == len({i for i, _ in wanted})
-        batch = pa.RecordBatch.from_arrays([*trimmed.columns[1:], *side], list("pabcdef"))
-        found = pa.Table.from_batches(list(jaccard_join._common_of_blocks([batch]))).to_pylist()
-        assert [(r["a"], r["b"], r["common"], r["joint"]) for r in found] == [
-            (10 + i, 10 + j, len(set(sets[i].tolist()) & set(sets[j].tolist())), len(set(sets[i].tolist()) | set(sets[j].tolist())))
-            for i, j in wanted]

@@ -180,26 +180,115 @@ def _common(batches):
                                          ["a", "b", "common", "joint"])
 
 
-def _blocks(batches):
-    """Cuts the sets (row, tokens), as they come, into blocks."""
-    rows, sizes, parts, held = [], [], [], 0
+def _prefix_blocks(batches):
+    """Cuts the sets, as they come, into blocks of their listed tokens."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+    names = ["rows", "sizes", "comps", "leaders", "fars"]
+    held, parts, width = [[] for _ in names], [], 0
 
     def block():
         return pa.RecordBatch.from_arrays(
-            [pa.array([rows], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-             pa.array([b"".join(parts)], pa.binary())], ["rows", "sizes", "tokens"])
+            [*[pa.array([v], pa.list_(k)) for v, k in zip(held, kinds)],
+             pa.array([[len(p) for p in parts]], pa.list_(pa.int64())),
+             pa.array([np.concatenate(parts).tobytes()], pa.binary())], [*names, "counts", "tokens"])
 
     for batch in batches:
-        for row, tokens in zip(batch.column(0), batch.column(1)):
-            tokens = tokens.as_py()
-            if rows and (len(rows) == BLOCK_SETS or held + len(tokens) > BLOCK_BYTES):
+        columns = [c.to_pylist() for c in batch.columns[:5]]
+        for k, tokens in enumerate(batch.column(5)):
+            tokens = np.sort(tokens.values.to_numpy(zero_copy_only=False)).view(np.uint64)
+            if parts and (len(parts) == BLOCK_SETS or width + tokens.nbytes > BLOCK_BYTES):
                 yield block()
-                rows, sizes, parts, held = [], [], [], 0
-            rows.append(row.as_py())
-            sizes.append(len(tokens) // 8)
+                held, parts, width = [[] for _ in names], [], 0
+            for part, column in zip(held, columns):
+                part.append(column[k])
             parts.append(tokens)
-            held += len(tokens)
-    if rows:
+            width += tokens.nbytes
+    if parts:
+        yield block()
+
+
+def _block_tokens(batches):
+    """The different tokens of a block, with the least and the largest size of its sets."""
+    for batch in batches:
+        for block, sizes, tokens in zip(*batch.columns):
+            found = np.unique(np.frombuffer(tokens.as_buffer(), np.uint64))
+            sizes = sizes.values.to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [u64(found), *[pa.array(np.full(len(found), v, np.int64)) for v in (block.as_py(), sizes.min(), sizes.max())]],
+                ["token", "block", "low", "high"])
+
+
+def _arrays(batch, k: int) -> list:
+    """The columns of one row: lists and binaries as arrays."""
+    out = []
+    for column in batch.columns:
+        value = column[k]
+        if pa.types.is_binary(value.type) or pa.types.is_large_binary(value.type):
+            out.append(np.frombuffer(value.as_buffer(), np.uint64))
+        elif pa.types.is_list(value.type) or pa.types.is_large_list(value.type):
+            out.append(value.values.to_numpy(zero_copy_only=False))
+        else:
+            out.append(value.as_py())
+    return out
+
+
+def _candidates(percent: int):
+    """Of two blocks, the pairs that sizes, classes, leaders and listed tokens leave open.
+
+    ``kinds`` says which two classes a pair would link.
+    """
+    slack = 1 - percent / 100 + 1e-9
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                (x, y, rows_x, n_x, comps_x, leaders_x, fars_x, counts_x, tokens_x,
+                 rows_y, n_y, comps_y, leaders_y, fars_y, counts_y, tokens_y) = _arrays(batch, k)
+                common = _grid_counts(tokens_x, counts_x, tokens_y, counts_y)
+                (rx, ry), (nx, ny), (cx, cy), (lx, ly), (fx, fy) = (
+                    (u[:, None], v[None, :]) for u, v in ((rows_x, rows_y), (n_x, n_y), (comps_x, comps_y),
+                                                          (leaders_x, leaders_y), (fars_x, fars_y)))
+                # Up to the end of the prefix that ends first, common tokens are all in both lists.
+                enough = (common + (percent * np.maximum(nx, ny) + 99) // 100 - 1
+                          >= (percent * (nx + ny) + 99 + percent) // (100 + percent))
+                left = ((common > 0) & enough & (cx != cy) & (percent * nx <= 100 * ny) & (percent * ny <= 100 * nx)
+                        & ((lx != ly) | (np.abs(fx - fy) <= slack)) & (lx != ry) & (ly != rx))
+                if x == y:
+                    left = np.triu(left, 1)
+                i, j = np.nonzero(left)
+                if len(i):
+                    _, kind_x = np.unique(comps_x, return_inverse=True)
+                    _, kind_y = np.unique(comps_y, return_inverse=True)
+                    used = np.union1d(rows_x[i], rows_y[j])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x], pa.int64()), pa.array([y], pa.int64()),
+                         pa.array([(i * BLOCK_SETS + j).astype(np.int32)]),
+                         pa.array([(kind_x[i] * BLOCK_SETS + kind_y[j]).astype(np.int32)]), pa.array([used])],
+                        ["x", "y", "pairs", "kinds", "used"])
+    return run
+
+
+def _set_blocks(batches):
+    """Blocks of whole sets, from (block, place, row, tokens) in this order."""
+    name, places, rows, sizes, parts = None, [], [], [], []
+
+    def block():
+        return pa.RecordBatch.from_arrays(
+            [pa.array([name], pa.int64()), pa.array([places], pa.list_(pa.int32())), pa.array([rows], pa.list_(pa.int64())),
+             pa.array([sizes], pa.list_(pa.int32())), pa.array([b"".join(parts)], pa.binary())],
+            ["block", "places", "rows", "sizes", "tokens"])
+
+    for batch in batches:
+        for one, place, row, tokens in zip(*batch.columns):
+            if one.as_py() != name:
+                if places:
+                    yield block()
+                name, places, rows, sizes, parts = one.as_py(), [], [], [], []
+            places.append(place.as_py())
+            rows.append(row.as_py())
+            parts.append(tokens.as_py())
+            sizes.append(len(parts[-1]) // 8)
+    if places:
         yield block()
 
 
@@ -207,15 +296,15 @@ def _needed(batches):
     """The sets of a block that some of the wanted pairs hold, and the pairs numbered by them."""
     for batch in batches:
         for k in range(batch.num_rows):
-            y, pairs, rows, sizes, tokens = (batch.column(c)[k] for c in range(5))
-            pairs, rows, sizes = (v.values.to_numpy(zero_copy_only=False) for v in (pairs, rows, sizes))
-            used, place = np.unique(pairs // BLOCK_SETS, return_inverse=True)
-            sets = np.split(np.frombuffer(tokens.as_buffer(), np.uint64), np.cumsum(sizes)[:-1])
+            y, pairs, kinds, places, rows, sizes, tokens = _arrays(batch, k)
+            first, at = np.unique(pairs // BLOCK_SETS, return_inverse=True)
+            used = np.searchsorted(places, first)
+            sets = np.split(tokens, np.cumsum(sizes)[:-1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([y.as_py()], pa.int64()), pa.array([(place * BLOCK_SETS + pairs % BLOCK_SETS).astype(np.int32)]),
-                 pa.array([rows[used]]), pa.array([sizes[used]]),
+                [pa.array([y], pa.int64()), pa.array([(at * BLOCK_SETS + pairs % BLOCK_SETS).astype(np.int32)]),
+                 pa.array([kinds.astype(np.int32)]), pa.array([rows[used]]), pa.array([sizes[used]]),
                  pa.array([b"".join(sets[u].tobytes() for u in used)], pa.binary())],
-                ["y", "pairs", "rows_x", "sizes_x", "tokens_x"])
+                ["y", "pairs", "kinds", "rows_x", "sizes_x", "tokens_x"])
 
 
 def _grid_counts(left, left_sizes, right, right_sizes) -> np.ndarray:
@@ -239,22 +328,22 @@ def _grid_counts(left, left_sizes, right, right_sizes) -> np.ndarray:
     return counts.astype(np.int64)
 
 
-def _common_of_blocks(batches):
-    """a, b, common, joint for the wanted pairs of two blocks."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            pairs, rows_a, sizes_a, left, rows_b, sizes_b, right = (
-                np.frombuffer(v.as_buffer(), np.uint64) if pa.types.is_binary(v.type) or pa.types.is_large_binary(v.type)
-                else v.values.to_numpy(zero_copy_only=False) for v in (batch.column(c)[k] for c in range(7)))
-            i, j = pairs // BLOCK_SETS, pairs % BLOCK_SETS
-            if len(pairs) > len(rows_a) + len(rows_b):
-                common = _grid_counts(left, sizes_a, right, sizes_b)[i, j]
-            else:
-                a, b = (np.split(t, np.cumsum(n)[:-1]) for t, n in ((left, sizes_a), (right, sizes_b)))
-                common = np.array([len(np.intersect1d(a[x], b[y], assume_unique=True)) for x, y in zip(i, j)], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows_a[i]), pa.array(rows_b[j]), pa.array(common),
-                 pa.array(sizes_a[i].astype(np.int64) + sizes_b[j] - common)], ["a", "b", "common", "joint"])
+def _links_of_blocks(percent: int):
+    """Of the wanted pairs of two blocks, a similar one for every two classes that have one."""
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                pairs, kinds, rows_a, sizes_a, left, places, rows_b, sizes_b, right = _arrays(batch, k)
+                i, j = pairs // BLOCK_SETS, np.searchsorted(places, pairs % BLOCK_SETS)
+                if len(pairs) > len(rows_a) + len(rows_b):
+                    common = _grid_counts(left, sizes_a, right, sizes_b)[i, j]
+                else:
+                    a, b = (np.split(t, np.cumsum(n)[:-1]) for t, n in ((left, sizes_a), (right, sizes_b)))
+                    common = np.array([len(np.intersect1d(a[x], b[y], assume_unique=True)) for x, y in zip(i, j)], np.int64)
+                similar = np.flatnonzero(100 * common >= percent * (sizes_a[i].astype(np.int64) + sizes_b[j] - common))
+                one = similar[np.unique(kinds[similar], return_index=True)[1]]
+                yield pa.RecordBatch.from_arrays([pa.array(rows_a[i[one]]), pa.array(rows_b[j[one]])], ["a", "b"])
+    return run
 
 
 class JaccardJoin:
@@ -308,35 +397,59 @@ class JaccardJoin:
         self.ws.drop(sets)
         return found
 
-    def compared(self, pairs: DataFrame) -> DataFrame:
-        """a, b, common, joint for pairs (a, b), b the smaller row.
+    def between(self, listed: DataFrame) -> DataFrame:
+        """a, b: similar pairs of different classes, at least one for every two classes that have one.
 
-        Rows are sorted by their smallest partner, so that those of one group are neighbours, and cut
-        into blocks. Two blocks meet once, with the list of the pairs wanted of them: a set travels
-        once for every block in which it has a partner, not once for every pair.
+        ``listed``: __row, n, comp, leader, far, tokens. Sets are sorted by leader and class, so that those of
+        one group are neighbours, and cut into blocks. Blocks that share a token meet once, whatever the number
+        of sets behind it; pairs exist inside a task only, and travel as the numbers of a block's sets.
         """
-        ends = pairs.select(F.col("a").alias(ROW), F.col("b").alias("leader")).unionByName(
-            pairs.select(F.col("b").alias(ROW), F.col("b").alias("leader"))).groupBy(ROW).agg(F.min("leader").alias("leader"))
-        sets = self.sets(ends.withColumn("leads", F.lit(False)))
-        order = ["leader", ROW]
-        blocks = sets.repartitionByRange(*order).sortWithinPartitions(*order).select(ROW, "tokens").mapInArrow(
-            _blocks, "rows array<long>, sizes array<int>, tokens binary")
-        blocks = self.ws.keep(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
-        self.ws.drop(sets)
-        place = blocks.select("block", F.posexplode("rows").alias("place", ROW)).hint("merge")
-        met = (pairs.join(place.select(F.col(ROW).alias("a"), F.col("block").alias("x"), F.col("place").alias("i")), "a")
-               .join(place.select(F.col(ROW).alias("b"), F.col("block").alias("y"), F.col("place").alias("j")), "b")
-               .groupBy("x", "y").agg(F.collect_list(F.col("i") * BLOCK_SETS + F.col("j")).alias("pairs")))
+        ws, percent = self.ws, self.percent
+        order = ["leader", "comp", ROW]
+        blocks = listed.repartitionByRange(*order).sortWithinPartitions(*order).select(
+            ROW, "n", "comp", "leader", "far", "tokens").mapInArrow(
+            _prefix_blocks, "rows array<long>, sizes array<long>, comps array<long>, leaders array<long>, "
+                            "fars array<double>, counts array<long>, tokens binary")
+        blocks = ws.keep(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
+        held = ws.keep(blocks.select("block", "sizes", "tokens").mapInArrow(
+            _block_tokens, "token long, block long, low long, high long"), "held")
+        x, y = held.alias("x"), held.alias("y")
+        met = x.join(y, F.expr(f"""x.token = y.token and x.block < y.block
+                                   and {percent} * x.low <= 100 * y.high and {percent} * y.low <= 100 * x.high"""))
+        met = met.select(F.col("x.block").alias("x"), F.col("y.block").alias("y")).distinct().unionByName(
+            blocks.select(F.col("block").alias("x"), F.col("block").alias("y")))
+        columns = ["rows", "sizes", "comps", "leaders", "fars", "counts", "tokens"]
         sides = {side: blocks.hint("merge").select(
-            F.col("block").alias(side), F.col("rows").alias(f"rows_{side}"), F.col("sizes").alias(f"sizes_{side}"),
-            F.col("tokens").alias(f"tokens_{side}")) for side in "xy"}
+            F.col("block").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "xy"}
+        both = met.join(sides["x"], "x").join(sides["y"], "y").select(
+            "x", "y", *[f"{c}_{side}" for side in "xy" for c in columns])
+        pairs = ws.keep(both.mapInArrow(
+            _candidates(percent), "x long, y long, pairs array<int>, kinds array<int>, used array<long>"), "pairs")
+        ws.drop(held)
+        ws.release()
+
+        wanted = pairs.select(F.explode("used").alias(ROW)).distinct().select(
+            ROW, F.lit(None).cast("long").alias("leader"), F.lit(False).alias("leads"))
+        sets = self.sets(wanted)
+        place = blocks.select("block", F.posexplode("rows").alias("place", ROW)).hint("merge")
+        whole = ws.keep(sets.select(ROW, "tokens").join(place, ROW).repartition("block").sortWithinPartitions("block", "place")
+                        .select("block", "place", ROW, "tokens").mapInArrow(
+                            _set_blocks, "block long, places array<int>, rows array<long>, sizes array<int>, tokens binary"),
+                        "whole")
+        ws.drop(sets)
+        sides = {side: whole.hint("merge").select(
+            F.col("block").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in whole.columns[1:]]) for side in "xy"}
         # Only the sets that a pair of the two blocks needs travel on to the other block.
-        near = met.join(sides["x"], "x").select("y", "pairs", "rows_x", "sizes_x", "tokens_x").mapInArrow(
-            _needed, "y long, pairs array<int>, rows_x array<long>, sizes_x array<int>, tokens_x binary")
-        both = near.join(sides["y"], "y").select(
-            "pairs", "rows_x", "sizes_x", "tokens_x", "rows_y", "sizes_y", "tokens_y")
-        found = self.ws.keep(both.mapInArrow(_common_of_blocks, "a long, b long, common long, joint long"), "compared")
-        self.ws.drop(blocks)
+        near = pairs.join(sides["x"], "x").select(
+            "y", "pairs", "kinds", "places_x", "rows_x", "sizes_x", "tokens_x").mapInArrow(
+            _needed, "y long, pairs array<int>, kinds array<int>, rows_x array<long>, sizes_x array<int>, tokens_x binary")
+        found = near.join(sides["y"], "y").select(
+            "pairs", "kinds", "rows_x", "sizes_x", "tokens_x", "places_y", "rows_y", "sizes_y", "tokens_y").mapInArrow(
+            _links_of_blocks(percent), "a long, b long")
+        found = ws.keep(found, "between")
+        for df in (whole, blocks, pairs):
+            ws.drop(df)
+        ws.release()
         return found
 
     def _counted(self, both: DataFrame) -> DataFrame:
@@ -404,22 +517,9 @@ class JaccardJoin:
         # Only lists with several classes can hold a link that isn't implied yet.
         marked = ws.keep(marked, "marked")
         mixed = marked.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-        open_lists = ws.keep(marked.join(mixed, "token", "left_semi"), "open")
-        x, y = open_lists.alias("x"), open_lists.alias("y")
-        slack = 1 - percent / 100 + 1e-9
-        shared = (x.join(y, F.expr(f"""x.token = y.token and x.{ROW} < y.{ROW} and x.comp <> y.comp
-                    and abs(x.block - y.block) <= 1 and {percent} * x.n <= 100 * y.n and {percent} * y.n <= 100 * x.n"""))
-                  .where(F.expr(f"x.leader <> y.leader or abs(x.far - y.far) <= {slack}"))
-                  .groupBy(F.col(f"y.{ROW}").alias("a"), F.col(f"x.{ROW}").alias("b"))
-                  .agg(F.count(F.lit(1)).alias("c"), F.first("x.n").alias("nx"), F.first("y.n").alias("ny")))
-        # Up to the end of the prefix that ends first, common tokens are all in both lists.
-        enough = F.expr(f"""c + ({percent} * greatest(nx, ny) + 99) div 100 - 1
-                            >= ({percent} * (nx + ny) + {99 + percent}) div {100 + percent}""")
-        done = compared.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        pairs = ws.keep(shared.where(enough).select("a", "b").join(done, ["a", "b"], "left_anti"), "pairs")
-        ws.release()
-        second = self.compared(pairs)
-        edges = ws.keep(edges.unionByName(second.where(similar).select("a", "b")), "links")
+        listed = marked.join(mixed, "token", "left_semi").groupBy(ROW).agg(
+            *[F.first(c).alias(c) for c in ("n", "comp", "leader", "far")], F.collect_list("token").alias("tokens"))
+        edges = ws.keep(edges.unionByName(self.between(listed)), "links")
         return edges, components(ws, edges)
 
     def classes(self) -> DataFrame:
