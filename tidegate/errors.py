@@ -24,3 +24,7 @@ class InsertFailed(IngestError):
         super().__init__(message)
         self.batches_failed = batches_failed
         self.rows_failed = rows_failed
+
+
+class DrainLimitExceeded(IngestError):
+    """An epoch was not stored within the drain limit; it was cancelled and can run again."""

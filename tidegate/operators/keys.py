@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conform import quoted
-from ..sources.tables import EPOCH, SHARD, WRITER, TableSpec
+from ..sources.tables import SHARD, TableSpec
 
 
 def shard_of(spec: TableSpec) -> Column:
@@ -46,13 +46,3 @@ def first_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFra
     chosen = F.min_by(F.struct(*[quoted(c) for c in rows.columns]), rank).alias("_row")
     return (rows.groupBy(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)])
             .agg(chosen).select("_row.*"))
-
-
-def without_stored_keys(rows: DataFrame, stored: DataFrame, keys: list[str],
-                        writer: str, epoch: int) -> DataFrame:
-    """Rows whose key the table does not hold yet, the epoch being written aside."""
-    others = (stored.where(~((F.col(WRITER) == writer) & (F.col(EPOCH) == epoch)))
-              .select(*[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-              .distinct())
-    same = [quoted(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    return rows.join(others, same, "left_anti")

@@ -18,29 +18,38 @@ from __future__ import annotations
 import logging
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import storage
-from ..errors import IngestError, InsertFailed, OptionError, SchemaMismatch
+from ..errors import DrainLimitExceeded, IngestError, InsertFailed, OptionError, SchemaMismatch
 from ..functions.conform import ColumnPlan, conform, plan_columns, quoted
 from ..functions.types import default_batch_size, split_keys, stream_columns, table_schema
 from ..options import InsertOptions
-from ..sources.tables import (EPOCH, INSERTED, SHARD, WRITER, TableSpec, TableStore, check_schema,
-                              new_spec)
-from .batching import (BAD, BATCH, CHANNEL, arrival_offsets, batches_from_counts, channel_column,
+from ..sources.tables import (CHANNEL_MARK, EPOCH, INSERTED, KINDS, SHARD, WRITER, TableSpec, TableStore,
+                              check_schema, new_spec)
+from .batching import (BAD, BATCH, CHANNEL, LOG_SCHEMA, arrival_offsets, batches_from_counts, channel_column,
                        log_from_batches, order_names, summarise_batches, with_batch_numbers)
-from .keys import first_per_key, lay_out, without_stored_keys
-from .numbering import PART, number_staged, stage
+from .deadline import Deadline
+from .key_index import anti_join, index_epoch, key_names, without_stored_keys
+from .keys import first_per_key, lay_out
+from .numbering import PART, SEQ, number_rows, number_staged, stage
 
 log = logging.getLogger(__name__)
 
 BATCH_WRITER = "batch"
 BROADCAST_ROWS = 2_000_000
+# Channels that may commit apart, and how many of them are written at a time.
+MOST_CHANNELS, CHANNELS_AT_A_TIME = 1000, 8
+# Groups into which batches that could not be stored together are split, and failures in a row
+# after which the store counts as down.
+SPLIT, DOWN_AFTER = 8, 64
 # Plan nodes that yield the same rows whenever they are read.
 REPEATING_NODES = {
     "DataSourceV2Relation", "Filter", "Generate", "LocalRelation", "LogicalRelation", "Project",
@@ -80,8 +89,9 @@ def plan_insert(df: DataFrame, options: InsertOptions, store: TableStore | None)
     if not names:
         raise OptionError("the stream has no attributes")
     reserved = [n for n in names if n == INSERTED or n.startswith("_o") and n[2:].isdigit()
+                or n.startswith("_key") and n[4:].isdigit()
                 or n in (CHANNEL, BATCH, BAD, PART, SHARD, WRITER, EPOCH, "_pos", "_seq",
-                         "_group_rows", "_salt")]
+                         "_group_rows", "_salt", "_place", "_lost")]
     if reserved:
         raise OptionError(f"reserved attribute names: {', '.join(reserved)}")
 
@@ -173,6 +183,10 @@ class Epoch:
     batches_failed: int = 0
     error: Exception | None = None
     assignments: DataFrame | None = None
+    deadline: Deadline | None = None
+
+    def out_of_time(self) -> bool:
+        return self.deadline is not None and self.deadline.passed
 
 
 @dataclass(frozen=True)
@@ -201,16 +215,39 @@ class Verdict:
 
 def insert_epoch(df: DataFrame, plan: InsertPlan, store: TableStore, writer: str, epoch: int,
                  evaluate_once: bool, scratch: str) -> Epoch:
-    """Write one epoch; running it again with the same rows replaces it."""
-    started = time.monotonic()
+    """Write one epoch, as a whole or channel by channel; running it again with the same rows
+    replaces it. An epoch over the drain limit is cancelled and raises."""
+    write = _insert_channels if plan.options.commit == "channel" else _insert_epoch
     done = Epoch(writer, epoch)
+    if plan.options.drain_limit is None:
+        return write(df, plan, store, done, evaluate_once, scratch)
+    with Deadline(store.spark, plan.options.drain_limit) as done.deadline:
+        try:
+            return write(df, plan, store, done, evaluate_once, scratch)
+        except Exception as e:
+            if not done.out_of_time():
+                raise
+            committed = store.epochs("log")
+            for name in store.writers("rows", writer):
+                if (name, epoch) not in committed:
+                    store.drop_epoch("rows", name, epoch)
+            raise DrainLimitExceeded(
+                f"epoch {epoch} of {writer} was not stored in {plan.options.drain_limit} s") from e
+
+
+def _insert_epoch(df: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch,
+                  evaluate_once: bool, scratch: str) -> Epoch:
+    started = time.monotonic()
+    writer, epoch = done.writer, done.epoch
     # The log says that an epoch is complete, so it goes before the rows are touched.
     if storage.exists(store.spark, store.epoch_path("log", writer, epoch)):
         store.drop_epoch("log", writer, epoch)
+    if plan.spec.primary_key:
+        store.drop_epoch("marks", writer, epoch)
     rows = with_helpers(df, plan)
     if not plan.options.track_batches and _nothing_to_reject(df, plan, evaluate_once):
         batches = _insert_all(rows, plan, store, done, evaluate_once, scratch)
-        _write_log(batches, store, done, started)
+        _finish(batches, plan, store, done, started)
         return done
 
     verdict = _judge(rows, plan, evaluate_once, scratch)
@@ -222,17 +259,122 @@ def insert_epoch(df: DataFrame, plan: InsertPlan, store: TableStore, writer: str
             f"{verdict.batches_failed} batches with {verdict.rows_failed} rows were rejected",
             verdict.batches_failed, verdict.rows_failed)
     _write_rows(verdict.accepted(), plan, store, done)
+    if done.error is not None:
+        verdict = _salvaged(verdict, rows, plan, store, done, scratch)
     if done.error is None:
         _write_results(plan, store, done, verdict.accepted(),
                        verdict.rejected() if verdict.rows_failed else None)
     else:
         _write_results(plan, store, done, None, verdict.rows)
-    _write_log(verdict.batches, store, done, started)
+    _finish(verdict.batches, plan, store, done, started)
     if plan.options.track_batches:
         done.assignments = _assignments(verdict, plan, done)
     return done
 
 
+def _finish(batches: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch, started: float) -> None:
+    """Index the keys of the epoch, then write its log."""
+    if plan.options.dedupe_on_key and done.error is None:
+        index_epoch(store, done.writer, done.epoch)
+    _write_log(batches, store, done, started)
+
+
+def _insert_channels(df: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch,
+                     evaluate_once: bool, scratch: str) -> Epoch:
+    """Every channel is an epoch of a writer of its own, with a log of its own.
+
+    A stream that runs an epoch again writes only the channels that did not commit. The log of the
+    whole epoch, which has no batches, follows when every channel is done.
+    """
+    spark, folder = store.spark, f"{scratch}/channels"
+    inputs = [quoted(n) for n in df.columns]
+    df.select(*inputs, plan.channel.alias(CHANNEL)).write.mode("overwrite").partitionBy(CHANNEL).parquet(folder)
+    channels = sorted(int(name.partition("=")[2]) for name in storage.children(spark, folder)
+                      if name.startswith(f"{CHANNEL}="))
+    if len(channels) > MOST_CHANNELS:
+        raise OptionError(f"{len(channels)} channels; at most {MOST_CHANNELS} can commit apart")
+    writers = {c: f"{done.writer}{CHANNEL_MARK}{c}" for c in channels}
+    committed = {w for w, e in store.epochs("log") if e == done.epoch} if plan.streaming else set()
+    for other in store.writers("log", done.writer):
+        if other not in committed or other not in writers.values():
+            for kind in KINDS:
+                store.drop_epoch(kind, other, done.epoch)
+
+    def write(channel: int) -> Epoch | Exception:
+        one = Epoch(writers[channel], done.epoch, deadline=done.deadline)
+        if one.writer in committed:
+            return one
+        rows = spark.read.schema(df.schema).parquet(f"{folder}/{CHANNEL}={channel}")
+        try:
+            return _insert_epoch(rows, plan, store, one, False, f"{scratch}/channel{channel}")
+        except Exception as e:
+            return e
+
+    # Channels written at the same time would not see each other's keys.
+    with ThreadPoolExecutor(1 if plan.options.dedupe_on_key else CHANNELS_AT_A_TIME) as pool:
+        ends = [f.result() for f in [pool.submit(inheritable_thread_target(write), c) for c in channels]]
+    for end in ends:
+        if isinstance(end, Exception):
+            raise end
+        done.rows_failed += end.rows_failed
+        done.batches_failed += end.batches_failed
+        done.error = done.error or end.error
+    store.write_epoch("log", spark.createDataFrame([], LOG_SCHEMA), done.writer, done.epoch)
+    return done
+
+
+def _salvaged(verdict: Verdict | None, rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch,
+              scratch: str) -> Verdict:
+    """After the rows of an epoch could not be stored: store what batches can be, in groups.
+
+    A group that fails is split, down to single batches, so that a batch fails alone; jobs that fail
+    leave nothing. When nothing was stored for ``DOWN_AFTER`` attempts, the store counts as down
+    and the groups left fail as they are.
+    """
+    if verdict is None or BATCH not in verdict.rows.columns:
+        verdict = _verdict(None, rows if verdict is None else verdict.rows, [CHANNEL, BATCH], plan,
+                           f"{scratch}/salvage")
+    placed = number_rows(verdict.batches.where("not failed").select(CHANNEL, BATCH), [], [CHANNEL, BATCH],
+                         f"{scratch}/places").select(CHANNEL, BATCH, F.col(SEQ).alias("_place"))
+    placed, _ = _written(placed, f"{scratch}/placed")
+    good, _ = _written(verdict.rows.join(placed, [CHANNEL, BATCH]), f"{scratch}/good")
+    todo, lost, in_a_row = [(0, placed.count())], [], 0
+    store.drop_epoch("rows", done.writer, done.epoch)
+    stored = False
+    while todo:
+        low, high = todo.pop()
+        group = (F.col("_place") >= low) & (F.col("_place") < high)
+        try:
+            store.write_epoch("rows", table_rows(good.where(group), plan, store, done, also_own=stored),
+                              done.writer, done.epoch, mode="append")
+            stored, in_a_row = True, 0
+        except Exception as e:
+            if done.out_of_time():
+                raise
+            in_a_row += 1
+            log.error("batches %s to %s of epoch %s of %s were not stored: %s", low, high - 1, done.epoch, done.writer, e)
+            if high - low == 1 or in_a_row > DOWN_AFTER:
+                lost.append(group)
+            else:
+                step = -(-(high - low) // SPLIT)
+                todo += [(k, min(k + step, high)) for k in reversed(range(low, high, step))]
+    if not stored:
+        store.drop_epoch("rows", done.writer, done.epoch)
+        return verdict
+    done.error = None
+    if not lost:
+        return verdict
+    failed = placed.where(reduce(Column.__or__, lost)).select(CHANNEL, BATCH).withColumn("_lost", F.lit(True))
+    batches, totals = _written(
+        verdict.batches.join(failed, [CHANNEL, BATCH], "left")
+        .withColumn("failed", F.col("failed") | F.coalesce("_lost", F.lit(False))).drop("_lost"),
+        f"{scratch}/judged", F.sum(F.when(F.col("failed"), F.col("n_rows"))).alias("rows"),
+        F.count(F.when(F.col("failed"), 1)).alias("batches"))
+    done.rows_failed, done.batches_failed = totals["rows"], totals["batches"]
+    return replace(verdict, batches=batches, failed=batches.where("failed").select(CHANNEL, BATCH),
+                   rows_failed=done.rows_failed, batches_failed=done.batches_failed)
+
+
 def _nothing_to_reject(df: DataFrame, plan: InsertPlan, evaluate_once: bool) -> bool:
     """Whether the verdict can be skipped.
 
@@ -264,13 +406,18 @@ def _insert_all(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoc
     if evaluate_once and reads_again:
         rows, _ = _written(rows, f"{scratch}/input")
     _write_rows(rows, plan, store, done)
-    if done.error is None:
-        _write_results(plan, store, done, rows, None)
-    else:
-        _write_results(plan, store, done, None, rows)
+    if done.error is not None:
+        verdict = _salvaged(None, rows, plan, store, done, scratch)
+        if done.error is None:
+            _write_results(plan, store, done, verdict.accepted(),
+                           verdict.rejected() if verdict.rows_failed else None)
+        else:
+            _write_results(plan, store, done, None, rows)
+        return verdict.batches
+    _write_results(plan, store, done, rows, None)
 
     counted = rows.withColumn(PART, F.spark_partition_id())
-    if shown is not None and done.error is None:
+    if shown is not None:
         counted = store.epoch_rows(done.writer, done.epoch)
         counted = counted.select(CHANNEL, PART, *[quoted(t).alias(n) for t, n in zip(shown, order)])
     if not order:
@@ -348,15 +495,21 @@ def _key_straddles(verdict: Verdict, order: list[str]) -> bool:
     return not shared.isEmpty()
 
 
-def table_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch) -> DataFrame:
-    """What is written for the accepted rows: converted, laid out, with helper columns."""
+def table_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch,
+               also_own: bool = False) -> DataFrame:
+    """What is written for the accepted rows: converted, laid out, with helper columns.
+
+    ``also_own``: rows of this epoch are stored already, whose keys count too.
+    """
     order = tuple(order_names(plan.options.order_columns))
     converted = conform(rows, plan.columns, (CHANNEL, *order))
     if plan.options.dedupe_on_key:
         keys = list(plan.spec.primary_key)
-        converted = first_per_key(converted, keys, list(order))
-        converted = without_stored_keys(converted, store.stored_rows(), keys,
-                                        done.writer, done.epoch)
+        converted = without_stored_keys(first_per_key(converted, keys, list(order)), converted,
+                                        store, keys, done.writer, done.epoch)
+        if also_own:
+            own = store.epoch_rows(done.writer, done.epoch).select(*map(quoted, keys))
+            converted = anti_join(converted, own.toDF(*key_names(keys)), keys)
     laid_out = lay_out(converted.drop(*order), plan.spec)
     return laid_out.select(*map(quoted, plan.spec.schema.fieldNames()), CHANNEL,
                            F.spark_partition_id().alias(PART), SHARD)
@@ -367,7 +520,7 @@ def _write_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoc
         store.write_epoch("rows", table_rows(rows, plan, store, done), done.writer, done.epoch)
     except Exception as e:
         # A stream runs the epoch again; offsets of rows that were not stored must not be committed.
-        if plan.options.on_failure == "fail" or plan.streaming:
+        if plan.options.on_failure == "fail" or plan.streaming or done.out_of_time():
             raise
         log.error("epoch %s of %s was not written: %s", done.epoch, done.writer, e)
         store.drop_epoch("rows", done.writer, done.epoch)
@@ -502,11 +655,12 @@ def dry_run(df: DataFrame, plan: InsertPlan) -> DryRunResult:
     return DryRunResult(df, plan, seen.get["n"])
 
 
-def insert_batch(df: DataFrame, options: InsertOptions):
+def insert_batch(df: DataFrame, options: InsertOptions, store: TableStore | None = None):
+    """``store``: where to write, in place of the target that the options name."""
     spark = df.sparkSession
     if options.dry_run:
         return dry_run(df, plan_insert(df, options, None))
-    store = TableStore(spark, table=options.table, database=options.database, path=options.path)
+    store = store or TableStore(spark, table=options.table, database=options.database, path=options.path)
     plan = plan_insert(df, options, store)
     # Inserts that run at the same time must not meet in one epoch, so each has a writer of its
     # own unless it names one, or an epoch that is meant to be replaced.

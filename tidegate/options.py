@@ -36,6 +36,8 @@ class InsertOptions:
     results: bool = True
     track_batches: bool = False
     evaluate_once: bool | None = None
+    commit: str = "epoch"
+    drain_limit: float | None = None
     epoch: int | None = None
     writer: str | None = None
     checkpoint: str | None = None
@@ -106,6 +108,11 @@ def _checked(o: InsertOptions) -> InsertOptions:
     _one_of("optional_mode", o.optional_mode, ("null", "zero"))
     _one_of("timestamp_precision", o.timestamp_precision, ("us", "ms"))
     _one_of("match", o.match, ("position", "name"))
+    _one_of("commit", o.commit, ("epoch", "channel"))
+    if o.commit == "channel" and o.track_batches:
+        raise OptionError("track_batches is for inserts that commit as a whole")
+    if o.drain_limit is not None and o.drain_limit <= 0:
+        raise OptionError(f"drain_limit must be positive, not {o.drain_limit}")
     if o.writer is not None and not re.fullmatch(r"[A-Za-z0-9_-]+", o.writer):
         raise OptionError(f"writer {o.writer!r} may only hold letters, digits, _ and -")
     if o.epoch is not None and o.epoch < 0:

@@ -15,12 +15,16 @@ from pyspark.sql.streaming import StreamingQueryException
 from .. import api, storage
 from ..operators.keys import audit_keys
 from ..operators.metrics import insert_times_final, insert_times_running, write_counters
+from ..operators.sink import insert_batch
+from ..options import resolve
 from ..sources.counters import counter_over, labelled, sample_stream, sample_stream_optional
-from ..sources.tables import INSERTED, SHARD
+from ..sources.tables import INSERTED, SHARD, TableStore
+from ..streaming.stream import EpochWriter
 
 CHANNELS = "user_id % 3"
 BATCH_SIZE = 50
 REJECT = "value > 250"
+REFUSED = "event_id % 4999 = 0"
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
@@ -67,6 +71,52 @@ def batch_atomic_reject(spark, sf_dir):
     return done.assignments
 
 
+class _Refusing(TableStore):
+    """A store whose writing tasks fail on some rows, in the first so many writes."""
+
+    def __init__(self, spark: SparkSession, path: str, predicate: str, writes: int = 10**9):
+        super().__init__(spark, path=path)
+        self._predicate, self._left = predicate, writes
+
+    def write_epoch(self, kind, df, writer, epoch, mode="overwrite"):
+        if kind == "rows" and self._left > 0:
+            self._left -= 1
+            first = df.columns[0]
+            refused = F.raise_error(F.lit("refused by the store")).cast(df.schema[first].dataType)
+            df = df.withColumn(first, F.when(F.expr(self._predicate), refused).otherwise(F.col(first)))
+        super().write_epoch(kind, df, writer, epoch, mode)
+
+
+def storage_reject(spark, sf_dir):
+    """Some rows can't be stored: their batches fail, each alone, and the others are there."""
+    events, path = _events(spark, sf_dir), _target(spark)
+    options = resolve(spark, path=path, channels=CHANNELS, order_by="event_id", batch_size=BATCH_SIZE)
+    done = insert_batch(events, options, store=_Refusing(spark, path, REFUSED))
+    stored = done.rows.select("event_id", F.lit(True).alias("stored"))
+    return done.results.select("event_id", INSERTED).join(stored, "event_id", "left").select(
+        "event_id", INSERTED, F.coalesce("stored", F.lit(False)).alias("stored"))
+
+
+def channel_restart(spark, sf_dir):
+    """Channels commit apart: the store refuses one of them, and the restart adds that one."""
+    path = _target(spark)
+    checkpoint = f"{path}-checkpoint"
+    options = {"path": path, "channels": CHANNELS, "order_by": "event_id", "batch_size": BATCH_SIZE,
+               "checkpoint": checkpoint, "commit": "channel"}
+    stream = _event_stream(spark, sf_dir)
+    writer = EpochWriter(stream, resolve(spark, **options), store=_Refusing(spark, path, "_channel = 1"))
+    failing = (stream.writeStream.foreachBatch(lambda batch, epoch: writer(batch, epoch) and None)
+               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with contextlib.suppress(StreamingQueryException):
+        failing.awaitTermination()
+    before = api.read_table(spark, path=path, committed_only=True).select("event_id", F.lit(True).alias("first_run"))
+    before.write.parquet(f"{path}-before")
+    done = api.insert(_event_stream(spark, sf_dir), trigger="availableNow", **options)
+    done.await_termination()
+    return done.rows.join(spark.read.parquet(f"{path}-before"), "event_id", "left").select(
+        "event_id", F.coalesce("first_run", F.lit(False)).alias("first_run"))
+
+
 def result_ok_filter(spark, sf_dir):
     done = _insert_events(spark, sf_dir, reject_when=REJECT)
     return done.results.where(INSERTED).select("event_id", F.lit("ok").alias("result"))
@@ -333,6 +383,8 @@ QUERIES = {
     "replay_raw": replay_raw,
     "replay_keyed": replay_keyed,
     "replay_same_epoch": replay_same_epoch,
+    "storage_reject": storage_reject,
+    "channel_restart": channel_restart,
     "counter_source": counter_source,
     "counter_source_optional": counter_source_optional,
     "list_source": list_source,
@@ -445,6 +497,10 @@ ORACLES = {
         "select event_id, cast(1 as bigint) as copies from "
         "(select event_id from events union select event_id from events) x",
     "replay_same_epoch": "select event_id, count(*) as copies from events group by event_id",
+    "storage_reject":
+        f"select event_id, bad = 0 as _Inserted_, bad = 0 as stored from (select *, max(case when {REFUSED} then 1 else 0 end) "
+        f"over (partition by channel, batch_no) as bad from ({_batched(BATCH_SIZE)}) b) v",
+    "channel_restart": f"select event_id, {CHANNELS} <> 1 as first_run from events",
     "counter_source":
         f"select cast(n as int) as id, n as id2, 'SAMPLE' as name from ({_TICKS}) t",
     "counter_source_optional":

@@ -28,7 +28,12 @@ HIDDEN = T.StructType([
     T.StructField(SHARD, T.IntegerType()),
 ])
 ADDRESS = T.StructType([T.StructField(WRITER, T.StringType()), T.StructField(EPOCH, T.LongType())])
+# Between a writer and the channel of it that commits by itself; no writer's name holds it.
+CHANNEL_MARK = ".c"
 SPEC_PROPERTY = "tidegate.spec"
+# What is stored, in the order in which it goes; the first two are catalog tables.
+KINDS = ("log", "rows", "results", "marks", "keys")
+CATALOGUED = KINDS[:2]
 
 
 @dataclass(frozen=True)
@@ -158,8 +163,8 @@ class TableStore:
             return f"{self.path}/{kind}"
         if self._root is None:
             self._root = {k: self._describe(k)["location"] for k in ("rows", "log")}
-        if kind == "results":
-            return self._root["rows"].rstrip("/").removesuffix("__rows") + "__results"
+        if kind not in CATALOGUED:
+            return self._root["rows"].rstrip("/").removesuffix("__rows") + f"__{kind}"
         return self._root[kind]
 
     def epoch_path(self, kind: str, writer: str, epoch: int) -> str:
@@ -167,28 +172,57 @@ class TableStore:
 
     # -- writing -----------------------------------------------------------------
 
-    def write_epoch(self, kind: str, df: DataFrame, writer: str, epoch: int) -> None:
-        df.write.mode("overwrite").parquet(self.epoch_path(kind, writer, epoch))
+    def write_epoch(self, kind: str, df: DataFrame, writer: str, epoch: int,
+                    mode: str = "overwrite") -> None:
+        """Replace an epoch, or append to it; what a failed job wrote does not show."""
+        df.write.mode(mode).parquet(self.epoch_path(kind, writer, epoch))
         self._register(kind, writer, epoch)
 
+    def write_beside(self, kind: str, df: DataFrame, writer: str, epoch: int, partition: str) -> None:
+        """Write what belongs to an epoch and is in no catalog, in folders by one column."""
+        df.write.mode("overwrite").partitionBy(partition).parquet(self.epoch_path(kind, writer, epoch))
+
+    def read_beside(self, kind: str, schema: T.StructType, epochs: list[tuple[str, int]]) -> DataFrame:
+        folders = [self.epoch_path(kind, *address) for address in epochs]
+        return self.spark.read.schema(schema).option("basePath", self.location(kind)).parquet(*folders)
+
+    def epochs(self, kind: str) -> set[tuple[str, int]]:
+        """Addresses of the epochs of which something of the kind is completely written."""
+        found = storage.matching(self.spark, f"{self.location(kind)}/{WRITER}=*/{EPOCH}=*/*")
+        names = [path.split("/")[-3:] for path in found]
+        return {(w.partition("=")[2], int(e.partition("=")[2])) for w, e, last in names
+                if not last.startswith("_temporary")}
+
+    def parts_of(self, kind: str, partition: str) -> set[str]:
+        """Values of the column that ``write_beside`` made folders of."""
+        found = storage.matching(self.spark, f"{self.location(kind)}/{WRITER}=*/{EPOCH}=*/{partition}=*")
+        return {path.rpartition("=")[2] for path in found}
+
     def drop_epoch(self, kind: str, writer: str, epoch: int) -> None:
         storage.remove(self.spark, self.epoch_path(kind, writer, epoch))
-        if self.name and kind != "results":
+        if self.name and kind in CATALOGUED:
             self.spark.sql(f"ALTER TABLE {self._catalog(kind)} DROP IF EXISTS "
                            f"PARTITION ({WRITER} = '{writer}', {EPOCH} = {epoch})")
 
     def forget_writer(self, writer: str) -> None:
-        """Drop every epoch of a writer: its rows, results and log."""
-        for kind in ("log", "results", "rows"):
-            folder = f"{self.location(kind)}/{WRITER}={writer}"
-            known = storage.children(self.spark, folder)
-            storage.remove(self.spark, folder)
-            if self.name and kind != "results" and known:
-                self.spark.sql(f"ALTER TABLE {self._catalog(kind)} DROP IF EXISTS "
-                               f"PARTITION ({WRITER} = '{writer}')")
+        """Drop every epoch of a writer: its log, rows, results and keys."""
+        for kind in KINDS:
+            for name in self.writers(kind, writer):
+                folder = f"{self.location(kind)}/{WRITER}={name}"
+                known = storage.children(self.spark, folder)
+                storage.remove(self.spark, folder)
+                if self.name and kind in CATALOGUED and known:
+                    self.spark.sql(f"ALTER TABLE {self._catalog(kind)} DROP IF EXISTS "
+                                   f"PARTITION ({WRITER} = '{name}')")
+
+    def writers(self, kind: str, writer: str) -> list[str]:
+        """A writer that has stored something, and the writers of its channels."""
+        found = storage.matching(self.spark, f"{self.location(kind)}/{WRITER}={writer}*")
+        names = [path.rpartition("=")[2] for path in found]
+        return [n for n in names if n == writer or n.startswith(f"{writer}{CHANNEL_MARK}")]
 
     def _register(self, kind: str, writer: str, epoch: int) -> None:
-        if self.name and kind != "results":
+        if self.name and kind in CATALOGUED:
             self.spark.sql(f"ALTER TABLE {self._catalog(kind)} ADD IF NOT EXISTS "
                            f"PARTITION ({WRITER} = '{writer}', {EPOCH} = {epoch})")
             self.spark.catalog.refreshTable(self._catalog(kind))
@@ -199,20 +233,22 @@ class TableStore:
               epoch: int | None) -> DataFrame:
         """One of the three datasets; only the folders of the writer and epoch are listed."""
         full = T.StructType(schema.fields + ADDRESS.fields)
-        base = folder = self.location(kind)
+        base = self.location(kind)
+        folders = [base]
         if writer is not None:
-            folder = f"{base}/{WRITER}={writer}"
+            folders = [f"{base}/{WRITER}={name}" for name in self.writers(kind, writer)]
         if epoch is not None:
-            folder = self.epoch_path(kind, writer, epoch)
-        if not storage.exists(self.spark, folder):
+            folders = [f"{folder}/{EPOCH}={epoch}" for folder in folders]
+        folders = [folder for folder in folders if storage.exists(self.spark, folder)]
+        if not folders:
             return self.spark.range(0).select(
                 *[F.lit(None).cast(f.dataType).alias(f.name) for f in full.fields])
-        return self.spark.read.schema(full).option("basePath", base).parquet(folder)
+        return self.spark.read.schema(full).option("basePath", base).parquet(*folders)
 
     def _read_catalog(self, kind: str, writer: str | None, epoch: int | None) -> DataFrame:
         df = self.spark.table(self._catalog(kind))
         if writer is not None:
-            df = df.where(F.col(WRITER) == writer)
+            df = df.where((F.col(WRITER) == writer) | F.col(WRITER).startswith(f"{writer}{CHANNEL_MARK}"))
         return df if epoch is None else df.where(F.col(EPOCH) == epoch)
 
     def stored_rows(self, writer: str | None = None, epoch: int | None = None) -> DataFrame:

@@ -64,6 +64,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    hadoop_path, fs = _file_system(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(hadoop_path) or []]
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Create a small file; an existing one is an error."""
     hadoop_path, fs = _file_system(spark, path)

@@ -55,15 +55,18 @@ def trigger_arguments(trigger) -> dict:
 
 
 class EpochWriter:
-    """Writes the micro-batches of one stream; call it from ``foreachBatch``."""
+    """Writes the micro-batches of one stream; call it from ``foreachBatch``.
 
-    def __init__(self, df: DataFrame, options: InsertOptions):
+    ``store``: where to write, in place of the target that the options name.
+    """
+
+    def __init__(self, df: DataFrame, options: InsertOptions, store: TableStore | None = None):
         spark = df.sparkSession
         if not (options.writer or options.checkpoint):
             raise OptionError("a streaming insert needs a checkpoint location")
         self.writer = options.writer or writer_of(options.checkpoint)
-        self.store = TableStore(spark, table=options.table, database=options.database,
-                                path=options.path)
+        self.store = store or TableStore(spark, table=options.table, database=options.database,
+                                         path=options.path)
         self._named = bool(options.writer)
         self.plan = replace(plan_insert(df, options, self.store), streaming=True)
         # Verdict and rows must come from one evaluation unless the caller knows better.
