@@ -40,13 +40,14 @@ from .units import Grown, Numbers, cut, plainly_spaced
 from .words import mix
 
 #: Bytes of text of a split, on average; splits a step of the tree takes together; buckets at most.
-SPLIT_BYTES, FAN, MOST_BUCKETS = 16_000_000, 64, 4096
+SPLIT_BYTES, FAN, MOST_BUCKETS = 32_000_000, 64, 4096
 #: Unit numbers a task collects before it counts them.
 COUNT_UNITS = 4_000_000
 
 _B_BITS = np.int64(32)
 #: The white space that units are cut before; bytes beyond which a unit is encoded by itself.
 _SPACES, _LONG = b" \t\n\x0b\x0c", 1000
+_NEVER = 1 << 40
 #: Units encoded in one call; characters of texts whose units are looked up together.
 _TOGETHER, _CHUNK = 2000, 500_000
 #: The words of byte-level vocabularies.
@@ -66,7 +67,8 @@ class Tokenizers:
         self._a, self._b = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path)
         self._a.encode_special_tokens = True
         alphabet = byte_alphabet()
-        self.a_bytes = [b"\xff\xff"] * self._a.get_vocab_size()
+        # None: an id that no text has.
+        self.a_bytes: list[bytes | None] = [None] * self._a.get_vocab_size()
         for token, number in self._a.get_vocab(with_added_tokens=False).items():
             self.a_bytes[number] = bytes(alphabet[c] for c in token)
         self.b_bytes, self.cuttable = [], True
@@ -75,7 +77,7 @@ class Tokenizers:
             if self._b.is_byte(number):
                 self.b_bytes.append(bytes([int(piece[1:-1], 16)]))
             elif self._b.is_control(number) or self._b.is_unknown(number):
-                self.b_bytes.append(b"\xff\xff")            # no text holds these bytes
+                self.b_bytes.append(None)
             else:
                 plain = piece.replace("▁", " ")
                 self.b_bytes.append(plain.encode())
@@ -114,10 +116,12 @@ class Tokenizers:
 class Aligner:
     """Links of units, worked out once as long as the table of units has room."""
 
-    def __init__(self, a_path: str, b_path: str):
-        self.tokenizers = Tokenizers(a_path, b_path)
-        self._a_sizes, self._b_sizes = (np.fromiter(map(len, t), np.int64, len(t)) for t in (
-            self.tokenizers.a_bytes, self.tokenizers.b_bytes))
+    def __init__(self, a_path: str, b_path: str, spells: bool):
+        """``spells``: keep the groups of units as text."""
+        self.tokenizers, self._spells = Tokenizers(a_path, b_path), spells
+        self._a_sizes, self._b_sizes = (
+            np.array([_NEVER if token is None else len(token) for token in tokens], np.int64)
+            for tokens in (self.tokenizers.a_bytes, self.tokenizers.b_bytes))
         self._width = max(len(self._a_sizes), len(self._b_sizes))
         #: Ids as written, before a comma, a bar and a semicolon.
         self._written = [f"{k}{mark}" for mark in ",|;" for k in range(self._width)]
@@ -153,12 +157,13 @@ class Aligner:
         return [None if x == y or bad[y] > bad[x] else numbers[x:y] for x, y in zip([0, *ends[:-1]], ends)]
 
     def _encode(self, text: bytes) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of A and B; None if the bytes of either differ from the text's."""
-        told, t = text.decode(), self.tokenizers
-        a, b = t.a_ids(told), t.b_ids(told)
-        if b"".join(map(t.a_bytes.__getitem__, a)) == text == b"".join(map(t.b_bytes.__getitem__, b)):
-            return np.array(a, np.int64), np.array(b, np.int64)
-        return None
+        """Ids of A and B; None if the bytes of B differ from the text's."""
+        told, size = text.decode(), len(text)
+        # Tokens stand for bytes of the text, but for U+2581, which B takes for a space, and ids of no text.
+        if "▁" in told:
+            return None
+        a, b = (np.array(ids, np.int64) for ids in (self.tokenizers.a_ids(told), self.tokenizers.b_ids(told)))
+        return (a, b) if self._a_sizes[a].sum() == size == self._b_sizes[b].sum() else None
 
     def _learn(self, units: list[bytes]) -> None:
         # Units that begin with white space and end without stay apart when they are put together.
@@ -191,7 +196,8 @@ class Aligner:
         ends_of = np.cumsum(np.array([len(units[k]) for k in order], np.int64))
         a_ends, b_ends = np.cumsum(self._a_sizes[a]), np.cumsum(self._b_sizes[b])
         # Between two borders of either kind lies one piece of one A and one B token: a link.
-        ends = np.unique(np.concatenate([a_ends, b_ends]))
+        ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+        ends = ends[np.append(True, ends[1:] != ends[:-1])[:len(ends)]]
         a_at, b_at = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
         shared = ends[(a_ends[a_at] == ends) & (b_ends[b_at] == ends)]
         n_a, n_b, n_groups, n_links = (np.zeros(len(units), np.int64) for _ in range(4))
@@ -199,11 +205,11 @@ class Aligner:
         for name, n, borders in (("a", n_a, a_ends), ("b", n_b, b_ends), ("g", n_groups, shared), ("l", n_links, ends)):
             until[name] = np.searchsorted(borders, ends_of, side="right")
             n[order] = np.diff(until[name], prepend=0)
-        texts = self._spell(a, b, a_ends, b_ends, shared, until)
-        spelled = [""] * len(units)
-        for k, text in zip(order.tolist(), texts):
-            spelled[k] = text
-        self.spelled += spelled
+        if self._spells:
+            spelled = [""] * len(units)
+            for k, text in zip(order.tolist(), self._spell(a, b, a_ends, b_ends, shared, until)):
+                spelled[k] = text
+            self.spelled += spelled
         # Links in the order of the units' numbers.
         first = np.zeros(len(units), np.int64)
         first[order] = until["l"] - n_links[order]
@@ -228,8 +234,8 @@ class Aligner:
 
     def counted(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Distinct keys of the links of texts, and how many links have each."""
-        often = np.bincount(np.concatenate(texts), minlength=len(self.spelled)) if texts else np.zeros(0, np.int64)
-        weights = np.repeat(often, np.diff(self.link_ends.all())[:len(often)])
+        often = np.bincount(np.concatenate([np.zeros(0, np.int64), *texts]), minlength=self.n_a.size)
+        weights = np.repeat(often, np.diff(self.link_ends.all()))
         used = np.flatnonzero(weights)
         keys, back = np.unique(self.keys.all()[used], return_inverse=True)
         return keys, np.bincount(back, weights=weights[used], minlength=len(keys)).astype(np.int64)
@@ -256,7 +262,7 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 def _first_pass(make, buckets: int):
     """Rows of ``_PARTS``: the pairs of a split in a bucket, with their counts."""
     def run(batches):
-        aligner, texts, size, split = make(), [], 0, None
+        aligner, texts, size, split = make(False), [], 0, None
 
         def rows():
             keys, counts = aligner.counted(texts)
@@ -364,8 +370,9 @@ def _second_pass(make):
     kept: dict = {}
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        aligner = kept.setdefault("aligner", None) or make()
-        kept["aligner"] = aligner
+        if "aligner" not in kept:
+            kept["aligner"] = make(True)
+        aligner = kept["aligner"]
         keys, signed = (np.concatenate([np.zeros(0, np.int64), *_ints(answers.column(c))]) for c in ("keys", "signed"))
         order = np.argsort(keys)
         keys, signed = keys[order], signed[order]
@@ -423,8 +430,8 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, id_col: str = "do
     rows = rows.select("doc_id", "text", F.expr(f"{ROW} - pmod(pmod({ROW}, 1L << 40), {share}L)").alias("split"))
     buckets = min(MOST_BUCKETS, tasks_for(spark))
 
-    def make():
-        return Aligner(a_path, b_path)
+    def make(spells: bool) -> Aligner:
+        return Aligner(a_path, b_path, spells)
 
     parts = ws.keep(rows.select("split", "text").mapInArrow(_first_pass(make, buckets), _PARTS), "pairs")
     groups = -(-parts.select("split").distinct().count() // FAN) or 1

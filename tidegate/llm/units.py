@@ -51,21 +51,33 @@ class Grown:
         return self._held[:self.size]
 
 
+class _Known(dict):
+    """Numbers of units in the order in which they are met; ``new``: those since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, unit: bytes) -> int:
+        number = self[unit] = len(self)
+        self.new.append(unit)
+        return number
+
+
 class Numbers:
     """Numbers for units. ``learn`` is told the new ones, in the order of their numbers; ``forget``
     is called when the table starts afresh."""
 
     def __init__(self, learn: Callable[[list[bytes]], None], forget: Callable[[], None]):
         self._learn, self._forget = learn, forget
-        self._known: dict[bytes, int] = {}
-        self._bytes = 0
+        self._known, self._bytes = _Known(), 0
 
     def full(self) -> bool:
         return len(self._known) > KNOWN_UNITS or self._bytes > KNOWN_BYTES
 
     def clear(self) -> None:
         """Numbers given before are void."""
-        self._known, self._bytes = {}, 0
+        self._known, self._bytes = _Known(), 0
         self._forget()
 
     def make_room(self) -> None:
@@ -74,12 +86,9 @@ class Numbers:
             self.clear()
 
     def of(self, units: list[bytes]) -> np.ndarray:
-        found = list(map(self._known.get, units))
-        if None in found:
-            new = sorted({u for u, n in zip(units, found) if n is None})
-            for unit in new:
-                self._known[unit] = len(self._known)
-                self._bytes += len(unit)
+        numbers = np.fromiter(map(self._known.__getitem__, units), np.int64, len(units))
+        if self._known.new:
+            new, self._known.new = self._known.new, []
+            self._bytes += sum(map(len, new))
             self._learn(new)
-            found = list(map(self._known.get, units))
-        return np.array(found, np.int64)
+        return numbers
