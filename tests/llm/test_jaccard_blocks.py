@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tidegate.llm import jaccard_join
 
@@ -59,8 +60,10 @@ def test_links_of_two_blocks_are_those_of_their_sets():
     assert all(any(pair in got for pair in pairs) for pairs in links.values())
 
 
-def test_many_classes_just_apart(spark, monkeypatch):
+@pytest.mark.parametrize("short", [1, 8])
+def test_many_classes_just_apart(spark, monkeypatch, short):
     """A group of near copies whose pairs lie on both sides of the bound, over many small blocks."""
+    monkeypatch.setattr(jaccard_join, "SHORT_LIST", short)
     monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 4)
     monkeypatch.setattr(jaccard_join, "ROUNDS", 1)
     rng = random.Random(4)

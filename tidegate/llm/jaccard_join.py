@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.numbering import SEQ, number_rows
 from .common import ROW, Workspace, keyed, pinned
 from .components import components
 from .words import mix, shingles, u64, words_of
@@ -43,6 +44,8 @@ ROUNDS = 3
 SEND = 2_000_000
 #: Sets of a block and bytes of their tokens; a longer set is a block of its own.
 BLOCK_SETS, BLOCK_BYTES = 128, 400_000
+#: Sets of a list up to which its pairs are made one by one; longer lists meet block against block.
+SHORT_LIST = 16
 #: Tokens that two blocks are compared on at a time.
 STRIPE = 4096
 
@@ -184,34 +187,36 @@ def _prefix_blocks(batches):
     """Cuts the sets, as they come, into blocks of their listed tokens."""
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
     names = ["rows", "sizes", "comps", "leaders", "fars"]
-    held, parts, width = [[] for _ in names], [], 0
+    held, parts, longs, width = [[] for _ in names], [], [], 0
 
     def block():
         return pa.RecordBatch.from_arrays(
             [*[pa.array([v], pa.list_(k)) for v, k in zip(held, kinds)],
              pa.array([[len(p) for p in parts]], pa.list_(pa.int64())),
-             pa.array([np.concatenate(parts).tobytes()], pa.binary())], [*names, "counts", "tokens"])
+             pa.array([np.concatenate(parts).tobytes()], pa.binary()),
+             pa.array([np.unique(np.concatenate(longs)).tobytes()], pa.binary())], [*names, "counts", "tokens", "longs"])
 
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns[:5]]
-        for k, tokens in enumerate(batch.column(5)):
-            tokens = np.sort(tokens.values.to_numpy(zero_copy_only=False)).view(np.uint64)
+        for k, (tokens, far_held) in enumerate(zip(batch.column(5), batch.column(6))):
+            tokens = np.sort(tokens.values.to_numpy(zero_copy_only=False).view(np.uint64))
             if parts and (len(parts) == BLOCK_SETS or width + tokens.nbytes > BLOCK_BYTES):
                 yield block()
-                held, parts, width = [[] for _ in names], [], 0
+                held, parts, longs, width = [[] for _ in names], [], [], 0
             for part, column in zip(held, columns):
                 part.append(column[k])
             parts.append(tokens)
+            longs.append(far_held.values.to_numpy(zero_copy_only=False).view(np.uint64))
             width += tokens.nbytes
     if parts:
         yield block()
 
 
 def _block_tokens(batches):
-    """The different tokens of a block, with the least and the largest size of its sets."""
+    """The long lists of a block, with the least and the largest size of its sets."""
     for batch in batches:
         for block, sizes, tokens in zip(*batch.columns):
-            found = np.unique(np.frombuffer(tokens.as_buffer(), np.uint64))
+            found = np.frombuffer(tokens.as_buffer(), np.uint64)
             sizes = sizes.values.to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
                 [u64(found), *[pa.array(np.full(len(found), v, np.int64)) for v in (block.as_py(), sizes.min(), sizes.max())]],
@@ -398,20 +403,21 @@ class JaccardJoin:
         return found
 
     def between(self, listed: DataFrame) -> DataFrame:
-        """a, b: similar pairs of different classes, at least one for every two classes that have one.
+        """a, b: similar pairs that meet in a long list, at least one for every two classes that have one.
 
-        ``listed``: __row, n, comp, leader, far, tokens. Sets are sorted by leader and class, so that those of
-        one group are neighbours, and cut into blocks. Blocks that share a token meet once, whatever the number
-        of sets behind it; pairs exist inside a task only, and travel as the numbers of a block's sets.
+        ``listed``: __row, n, comp, leader, far, near, tokens, longs. Sets are sorted by the first set they meet
+        in a long list, so that those of one group are neighbours, and cut into blocks. Blocks that meet in a
+        long list do so once, whatever the number of sets behind it; pairs exist inside a task only, and
+        travel as the numbers of a block's sets.
         """
         ws, percent = self.ws, self.percent
-        order = ["leader", "comp", ROW]
+        order = ["near", "leader", "comp", ROW]
         blocks = listed.repartitionByRange(*order).sortWithinPartitions(*order).select(
-            ROW, "n", "comp", "leader", "far", "tokens").mapInArrow(
+            ROW, "n", "comp", "leader", "far", "tokens", "longs").mapInArrow(
             _prefix_blocks, "rows array<long>, sizes array<long>, comps array<long>, leaders array<long>, "
-                            "fars array<double>, counts array<long>, tokens binary")
+                            "fars array<double>, counts array<long>, tokens binary, longs binary")
         blocks = ws.keep(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
-        held = ws.keep(blocks.select("block", "sizes", "tokens").mapInArrow(
+        held = ws.keep(blocks.select("block", "sizes", "longs").mapInArrow(
             _block_tokens, "token long, block long, low long, high long"), "held")
         x, y = held.alias("x"), held.alias("y")
         met = x.join(y, F.expr(f"""x.token = y.token and x.block < y.block
@@ -426,14 +432,58 @@ class JaccardJoin:
         pairs = ws.keep(both.mapInArrow(
             _candidates(percent), "x long, y long, pairs array<int>, kinds array<int>, used array<long>"), "pairs")
         ws.drop(held)
-        ws.release()
+        place = ws.keep(blocks.select("block", F.posexplode("rows").alias("place", ROW)), "place")
+        ws.drop(blocks)
+        return self.exact(place, pairs)
 
+    def met_shortly(self, open_lists: DataFrame) -> DataFrame:
+        """a, b: similar pairs that meet in a short list."""
+        ws, percent = self.ws, self.percent
+        longs = open_lists.groupBy(ROW).agg(F.count(F.when(F.col("long"), 1)).alias("longs"))
+        lists = ws.keep(open_lists.where("not long").join(longs, ROW), "short")
+        x, y = lists.alias("x"), lists.alias("y")
+        slack = 1 - percent / 100 + 1e-9
+        shared = (x.join(y, F.expr(f"""x.token = y.token and x.{ROW} < y.{ROW} and x.comp <> y.comp
+                    and {percent} * x.n <= 100 * y.n and {percent} * y.n <= 100 * x.n
+                    and (x.leader <> y.leader or abs(x.far - y.far) <= {slack})
+                    and x.leader <> y.{ROW} and y.leader <> x.{ROW}"""))
+                  .groupBy(F.col(f"y.{ROW}").alias("a"), F.col(f"x.{ROW}").alias("b"))
+                  .agg(F.count(F.lit(1)).alias("c"), F.first("x.n").alias("nx"), F.first("y.n").alias("ny"),
+                       F.first(F.least("x.longs", "y.longs")).alias("more"), F.first("x.leader").alias("leader")))
+        # Up to the end of the prefix that ends first, common tokens are all in both lists.
+        enough = F.expr(f"""c + more + ({percent} * greatest(nx, ny) + 99) div 100 - 1
+                            >= ({percent} * (nx + ny) + {99 + percent}) div {100 + percent}""")
+        pairs = ws.keep(shared.where(enough).select("a", "b", "leader", "nx", "ny"), "few")
+        ends = pairs.select(F.col("a").alias(ROW), F.col("ny").alias("n"), "leader").unionByName(
+            pairs.select(F.col("b").alias(ROW), F.col("nx").alias("n"), "leader")).groupBy(ROW).agg(
+                F.min("leader").alias("leader"), F.first("n").alias("n"))
+        numbered = number_rows(ends, [], ["leader", ROW], ws.folder("ends"))
+        # A very long set is a block of its own.
+        alone = F.col("n") * 8 * 16 > BLOCK_BYTES
+        place = ws.keep(numbered.select(
+            F.when(alone, -1 - F.col(ROW)).otherwise(F.expr(f"{SEQ} div {BLOCK_SETS}")).alias("block"),
+            F.when(alone, 0).otherwise(F.col(SEQ) % BLOCK_SETS).cast("int").alias("place"), ROW), "place")
+        sides = {end: place.hint("merge").select(F.col(ROW).alias(end), F.struct("block", "place").alias(f"at_{end}"))
+                 for end in "ab"}
+        met = pairs.select("a", "b").join(sides["a"], "a").join(sides["b"], "b").select(
+            "a", "b", F.least("at_a", "at_b").alias("i"), F.greatest("at_a", "at_b").alias("j"))
+        met = met.groupBy(F.col("i.block").alias("x"), F.col("j.block").alias("y")).agg(
+            F.collect_list((F.col("i.place") * BLOCK_SETS + F.col("j.place")).cast("int")).alias("pairs"),
+            F.array_distinct(F.flatten(F.collect_list(F.array("a", "b")))).alias("used"))
+        # Every pair counts as one of two classes of its own.
+        met = ws.keep(met.select("x", "y", "pairs", F.expr("sequence(0, size(pairs) - 1)").alias("kinds"), "used"), "met")
+        ws.drop(lists)
+        return self.exact(place, met)
+
+    def exact(self, place: DataFrame, pairs: DataFrame) -> DataFrame:
+        """a, b: of pairs of blocks (x, y, pairs, kinds, used), a similar pair of each kind."""
+        ws = self.ws
+        ws.release()
         wanted = pairs.select(F.explode("used").alias(ROW)).distinct().select(
             ROW, F.lit(None).cast("long").alias("leader"), F.lit(False).alias("leads"))
         sets = self.sets(wanted)
-        place = blocks.select("block", F.posexplode("rows").alias("place", ROW)).hint("merge")
-        whole = ws.keep(sets.select(ROW, "tokens").join(place, ROW).repartition("block").sortWithinPartitions("block", "place")
-                        .select("block", "place", ROW, "tokens").mapInArrow(
+        whole = ws.keep(sets.select(ROW, "tokens").join(place.hint("merge"), ROW).repartition("block")
+                        .sortWithinPartitions("block", "place").select("block", "place", ROW, "tokens").mapInArrow(
                             _set_blocks, "block long, places array<int>, rows array<long>, sizes array<int>, tokens binary"),
                         "whole")
         ws.drop(sets)
@@ -445,9 +495,9 @@ class JaccardJoin:
             _needed, "y long, pairs array<int>, kinds array<int>, rows_x array<long>, sizes_x array<int>, tokens_x binary")
         found = near.join(sides["y"], "y").select(
             "pairs", "kinds", "rows_x", "sizes_x", "tokens_x", "places_y", "rows_y", "sizes_y", "tokens_y").mapInArrow(
-            _links_of_blocks(percent), "a long, b long")
+            _links_of_blocks(self.percent), "a long, b long")
         found = ws.keep(found, "between")
-        for df in (whole, blocks, pairs):
+        for df in (whole, place, pairs):
             ws.drop(df)
         ws.release()
         return found
@@ -516,10 +566,16 @@ class JaccardJoin:
                           F.coalesce("leader", ROW).alias("leader"), F.coalesce("far", F.lit(0.0)).alias("far")))
         # Only lists with several classes can hold a link that isn't implied yet.
         marked = ws.keep(marked, "marked")
-        mixed = marked.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-        listed = marked.join(mixed, "token", "left_semi").groupBy(ROW).agg(
-            *[F.first(c).alias(c) for c in ("n", "comp", "leader", "far")], F.collect_list("token").alias("tokens"))
-        edges = ws.keep(edges.unionByName(self.between(listed)), "links")
+        mixed = marked.groupBy("token").agg(
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(ROW).alias("first"),
+            (F.count(F.lit(1)) > SHORT_LIST).alias("long")).where("lo <> hi").select("token", "first", "long")
+        open_lists = ws.keep(marked.join(mixed, "token"), "open")
+        ws.drop(marked)
+        listed = open_lists.groupBy(ROW).agg(
+            *[F.first(c).alias(c) for c in ("n", "comp", "leader", "far")],
+            F.min(F.when(F.col("long"), F.col("first"))).alias("near"), F.collect_list("token").alias("tokens"),
+            F.collect_list(F.when(F.col("long"), F.col("token"))).alias("longs")).where("near is not null")
+        edges = ws.keep(edges.unionByName(self.between(listed)).unionByName(self.met_shortly(open_lists)), "links")
         return edges, components(ws, edges)
 
     def classes(self) -> DataFrame:
