@@ -1,7 +1,7 @@
 """An index of the primary keys of every epoch, so that de-duplication reads few stored keys.
 
-Beside its rows an epoch keeps its keys in files by hash bucket, and a mark for every slot
-of about ``SLOT_KEYS`` of them: the range of the first key column, and a bitmap of the
+Beside its rows a large epoch keeps its keys in files by hash bucket (the keys of a small one are read from
+its rows), and every epoch a mark for every slot of about ``SLOT_KEYS`` of them: the range of the first key column, and a bitmap of the
 hashes. A new epoch marks its own keys the same way. Only buckets with a slot whose range overlaps
 and whose bitmap shares a bit with the new one's can hold one of its keys; only their files
 are read, for an exact anti-join. A mark takes about a byte a key, and the ranges prune the bitmaps
@@ -22,6 +22,8 @@ from ..sources.tables import EPOCH, WRITER, TableStore
 #: epochs with a hit are read whole.
 SLOT_KEYS, BUCKET_KEYS, NAMED_FILES = 4096, 1_000_000, 10_000
 SLOTS, BUCKET = "_slots", "_bucket"
+#: The bucket of keys that are read from the rows; epochs up to which ranges are not looked at beforehand.
+IN_ROWS, FEW_EPOCHS = -1, 8
 _SLOT_BITS = 32_768
 
 
@@ -50,17 +52,18 @@ def _marks(named: DataFrame, slots: Column, *also: str) -> DataFrame:
                 F.bitmap_construct_agg(F.expr(f"pmod(shiftright(_h, 40), {_SLOT_BITS}L)")).alias("bits")))
 
 
-def index_epoch(store: TableStore, writer: str, epoch: int) -> None:
-    """Write the keys and marks of a stored epoch."""
+def index_epoch(store: TableStore, writer: str, epoch: int, n: int | None = None) -> None:
+    """Write the marks of a stored epoch of ``n`` rows, and its keys if they fill several buckets."""
     keys = list(store.spec().primary_key)
     rows = store.stored_rows(writer, epoch)
-    n = rows.count()
+    n = rows.count() if n is None else n
     slots, buckets = _power(-(-n // SLOT_KEYS)), _power(-(-n // BUCKET_KEYS))
-    named = _named(rows, keys)
-    placed = named.withColumn(BUCKET, F.expr(f"pmod(xxhash64({', '.join(named.columns)}), {buckets}L)"))
-    placed = placed.repartition(BUCKET) if buckets > 1 else placed.coalesce(1)
-    store.write_beside("keys", placed, writer, epoch, partition=BUCKET)
-    marks = _marks(named, F.lit(slots).cast("bigint")).withColumn(BUCKET, F.expr(f"pmod(slot, {buckets}L)"))
+    named, bucket = _named(rows, keys), F.lit(IN_ROWS).cast("bigint")
+    if buckets > 1:
+        placed = named.withColumn(BUCKET, F.expr(f"pmod(xxhash64({', '.join(named.columns)}), {buckets}L)"))
+        store.write_beside("keys", placed.repartition(BUCKET), writer, epoch, partition=BUCKET)
+        bucket = F.expr(f"pmod(slot, {buckets}L)")
+    marks = _marks(named, F.lit(slots).cast("bigint")).withColumn(BUCKET, bucket)
     store.write_beside("marks", marks, writer, epoch, partition=SLOTS)
 
 
@@ -72,6 +75,17 @@ def _mark_schema(first: T.DataType) -> T.StructType:
         T.StructField(EPOCH, T.LongType()), T.StructField(SLOTS, T.LongType())])
 
 
+def _in_range(marks: DataFrame, named: DataFrame) -> DataFrame:
+    """Marks that overlap the range of all keys: bounds as literals, so that Parquet skips the bitmaps
+    of the others."""
+    first = named.schema["_key0"].dataType
+    bounds = named.agg(F.min("_key0").alias("lo"), F.max("_key0").alias("hi"),
+                       F.max(F.col("_key0").isNull()).alias("nulls")).first()
+    near = F.lit(False) if bounds["lo"] is None else (
+        (F.col("hi") >= F.lit(bounds["lo"]).cast(first)) & (F.col("lo") <= F.lit(bounds["hi"]).cast(first)))
+    return marks.where(near | F.col("nulls") if bounds["nulls"] else near)
+
+
 def matching_buckets(incoming: DataFrame, store: TableStore, keys: list[str], writer: str,
                      epoch: int) -> list[str]:
     """Folders of the key files that may hold a key of ``incoming``, of other committed epochs."""
@@ -82,16 +96,9 @@ def matching_buckets(incoming: DataFrame, store: TableStore, keys: list[str], wr
     for address in sorted(others - indexed):
         index_epoch(store, *address)
     named = _named(incoming, keys)
-    first = named.schema["_key0"].dataType
-    marks = store.read_beside("marks", _mark_schema(first), sorted(others))
-    # The bounds as literals, so that Parquet skips the bitmaps of slots out of range.
-    bounds = named.agg(F.min("_key0").alias("lo"), F.max("_key0").alias("hi"),
-                       F.max(F.col("_key0").isNull()).alias("nulls")).first()
-    if bounds["nulls"] is None:                                     # no rows
-        return []
-    near = F.lit(False) if bounds["lo"] is None else (
-        (F.col("hi") >= F.lit(bounds["lo"]).cast(first)) & (F.col("lo") <= F.lit(bounds["hi"]).cast(first)))
-    marks = marks.where(near | F.col("nulls") if bounds["nulls"] else near)
+    marks = store.read_beside("marks", _mark_schema(named.schema["_key0"].dataType), sorted(others))
+    if len(others) > FEW_EPOCHS:
+        marks = _in_range(marks, named)
     sizes = sorted(store.parts_of("marks", SLOTS))
     asked = _marks(named.withColumn("_size", F.explode(F.array(*[F.lit(int(s)).cast("bigint") for s in sizes]))),
                    F.col("_size"))
@@ -103,10 +110,15 @@ def matching_buckets(incoming: DataFrame, store: TableStore, keys: list[str], wr
             .groupBy(WRITER, EPOCH, BUCKET, "slot").agg(F.bitmap_count(F.bitmap_and_agg("bits")).alias("shared"))
             .where("shared > 0").select(WRITER, EPOCH, BUCKET).distinct())
     found = hits.limit(NAMED_FILES + 1).collect()
-    if len(found) <= NAMED_FILES:
-        return sorted(f"{store.epoch_path('keys', r[WRITER], r[EPOCH])}/{BUCKET}={r[BUCKET]}" for r in found)
-    whole = hits.select(WRITER, EPOCH).distinct().collect()         # as many as there are epochs
-    return sorted(store.epoch_path("keys", r[WRITER], r[EPOCH]) for r in whole)
+    if len(found) > NAMED_FILES:                                    # one row an epoch
+        found = hits.groupBy(WRITER, EPOCH).agg(F.min(F.when(F.col(BUCKET) == IN_ROWS, F.col(BUCKET))).alias(BUCKET)).collect()
+    return sorted({_folder(store, r[WRITER], r[EPOCH], r[BUCKET]) for r in found})
+
+
+def _folder(store: TableStore, writer: str, epoch: int, bucket: int | None) -> str:
+    if bucket == IN_ROWS:
+        return store.epoch_path("rows", writer, epoch)
+    return store.epoch_path("keys", writer, epoch) + ("" if bucket is None else f"/{BUCKET}={bucket}")
 
 
 def without_stored_keys(rows: DataFrame, incoming: DataFrame, store: TableStore, keys: list[str],
@@ -116,8 +128,13 @@ def without_stored_keys(rows: DataFrame, incoming: DataFrame, store: TableStore,
     folders = matching_buckets(incoming, store, keys, writer, epoch)
     if not folders:
         return rows
-    schema = T.StructType([T.StructField(n, rows.schema[k].dataType) for k, n in zip(keys, key_names(keys))])
-    return anti_join(rows, store.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*folders), keys)
+    for kind, names in (("rows", keys), ("keys", key_names(keys))):
+        read = [f for f in folders if f.startswith(store.location(kind).rstrip("/") + "/")]
+        if read:
+            schema = T.StructType([T.StructField(n, rows.schema[k].dataType) for k, n in zip(keys, names)])
+            stored = store.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*read)
+            rows = anti_join(rows, stored.toDF(*key_names(keys)), keys)
+    return rows
 
 
 def anti_join(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:

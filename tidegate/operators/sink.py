@@ -184,6 +184,7 @@ class Epoch:
     error: Exception | None = None
     assignments: DataFrame | None = None
     deadline: Deadline | None = None
+    rows_stored: int | None = None
 
     def out_of_time(self) -> bool:
         return self.deadline is not None and self.deadline.passed
@@ -275,7 +276,7 @@ def _insert_epoch(df: DataFrame, plan: InsertPlan, store: TableStore, done: Epoc
 def _finish(batches: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch, started: float) -> None:
     """Index the keys of the epoch, then write its log."""
     if plan.options.dedupe_on_key and done.error is None:
-        index_epoch(store, done.writer, done.epoch)
+        index_epoch(store, done.writer, done.epoch, done.rows_stored)
     _write_log(batches, store, done, started)
 
 
@@ -312,7 +313,7 @@ def _insert_channels(df: DataFrame, plan: InsertPlan, store: TableStore, done: E
 
     # Channels written at the same time would not see each other's keys.
     with ThreadPoolExecutor(1 if plan.options.dedupe_on_key else CHANNELS_AT_A_TIME) as pool:
-        ends = [f.result() for f in [pool.submit(inheritable_thread_target(write), c) for c in channels]]
+        ends = [f.result() for f in [pool.submit(inheritable_thread_target(spark)(write), c) for c in channels]]
     for end in ends:
         if isinstance(end, Exception):
             raise end
@@ -516,8 +517,13 @@ def table_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch
 
 
 def _write_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch) -> None:
+    seen = Observation() if plan.options.dedupe_on_key else None
     try:
-        store.write_epoch("rows", table_rows(rows, plan, store, done), done.writer, done.epoch)
+        written = table_rows(rows, plan, store, done)
+        if seen is not None:
+            written = written.observe(seen, F.count(F.lit(1)).alias("n"))
+        store.write_epoch("rows", written, done.writer, done.epoch)
+        done.rows_stored = seen.get["n"] if seen is not None else None
     except Exception as e:
         # A stream runs the epoch again; offsets of rows that were not stored must not be committed.
         if plan.options.on_failure == "fail" or plan.streaming or done.out_of_time():
