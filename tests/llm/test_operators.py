@@ -185,7 +185,7 @@ def test_lines_are_aligned_with_every_earlier_holder(spark):
     rows = [(1, "x\ny"), (2, "q\ny"), (3, "y\nx"), (4, "z\ny"), (5, "y\nx\nz")]     # x goes from 3 by 1, y by 2
     rows += [(10 + i, "\n".join(rng.choice("abcdefghijklmnopqrstuv ") for _ in range(rng.randint(1, 12)))) for i in range(60)]
     found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
-    assert Counter((r.doc_id, r["__lines"], r["__gone"], r.text) for r in found) == brute_line_dedup(rows)
+    assert Counter((r.doc_id, r["__tidegate_lines"], r["__tidegate_gone"], r.text) for r in found) == brute_line_dedup(rows)
     assert {r.doc_id: r.text for r in found}[3] == ""
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from .. import storage
 from ..operators.numbering import SEQ, number_rows
 
-ROW = "__row"
-_FILE, _RANK, _AT = "__keyed_file", "__keyed_rank", "__keyed_at"
+ROW = "__tidegate_row"
+_FILE, _RANK, _AT = "__tidegate_file", "__tidegate_rank", "__tidegate_place"
 #: Bits of a key that hold the place of a row in its file.
 _FILE_BITS = 40
 #: Files whose ranks every task is told; the rows of more files are written with their keys.
@@ -54,7 +54,7 @@ class Workspace:
 
 
 def keyed_rows(ws: Workspace, df: DataFrame, **columns: Column) -> DataFrame:
-    """The given columns of ``df`` with a key of the row in ``__row``, equal at every reading.
+    """The given columns of ``df`` with a key of the row in ``__tidegate_row``, equal at every reading.
 
     A Parquet scan is keyed by its files, ranked by name, and the places of the rows in them: how
     a scan is split depends on the cores that are there when it is planned. Any other input,
@@ -84,7 +84,7 @@ def keyed_rows(ws: Workspace, df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def pinned(ws: Workspace, df: DataFrame) -> DataFrame:
-    """``df`` with a key of the row in ``__row``, as ``keyed_rows`` gives it."""
+    """``df`` with a key of the row in ``__tidegate_row``, as ``keyed_rows`` gives it."""
     if ROW in df.columns:
         return df
     return keyed_rows(ws, df, **{name: df[name] for name in df.columns})

@@ -361,7 +361,7 @@ class JaccardJoin:
             _profile(length), f"{ROW} long, id long, n long, f1 long, f2 long"), "profile")
 
     def lists(self) -> DataFrame:
-        """token, __row, n, place: entries of the tokens shared by different sets."""
+        """token, __tidegate_row, n, place: entries of the tokens shared by different sets."""
         ws = self.ws
         buckets = max(32, 4 * self.docs.rdd.getNumPartitions())
         counted = self.texts.select("text").mapInArrow(_low_tokens(self.length, buckets), "bucket int, tokens binary")
@@ -405,7 +405,7 @@ class JaccardJoin:
     def between(self, listed: DataFrame) -> DataFrame:
         """a, b: similar pairs that meet in a long list, at least one for every two classes that have one.
 
-        ``listed``: __row, n, comp, leader, far, near, tokens, longs. Sets are sorted by the first set they meet
+        ``listed``: __tidegate_row, n, comp, leader, far, near, tokens, longs. Sets are sorted by the first set they meet
         in a long list, so that those of one group are neighbours, and cut into blocks. Blocks that meet in a
         long list do so once, whatever the number of sets behind it; pairs exist inside a task only, and
         travel as the numbers of a block's sets.
@@ -579,7 +579,7 @@ class JaccardJoin:
         return edges, components(ws, edges)
 
     def classes(self) -> DataFrame:
-        """__row, id, n, comp: the class of every row (NULL for sets without words)."""
+        """__tidegate_row, id, n, comp: the class of every row (NULL for sets without words)."""
         _, classes = self.links()
         same = self.profile.where("n > 0").groupBy("n", "f1", "f2").agg(F.min(ROW).alias("first"))
         same = same.join(classes.withColumnRenamed("node", "first"), "first", "left").select(

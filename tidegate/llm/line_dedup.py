@@ -128,7 +128,7 @@ def _align(batches):
 
 
 def _aligned(whole: DataFrame, pairs: DataFrame) -> DataFrame:
-    """__row, place of the lines that the pairs (__row, early) delete."""
+    """__tidegate_row, place of the lines that the pairs (__tidegate_row, early) delete."""
     # Both sides grow with the corpus: shuffled at every size, never broadcast.
     later = pairs.join(whole.select(ROW, F.col("lines").alias("late_lines")).hint("merge"), ROW)
     both = later.join(whole.select(F.col(ROW).alias("early"), F.col("lines").alias("early_lines")).hint("merge"), "early")
@@ -137,7 +137,7 @@ def _aligned(whole: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _further(ws: Workspace, whole: DataFrame, single: DataFrame, left: DataFrame) -> list[DataFrame]:
-    """What the alignments with the holders after the first delete of the places ``left`` (__row, place, line)."""
+    """What the alignments with the holders after the first delete of the places ``left`` (__tidegate_row, place, line)."""
     lines = ws.keep(left.select("line").distinct(), "left-lines")
     holders = single.join(lines.hint("merge"), "line", "left_semi").select("line", F.col("doc.id").alias("id"), ROW)
     holders = ws.keep(number_rows(holders, ["line"], ["id", ROW], ws.folder("ranked")).select(
@@ -162,7 +162,7 @@ def _further(ws: Workspace, whole: DataFrame, single: DataFrame, left: DataFrame
 
 
 def removed_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """__row, gone: places of the deleted lines, for the documents of a pinned input that lose any."""
+    """__tidegate_row, gone: places of the deleted lines, for the documents of a pinned input that lose any."""
     lines = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda line: F.when(
         F.btrim(line, F.lit(SPACES)) != "", F.xxhash64(line)))
     whole = ws.keep(keyed(docs, F.col(id_col).alias("id"), lines.alias("lines")), "lines")
@@ -187,29 +187,29 @@ def removed_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_c
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of the documents, the text without its deleted lines, and __lines, __gone: their counts."""
+    """All columns of the documents, the text without its deleted lines, and __tidegate_lines, __tidegate_gone: their counts."""
     ws = Workspace(docs.sparkSession, "line-dedup")
     docs = pinned(ws, docs)
     gone = removed_lines(ws, docs, id_col, text_col)
     out = docs.join(
-        gone.withColumnRenamed("gone", "__places").hint("merge"), ROW, "left")
-    out = out.withColumn("__split", F.when(F.col("__places").isNotNull(), F.split(F.col(text_col), "\n")))
-    kept = F.expr("""array_join(transform(array_except(sequence(0, size(__split) - 1), __places),
-                                          i -> __split[i]), '\n')""")
-    text = F.when(F.col("__places").isNull(), F.col(text_col)).otherwise(kept)
+        gone.withColumnRenamed("gone", "__tidegate_places").hint("merge"), ROW, "left")
+    out = out.withColumn("__tidegate_split", F.when(F.col("__tidegate_places").isNotNull(), F.split(F.col(text_col), "\n")))
+    kept = F.expr("""array_join(transform(array_except(sequence(0, size(__tidegate_split) - 1), __tidegate_places),
+                                          i -> __tidegate_split[i]), '\n')""")
+    text = F.when(F.col("__tidegate_places").isNull(), F.col(text_col)).otherwise(kept)
     return out.select(
         *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c != ROW],
-        F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("__lines"),
-        F.coalesce(F.size("__places"), F.lit(0)).alias("__gone"))
+        F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("__tidegate_lines"),
+        F.coalesce(F.size("__tidegate_places"), F.lit(0)).alias("__tidegate_gone"))
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            count_col: str = "n_chars") -> DataFrame:
     """The documents with their remaining text; those that lost every word go."""
     out = dedup_lines(docs, id_col, text_col)
-    emptied = (F.col("__gone") > 0) & (F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(SPACES)) == "")
+    emptied = (F.col("__tidegate_gone") > 0) & (F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(SPACES)) == "")
     out = out.where(~emptied)
     if count_col in docs.columns:
-        out = out.withColumn(count_col, F.when(F.col("__gone") > 0, F.char_length(text_col).cast(
+        out = out.withColumn(count_col, F.when(F.col("__tidegate_gone") > 0, F.char_length(text_col).cast(
             docs.schema[count_col].dataType)).otherwise(F.col(count_col)))
     return out.select(*docs.columns)

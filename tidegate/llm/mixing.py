@@ -164,7 +164,7 @@ def repeat_by_mix(docs: DataFrame, **columns) -> DataFrame:
     ws = Workspace(docs.sparkSession, "mixing")
     columns_in, docs = docs.columns, pinned(ws, docs)
     taken = ws.keep(mix(docs, ws=ws, **columns).where("copies > 0").select(
-        ROW, F.col("copies").alias("__copies")), "taken")
+        ROW, F.col("copies").alias("__tidegate_copies")), "taken")
     return (docs.join(taken.hint("merge"), ROW)
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+            .withColumn("__tidegate_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__tidegate_copies"))))
             .select(*columns_in))

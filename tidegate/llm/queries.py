@@ -58,7 +58,7 @@ def op2_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
-        "doc_id", F.col("__lines").cast("long").alias("n_lines"), F.col("__gone").cast("long").alias("n_removed"),
+        "doc_id", F.col("__tidegate_lines").cast("long").alias("n_lines"), F.col("__tidegate_gone").cast("long").alias("n_removed"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

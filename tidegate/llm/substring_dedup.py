@@ -258,7 +258,7 @@ def _search(window: int):
 
 def repeated_windows(ws: Workspace, docs: DataFrame, text_col: str = "text", window: int = WINDOW,
                      mark: int = MARK) -> DataFrame:
-    """__row, starts: the places, in words, where repeated windows of a pinned input start."""
+    """__tidegate_row, starts: the places, in words, where repeated windows of a pinned input start."""
     texts = keyed(docs, F.col(text_col).cast("string").alias("text"))
     cut = ws.keep(texts.mapInArrow(_segments(window, mark), _SEGMENTS), "segments")
     contents = ws.keep(cut.groupBy("mark", "content").agg(
