@@ -45,7 +45,7 @@ SEND = 2_000_000
 #: Sets of a block and bytes of their tokens; a longer set is a block of its own.
 BLOCK_SETS, BLOCK_BYTES = 128, 400_000
 #: Sets of a list up to which its pairs are made one by one; longer lists meet block against block.
-SHORT_LIST = 16
+SHORT_LIST = 64
 #: Tokens that two blocks are compared on at a time.
 STRIPE = 4096
 
