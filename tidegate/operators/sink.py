@@ -274,10 +274,16 @@ def _insert_epoch(df: DataFrame, plan: InsertPlan, store: TableStore, done: Epoc
 
 
 def _finish(batches: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch, started: float) -> None:
-    """Index the keys of the epoch, then write its log."""
-    if plan.options.dedupe_on_key and done.error is None:
-        index_epoch(store, done.writer, done.epoch, done.rows_stored)
-    _write_log(batches, store, done, started)
+    """Write the log of the epoch, and beside it the index of its keys: marks without a log count
+    for nothing, and an epoch with a log and no marks is indexed when it is met."""
+    if not plan.options.dedupe_on_key or done.error is not None:
+        _write_log(batches, store, done, started)
+        return
+    with ThreadPoolExecutor(1) as pool:
+        index = pool.submit(inheritable_thread_target(store.spark)(index_epoch),
+                            store, done.writer, done.epoch, done.rows_stored)
+        _write_log(batches, store, done, started)
+        index.result()
 
 
 def _insert_channels(df: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch,
