@@ -1,7 +1,7 @@
 """Scoring texts by a hierarchical Pitman-Yor language model.
 
-Every word is drawn from the restaurant of its context, the ending of the word before it;
-the restaurants of all contexts share one parent, the restaurant of words without
+Every word is drawn from the restaurant of its context, the word before it (the end token
+for the first); the restaurants of all contexts share one parent, the restaurant of words without
 context, whose base is uniform over the words and one unknown word. Customers are the
 words of the training texts. In each restaurant the customers of a word sit at tables, and
 each table sends one customer to the parent. Seating is sampled by Gibbs sweeps: the
@@ -10,11 +10,12 @@ probability that the other seats and the parent give (long queues in blocks, wit
 it is held). Predictive probabilities are averaged over the sweeps after the first.
 
 The words are dealt to buckets by hash, so a word's seats in all contexts, and hence its
-share of the parent, are in one bucket, whatever its frequency; what buckets exchange
-between sweeps are the totals of each restaurant, a vector of fixed size. Texts are cut into
-chunks; a chunk asks each bucket once for the distinct (context, word) pairs it holds and
-gets probabilities and counts back in the same order. All that is gathered grows with the
-corpus, nothing of it meets in one task or the driver.
+share of the parent, are in one bucket, whatever its frequency. The customers and tables of
+a restaurant are summed over the buckets between sweeps: each bucket reports what it holds of a context to
+the bucket of that word, and gets the total back. Texts are cut into chunks; a chunk asks each
+bucket once for the distinct words and (word, context) pairs it holds and gets seats, counts and
+totals back in the same order. All that is gathered grows with the corpus, nothing of it
+meets in one task or the driver.
 
 Defined results: NULL texts are empty, and every text ends in one end token; A-Z are folded;
 without training texts all counts are 0; repeated rows are scored alike; an empty table
@@ -33,18 +34,25 @@ from .common import Workspace
 from .toxicity import held_out
 from .words import words_of
 
-CONTEXT_BITS = 4
-CONTEXTS = 1 << CONTEXT_BITS
 #: Sweeps before the first sample, and samples.
 BURN, SAMPLES, SEED = 1, 3, 5
 STRENGTH = 1.0
-CHUNK_TOKENS, BUCKET_PAIRS = 3_000_000, 400_000
+CHUNK_TOKENS, BUCKET_PAIRS = 2_000_000, 500_000
+#: Shares of the buckets that are asked one after the other, which bounds what is shuffled at a time.
+TURNS = 3
 #: Customers seated one by one; then blocks of a sixteenth of those that sit.
 SINGLE = 64
+#: Contexts are told apart, and words dealt, by as many leading bytes of their hash.
+CONTEXT_BYTES = 5
+_SHIFT = np.uint64(64 - 8 * CONTEXT_BYTES)
 
-_CHUNK = "chunk long, ids binary, held binary, ends binary, pair binary, keys binary, counts binary, n_pairs long, n_train long"
 _END = np.uint64(0x7F4A7C15F39CC060)
-_STATE = "bucket int, keys binary, counts binary, seats binary, roots binary, stats array<double>"
+_CHUNK = "chunk long, ids binary, held binary, ends binary, names binary, tokens binary, n_pairs long, n_train long"
+_ASKED = "bucket int, chunk long, names binary, sizes binary, contexts binary"
+_STATE = ("bucket int, names binary, sizes binary, contexts binary, counts binary, seats binary, roots binary, "
+          "stats array<double>")
+_TOTALS = "bucket int, target int, heads binary, customers binary, tables binary"
+_ANSWERS = "chunk long, bucket int, own binary, known binary, customers binary, parents binary, opens binary"
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -56,26 +64,38 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
 
 
-def pair_keys(words) -> tuple[np.ndarray, np.ndarray]:
-    """(keys of the tokens of a slice, number of tokens of each text): word and end tokens with their contexts."""
+def _short(heads: np.ndarray) -> bytes:
+    """Bytes of contexts, the leading bytes of hashes."""
+    return np.ascontiguousarray(heads.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CONTEXT_BYTES]).tobytes()
+
+
+def _from_short(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // CONTEXT_BYTES, 8), np.uint8)
+    wide[:, :CONTEXT_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, CONTEXT_BYTES)
+    return wide.view("<u8").ravel()
+
+
+def tokens_of(words) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the tokens of a slice, number of tokens of each text): the words, and an end after each text."""
     counts = words.counts()
-    n = len(words.hashes) + len(counts)
-    ends = np.cumsum(counts + 1) - 1
-    is_end = np.zeros(n, bool)
-    is_end[ends] = True
-    token = np.full(n, _END, np.uint64)
-    token[~is_end] = words.hashes
-    tail = np.zeros(n, np.uint64)
-    if len(words.hashes):
-        last = words.data[words.ends - 1].astype(np.uint64)
-        before = words.data[np.maximum(words.ends - 2, words.starts)].astype(np.uint64)
-        fold = np.uint64(32)
-        last, before = (np.where((b >= 65) & (b <= 90), b + fold, b) for b in (last, before))
-        tail[~is_end] = 1 + (((last * np.uint64(257) + before) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(CONTEXTS - 1)
-    context = np.zeros(n, np.uint64)
-    context[1:] = tail[:-1]                 # after an end token, and first of all: context 0
-    bits = np.uint64(CONTEXT_BITS)
-    return (token >> bits << bits) | context, counts + 1
+    tokens = np.full(len(words.hashes) + len(counts), _END, np.uint64)
+    inside = np.ones(len(tokens), bool)
+    inside[np.cumsum(counts + 1) - 1] = False
+    tokens[inside] = words.hashes
+    return tokens, counts + 1
+
+
+def pairs_of(names: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, contexts, pair) of the tokens of whole texts, given as places in ascending ``names``.
+
+    ``words`` and ``contexts`` place the distinct pairs of a token and the one before it in ``names``, by word; ``pair`` is
+    the pair of each token. A text follows the end of the one before it.
+    """
+    code = token.astype(np.uint64) << np.uint64(32)
+    code[1:] |= token[:-1].astype(np.uint64)
+    code[:1] |= np.uint64(np.searchsorted(names, _END))
+    code, pair = np.unique(code, return_inverse=True)
+    return (code >> np.uint64(32)).astype(np.int64), (code & np.uint64(0xFFFFFFFF)).astype(np.int64), pair
 
 
 def _chunks(batches):
@@ -86,24 +106,24 @@ def _chunks(batches):
     base = task.partitionId() << 32
 
     def chunk(parts, number):
-        ids, out, counts, keys = (np.concatenate(p) for p in zip(*parts))
-        pairs, pair = np.unique(keys, return_inverse=True)
-        train = np.repeat(out % 2 == 0, counts)
-        seen = np.bincount(pair[train], minlength=len(pairs))
+        ids, out, counts, tokens = (np.concatenate(p) for p in zip(*parts))
+        names, token = np.unique(tokens, return_inverse=True)
+        del tokens
+        n_pairs = len(pairs_of(names, token)[0])
+        n_train = int(counts[out % 2 == 0].sum())
         return pa.RecordBatch.from_arrays(
             [pa.array([base + number]), pa.array([ids.tobytes()], pa.binary()), pa.array([out.tobytes()], pa.binary()),
-             pa.array([np.cumsum(counts).astype(np.int64).tobytes()], pa.binary()), pa.array([_planes(pair)], pa.binary()),
-             pa.array([pairs.tobytes()], pa.binary()), pa.array([_planes(seen)], pa.binary()),
-             pa.array([len(pairs)]), pa.array([int(train.sum())])],
-            ["chunk", "ids", "held", "ends", "pair", "keys", "counts", "n_pairs", "n_train"])
+             pa.array([np.cumsum(counts).astype(np.int64).tobytes()], pa.binary()), pa.array([names.tobytes()], pa.binary()),
+             pa.array([_planes(token)], pa.binary()), pa.array([n_pairs]), pa.array([n_train])],
+            ["chunk", "ids", "held", "ends", "names", "tokens", "n_pairs", "n_train"])
 
     for batch in batches:
         ids = np.asarray(batch.column(0))
         out = np.asarray(batch.column(1)).astype(np.uint8)
         for row, words in words_of(batch.column(2), fold=True):
-            keys, counts = pair_keys(words)
-            parts.append((ids[row:row + len(counts)], out[row:row + len(counts)], counts, keys))
-            held += len(keys)
+            tokens, counts = tokens_of(words)
+            parts.append((ids[row:row + len(counts)], out[row:row + len(counts)], counts, tokens))
+            held += len(tokens)
             if held >= CHUNK_TOKENS:
                 yield chunk(parts, number)
                 held, parts, number = 0, [], number + 1
@@ -111,11 +131,10 @@ def _chunks(batches):
         yield chunk(parts, number)
 
 
-def _bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket starts in ascending keys; a bucket is a range of hashes of whole words."""
-    word = keys >> np.uint64(CONTEXT_BITS)
-    size = (1 << (64 - CONTEXT_BITS)) // buckets + 1
-    return np.searchsorted(word, (np.arange(buckets + 1, dtype=np.uint64) * np.uint64(size)))
+def _bounds(heads: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket, a range of leading bytes, starts in ascending ones."""
+    size = (1 << 8 * CONTEXT_BYTES) // buckets + 1
+    return np.searchsorted(heads, np.arange(buckets + 1, dtype=np.uint64) * np.uint64(size))
 
 
 def _asked(buckets: int, with_counts: bool):
@@ -123,57 +142,91 @@ def _asked(buckets: int, with_counts: bool):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                keys = np.frombuffer(row["keys"], np.uint64)
-                counts = _from_planes(row["counts"]) if with_counts else None
-                at = _bounds(keys, buckets)
+                names = np.frombuffer(row["names"], np.uint64)
+                words, contexts, pair = pairs_of(names, _from_planes(row["tokens"]))
+                sizes, contexts = np.bincount(words, minlength=len(names)), (names >> _SHIFT)[contexts]
+                if with_counts:
+                    ends, out = np.frombuffer(row["ends"], np.int64), np.frombuffer(row["held"], np.uint8)
+                    counts = np.bincount(pair[np.repeat(out % 2 == 0, np.diff(ends, prepend=0))], minlength=len(words))
+                at = _bounds(names >> _SHIFT, buckets)
+                pairs = np.append(0, np.cumsum(sizes, dtype=np.int64))[at]
                 used = np.flatnonzero(np.diff(at))
                 columns = [pa.array(used.astype(np.int32)), pa.array([row["chunk"]] * len(used), pa.int64()),
-                           pa.array([keys[at[b]:at[b + 1]].tobytes() for b in used], pa.binary())]
+                           pa.array([names[at[b]:at[b + 1]].tobytes() for b in used], pa.binary()),
+                           pa.array([_planes(sizes[at[b]:at[b + 1]]) for b in used], pa.binary()),
+                           pa.array([_short(contexts[pairs[b]:pairs[b + 1]]) for b in used], pa.binary())]
                 if with_counts:
-                    columns.append(pa.array([_planes(counts[at[b]:at[b + 1]]) for b in used], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "keys", "counts"][:len(columns)])
+                    columns.append(pa.array([_planes(counts[pairs[b]:pairs[b + 1]]) for b in used], pa.binary()))
+                yield pa.RecordBatch.from_arrays(
+                    columns, ["bucket", "chunk", "names", "sizes", "contexts", "counts"][:len(columns)])
     return run
 
 
-def _by_word(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(number of its word for each key, start of each word)."""
-    word = keys >> np.uint64(CONTEXT_BITS)
-    new = np.ones(len(keys), bool)
-    new[1:] = word[1:] != word[:-1]
-    return np.cumsum(new) - 1, np.flatnonzero(new)
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes, dtype=np.int64) - sizes
 
 
-def _context(keys: np.ndarray) -> np.ndarray:
-    return (keys & np.uint64(CONTEXTS - 1)).astype(np.int64)
-
-
-def _sum(context: np.ndarray, values: np.ndarray) -> np.ndarray:
-    return np.bincount(context, values, minlength=CONTEXTS)
-
-
-def _stats(keys, counts, seats, roots) -> list[float]:
-    """Customers and tables by context, then of the parent, then what the discounts follow from."""
-    word, starts = _by_word(keys)
-    sent = np.add.reduceat(seats, starts) if len(keys) else seats
-    context = _context(keys)
-    return [*_sum(context, counts), *_sum(context, seats), float(sent.sum()), float(roots.sum()), float(len(starts)),
-            float((counts == 1).sum()), float((counts == 2).sum()), float((sent == 1).sum()), float((sent == 2).sum())]
+def _stats(counts, sent, roots) -> list[float]:
+    """Customers, tables and words of the parent, then what the discounts follow from."""
+    return [float(sent.sum()), float(roots.sum()), float(len(sent)), float((counts == 1).sum()), float((counts == 2).sum()),
+            float((sent == 1).sum()), float((sent == 2).sum())]
 
 
 def _merged(key, group):
     """The training pairs of a bucket with their counts; one table each to begin with."""
-    keys = np.concatenate([np.frombuffer(b, np.uint64) for b in group.column("keys").to_pylist()])
-    counts = np.concatenate([_from_planes(b) for b in group.column("counts").to_pylist()])
-    keys, counts = keys[counts > 0], counts[counts > 0]
-    keys, back = np.unique(keys, return_inverse=True)
-    counts = np.bincount(back, counts, minlength=len(keys)).astype(np.int64)
-    seats = np.ones(len(keys), np.int64)
-    _, starts = _by_word(keys)
-    roots = np.ones(len(starts), np.int64)
-    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "keys": pa.array([keys.tobytes()], pa.binary()),
+    rows = group.to_pylist()
+    counts = np.concatenate([_from_planes(r["counts"]) for r in rows])
+    words = np.concatenate([np.repeat(np.frombuffer(r["names"], np.uint64), _from_planes(r["sizes"])) for r in rows])
+    contexts = np.concatenate([_from_short(r["contexts"]) for r in rows])
+    del rows
+    order = np.flatnonzero(counts > 0)
+    order = order[np.lexsort((contexts[order], words[order]))]
+    words, contexts, counts = words[order], contexts[order], counts[order].astype(np.int64)
+    new = np.ones(len(order), bool)
+    new[1:] = (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])
+    first = np.flatnonzero(new)
+    counts = np.add.reduceat(counts, first) if len(first) else counts
+    words, contexts = words[first], contexts[first]
+    names, sizes = np.unique(words, return_counts=True)
+    seats, roots = np.ones(len(words), np.int64), np.ones(len(names), np.int64)
+    return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "names": pa.array([names.tobytes()], pa.binary()),
+                     "sizes": pa.array([_planes(sizes)], pa.binary()), "contexts": pa.array([_short(contexts)], pa.binary()),
                      "counts": pa.array([_planes(counts)], pa.binary()), "seats": pa.array([_planes(seats)], pa.binary()),
                      "roots": pa.array([_planes(roots)], pa.binary()),
-                     "stats": pa.array([_stats(keys, counts, seats, roots)], pa.list_(pa.float64()))})
+                     "stats": pa.array([_stats(counts, sizes, roots)], pa.list_(pa.float64()))})
+
+
+def _reports(buckets: int):
+    """What a bucket holds of each context, for the buckets of the contexts."""
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                heads, back = np.unique(_from_short(row["contexts"]), return_inverse=True)
+                customers, tables = (np.bincount(back, _from_planes(row[c]), minlength=len(heads)) for c in ("counts", "seats"))
+                at = _bounds(heads, buckets)
+                used = np.flatnonzero(np.diff(at))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["bucket"]] * len(used), pa.int32()), pa.array(used.astype(np.int32)),
+                     *[pa.array([packed(a[at[b]:at[b + 1]]) for b in used], pa.binary())
+                       for packed, a in ((_short, heads), (_planes, customers), (_planes, tables))]],
+                    ["bucket", "target", "heads", "customers", "tables"])
+    return run
+
+
+def _summed(key, group):
+    """The totals of the contexts of a bucket (without ``bucket``), and the tables for each bucket that reported."""
+    rows = sorted(group.to_pylist(), key=lambda r: r["bucket"])
+    heads, back = np.unique(np.concatenate([_from_short(r["heads"]) for r in rows]), return_inverse=True)
+    customers, tables = (np.bincount(back, np.concatenate([_from_planes(r[c]) for r in rows]), minlength=len(heads))
+                         for c in ("customers", "tables"))
+    ends = np.cumsum([len(r["heads"]) // CONTEXT_BYTES for r in rows])
+    told = [_planes(tables[part]) for part in np.split(back, ends[:-1])]
+    n = len(rows) + 1
+    return pa.table({"bucket": pa.array([None, *[r["bucket"] for r in rows]], pa.int32()),
+                     "target": pa.array([key[0].as_py()] * n, pa.int32()),
+                     "heads": pa.array([_short(heads), *[None] * (n - 1)], pa.binary()),
+                     "customers": pa.array([_planes(customers), *[None] * (n - 1)], pa.binary()),
+                     "tables": pa.array([_planes(tables), *told], pa.binary())})
 
 
 def seat(counts: np.ndarray, weight: np.ndarray, discount: float, rng) -> np.ndarray:
@@ -194,13 +247,10 @@ def seat(counts: np.ndarray, weight: np.ndarray, discount: float, rng) -> np.nda
 
 
 class Totals:
-    """Sums over all buckets: all that a sweep or a score needs besides its own bucket."""
+    """Sums over all buckets: what a sweep or a score needs besides its own bucket and the contexts' totals."""
 
-    def __init__(self, stats: list[float], n_train: int):
-        s = np.array(stats)
-        self.customers, self.tables = s[:CONTEXTS], s[CONTEXTS:2 * CONTEXTS]
-        self.sent, self.roots, self.words, *ones = s[2 * CONTEXTS:]
-        self.train = n_train
+    def __init__(self, stats: list[float]):
+        self.sent, self.roots, self.words, *ones = stats
         # Discounts from the numbers of pairs, and of words in the parent, seen once and twice.
         pairs, parent = (min(max(a / (a + 2 * b), 0.05), 0.95) if a + b else 0.5 for a, b in (ones[:2], ones[2:]))
         self.discount, self.root_discount = float(pairs), float(parent)
@@ -210,68 +260,95 @@ class Totals:
         base = (STRENGTH + self.root_discount * self.roots) / (self.words + 1)
         return (np.maximum(sent - self.root_discount * roots, 0) + base) / (STRENGTH + self.sent)
 
-    def open(self, context):
-        return STRENGTH + self.discount * self.tables[context]
+    def open(self, tables):
+        """Weight of a new table in restaurants with so many."""
+        return STRENGTH + self.discount * tables
 
 
 def _sweep(totals: Totals, number: int):
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                rng = np.random.default_rng((SEED, number, row["bucket"]))
-                keys = np.frombuffer(row["keys"], np.uint64)
-                counts, seats, roots = (_from_planes(row[c]).astype(np.int64) for c in ("counts", "seats", "roots"))
-                word, starts = _by_word(keys)
-                if len(keys):
-                    root = totals.root(np.add.reduceat(seats, starts), roots)
-                    seats = seat(counts, totals.open(_context(keys)) * root[word], totals.discount, rng)
-                    sent = np.add.reduceat(seats, starts)
-                    new = (STRENGTH + totals.root_discount * totals.roots) / (totals.words + 1)
-                    roots = seat(sent, np.full(len(sent), new), totals.root_discount, rng)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["bucket"]], pa.int32()), pa.array([row["keys"]], pa.binary()),
-                     pa.array([row["counts"]], pa.binary()), pa.array([_planes(seats)], pa.binary()),
-                     pa.array([_planes(roots)], pa.binary()),
-                     pa.array([_stats(keys, counts, seats, roots)], pa.list_(pa.float64()))],
-                    ["bucket", "keys", "counts", "seats", "roots", "stats"])
+    def run(key, state, told):
+        row = state.to_pylist()[0]
+        rng = np.random.default_rng((SEED, number, row["bucket"]))
+        sizes, counts, seats, roots = (_from_planes(row[c]).astype(np.int64) for c in ("sizes", "counts", "seats", "roots"))
+        sent = np.zeros(0, np.int64)
+        if len(counts):
+            # The contexts come in ascending ranges.
+            tables = np.concatenate([_from_planes(r["tables"]) for r in sorted(told.to_pylist(), key=lambda r: r["target"])])
+            _, context = np.unique(_from_short(row["contexts"]), return_inverse=True)
+            starts = _starts(sizes)
+            root = totals.root(np.add.reduceat(seats, starts), roots)
+            seats = seat(counts, totals.open(tables[context]) * np.repeat(root, sizes), totals.discount, rng)
+            sent = np.add.reduceat(seats, starts)
+            new = (STRENGTH + totals.root_discount * totals.roots) / (totals.words + 1)
+            roots = seat(sent, np.full(len(sent), new), totals.root_discount, rng)
+        return pa.table({"bucket": pa.array([row["bucket"]], pa.int32()),
+                         **{c: pa.array([row[c]], pa.binary()) for c in ("names", "sizes", "contexts", "counts")},
+                         "seats": pa.array([_planes(seats)], pa.binary()), "roots": pa.array([_planes(roots)], pa.binary()),
+                         "stats": pa.array([_stats(counts, sent, roots)], pa.list_(pa.float64()))})
     return run
 
 
+def _placed(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, whether there) of the wanted among ascending known ones."""
+    if not len(known):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return at, known[at] == wanted
+
+
+def _taken(values: np.ndarray, at: np.ndarray, there: np.ndarray) -> np.ndarray:
+    return np.where(there, values[at], 0) if len(values) else np.zeros(len(at), values.dtype)
+
+
 def _answers(samples: list[Totals]):
-    """For every asked pair the mean probability over the samples, and the word's count."""
-    def run(key, asked, state):
-        rows = state.to_pylist()
-        if rows:
-            keys = np.frombuffer(rows[0]["keys"], np.uint64)
-            counts = _from_planes(rows[0]["counts"]).astype(np.int64)
-        else:
-            keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        word, starts = _by_word(keys)
-        names = (keys >> np.uint64(CONTEXT_BITS))[starts]
-        total = np.add.reduceat(counts, starts) if len(keys) else counts
-        by_sample = {r["sample"]: (_from_planes(r["seats"]), _from_planes(r["roots"])) for r in rows}
-        chunks, probabilities, known = [], [], []
-        for chunk, data in zip(asked.column("chunk").to_pylist(), asked.column("keys").to_pylist()):
-            want = np.frombuffer(data, np.uint64)
-            at = np.minimum(np.searchsorted(keys, want), max(len(keys) - 1, 0))
-            hit = keys[at] == want if len(keys) else np.zeros(len(want), bool)
-            name = want >> np.uint64(CONTEXT_BITS)
-            of = np.minimum(np.searchsorted(names, name), max(len(names) - 1, 0))
-            has = names[of] == name if len(names) else np.zeros(len(want), bool)
-            context = _context(want)
-            p = np.zeros(len(want))
+    """For every asked pair the mean share of its own seats. For every asked word its count and, as a context, its customers;
+    by sample, its probability in the parent and the weight of a new table in its restaurant."""
+    def run(key, asked, held):
+        rows = held.to_pylist()
+        nothing = np.zeros(0, np.int64)
+        base = next((r for r in rows if r["counts"] is not None), None)
+        names, sizes, contexts, counts = (nothing.view(np.uint64), nothing, nothing.view(np.uint64), nothing)
+        if base is not None:
+            names, contexts = np.frombuffer(base["names"], np.uint64), _from_short(base["contexts"])
+            sizes, counts = (_from_planes(base[c]).astype(np.int64) for c in ("sizes", "counts"))
+        starts = _starts(sizes)
+        total = np.add.reduceat(counts, starts) if len(counts) else counts
+        places, context = np.unique(contexts, return_inverse=True)
+        code = np.repeat(np.arange(len(names)), sizes).astype(np.uint64) << np.uint64(32) | context.astype(np.uint64)
+        seats = {r["sample"]: [_from_planes(r[c]).astype(np.int64) for c in ("seats", "roots")]
+                 for r in rows if r["seats"] is not None}
+        totals = next((r for r in rows if r["heads"] is not None), None)
+        heads, customers = nothing.view(np.uint64), nothing
+        if totals is not None:
+            heads, customers = _from_short(totals["heads"]), _from_planes(totals["customers"])
+        tables = {r["sample"]: _from_planes(r["tables"]) for r in rows if r["tables"] is not None}
+        own = np.zeros(len(counts))
+        for s, t in enumerate(samples):
+            if s in seats:
+                own += np.maximum(counts - t.discount * seats[s][0], 0) / len(samples)
+        out = {c: [] for c in ("own", "known", "customers", "parents", "opens")}
+        for row in asked.select(["names", "sizes", "contexts"]).to_pylist():
+            want = np.frombuffer(row["names"], np.uint64)
+            at, there = _placed(names, want)
+            in_context, met = _placed(places, _from_short(row["contexts"]))
+            pair, hit = _placed(code, np.repeat(at, _from_planes(row["sizes"])).astype(np.uint64) << np.uint64(32)
+                                | in_context.astype(np.uint64))
+            hit &= met & np.repeat(there, _from_planes(row["sizes"]))
+            place, known = _placed(heads, want >> _SHIFT)
+            parents, opens = [], []
             for s, t in enumerate(samples):
-                seats, roots = by_sample.get(s, (np.zeros(0, np.int64),) * 2)
-                sent = np.add.reduceat(seats, starts) if len(keys) else seats
-                parent = t.root(sent[of] * has if len(sent) else np.zeros(len(want)),
-                                roots[of] * has if len(roots) else np.zeros(len(want)))
-                own = np.maximum(counts[at] - t.discount * seats[at], 0) * hit if len(keys) else 0.0
-                p += (own + t.open(context) * parent) / (STRENGTH + t.customers[context])
-            chunks.append(chunk)
-            probabilities.append(np.log10(p / max(len(samples), 1)).astype(np.float32).tobytes())
-            known.append(_planes(total[of] * has if len(total) else np.zeros(len(want))))
-        return pa.table({"chunk": pa.array(chunks, pa.int64()), "bucket": pa.array([key[0].as_py()] * len(chunks), pa.int32()),
-                         "p": pa.array(probabilities, pa.binary()), "known": pa.array(known, pa.binary())})
+                sitting, roots = seats.get(s, (nothing, nothing))
+                sent = np.add.reduceat(sitting, starts) if len(sitting) else sitting
+                parents.append(t.root(_taken(sent, at, there), _taken(roots, at, there)))
+                opens.append(t.open(_taken(tables.get(s, nothing), place, known)))
+            out["own"].append(_taken(own, pair, hit).astype(np.float32).tobytes())
+            out["known"].append(_planes(_taken(total, at, there)))
+            out["customers"].append(_planes(_taken(customers, place, known)))
+            out["parents"].append(np.array(parents, np.float32).tobytes())
+            out["opens"].append(np.array(opens, np.float32).tobytes())
+        chunks = asked.column("chunk")
+        return pa.table({"chunk": chunks, "bucket": pa.array([key[0].as_py()] * len(chunks), pa.int32()),
+                         **{c: pa.array(v, pa.binary()) for c, v in out.items()}})
     return run
 
 
@@ -279,17 +356,23 @@ def _scores(train: int, words: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                answers = sorted(row["answers"], key=lambda a: a["bucket"])
-                p = np.concatenate([np.frombuffer(a["p"], np.float32) for a in answers]).astype(np.float64)
-                known = np.concatenate([_from_planes(a["known"]) for a in answers])
-                pair = _from_planes(row["pair"])
+                answers = sorted(row.pop("answers"), key=lambda a: a["bucket"])
+                p = np.concatenate([np.frombuffer(a["own"], np.float32) for a in answers]).astype(np.float64)
+                known, customers = (np.concatenate([_from_planes(a[c]) for a in answers]) for c in ("known", "customers"))
+                parents, opens = (np.concatenate([np.frombuffer(a[c], np.float32).reshape(SAMPLES, -1) for a in answers], axis=1)
+                                  for c in ("parents", "opens"))
+                del answers
+                word, context, pair = pairs_of(np.frombuffer(row["names"], np.uint64), _from_planes(row["tokens"]))
+                for s in range(SAMPLES):
+                    p += opens[s][context].astype(np.float64) * parents[s][word] / SAMPLES
+                p = np.log10(p / (STRENGTH + customers[context]))
                 ends = np.frombuffer(row["ends"], np.int64)
                 starts = np.append(0, ends[:-1])
-                base = np.log10((known + 1.0) / (train + words + 1.0))
+                base = np.log10((known + 1.0) / (train + words + 1.0))[word]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.frombuffer(row["ids"], np.int64), mask=np.frombuffer(row["held"], np.uint8) > 1),
                      pa.array(np.frombuffer(row["held"], np.uint8) % 2 == 1), pa.array(ends - starts),
-                     pa.array(np.add.reduceat((known > 0)[pair].astype(np.int64), starts)),
+                     pa.array(np.add.reduceat((known > 0)[word][pair].astype(np.int64), starts)),
                      pa.array(np.full(len(ends), train)), pa.array(np.add.reduceat(base[pair], starts)),
                      pa.array(np.add.reduceat(p[pair], starts))],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -309,32 +392,55 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sums = chunks.agg(F.sum("n_pairs"), F.sum("n_train")).first()
     n_train = int(sums[1] or 0)
     buckets = max(1, int((sums[0] or 0) // BUCKET_PAIRS) + 1)
-    asked = chunks.select("chunk", "keys", "counts").mapInArrow(
-        _asked(buckets, True), "bucket int, chunk long, keys binary, counts binary")
+    asked = chunks.select("chunk", "held", "ends", "names", "tokens").mapInArrow(
+        _asked(buckets, True), f"{_ASKED}, counts binary")
     path = ws.folder("state")
     state = ws.at(asked.groupBy("bucket").applyInArrow(_merged, _STATE), path)
 
     def totals() -> Totals:
         rows = state.select(F.posexplode("stats")).groupBy("pos").agg(F.sum("col").alias("v")).collect()
         values = dict((r["pos"], r["v"]) for r in rows)
-        return Totals([values.get(k, 0.0) for k in range(2 * CONTEXTS + 7)], n_train)
+        return Totals([values.get(k, 0.0) for k in range(7)])
 
-    now, samples, history = totals(), [], None
+    def contexts() -> DataFrame:
+        reports = state.select("bucket", "contexts", "counts", "seats").mapInArrow(_reports(buckets), _TOTALS)
+        return ws.keep(reports.groupBy("target").applyInArrow(_summed, _TOTALS), "contexts")
+
+    now, told, samples, parts = totals(), contexts(), [], []
     for number in range(BURN + SAMPLES):
         new = ws.folder("state")
-        state = ws.at(state.mapInArrow(_sweep(now, number), _STATE), new)
+        replies = told.where("bucket is not null").select("bucket", "target", "tables")
+        state = ws.at(state.groupBy("bucket").cogroup(replies.groupBy("bucket")).applyInArrow(_sweep(now, number), _STATE), new)
         storage.remove(spark, path)
-        path, now = new, totals()
+        ws.drop(told)
+        ws.release()
+        path, now, told = new, totals(), contexts()
         if number >= BURN:
-            kept = ws.keep(state.select("bucket", "seats", "roots", F.lit(len(samples)).alias("sample")), "sample")
-            history = kept if history is None else history.unionByName(kept)
+            sample = F.lit(len(samples)).alias("sample")
+            parts.append(ws.keep(state.select("bucket", sample, "seats", "roots"), "sample"))
+            # Which contexts a bucket holds, and their customers, are the same in every sample.
+            named = ["heads", "customers"] if not samples else []
+            parts.append(ws.keep(told.where("bucket is null").select(
+                F.col("target").alias("bucket"), sample, *named, "tables"), "sums"))
             samples.append(now)
-    full = history.join(state.select("bucket", "keys", "counts"), "bucket")
-    again = chunks.select("chunk", "keys").mapInArrow(_asked(buckets, False), "bucket int, chunk long, keys binary")
-    answers = ws.keep(again.groupBy("bucket").cogroup(full.groupBy("bucket")).applyInArrow(
-        _answers(samples), "chunk long, bucket int, p binary, known binary"), "answers")
-    told = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "p", "known")).alias("answers"))
-    return chunks.select("chunk", "ids", "held", "ends", "pair").join(told, "chunk").mapInArrow(
+    ws.drop(told)
+    ws.release()
+    held = state.select("bucket", "names", "sizes", "contexts", "counts")
+    for part in parts:
+        held = held.unionByName(part, allowMissingColumns=True)
+    again = chunks.select("chunk", "names", "tokens").mapInArrow(_asked(buckets, False), _ASKED)
+    answers = None
+    for turn in range(TURNS):
+        mine = F.col("bucket") % TURNS == turn
+        found = again.where(mine).groupBy("bucket").cogroup(held.where(mine).groupBy("bucket"))
+        found = ws.keep(found.applyInArrow(_answers(samples), _ANSWERS), "answers")
+        answers = found if answers is None else answers.unionByName(found)
+        del found
+        ws.release()
+    for part in parts:
+        ws.drop(part)
+    storage.remove(spark, path)
+    told = answers.groupBy("chunk").agg(F.collect_list(F.struct(*[c for c in answers.columns if c != "chunk"])).alias("answers"))
+    return chunks.select("chunk", "ids", "held", "ends", "names", "tokens").join(told, "chunk").mapInArrow(
         _scores(n_train, int(now.words)),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-
