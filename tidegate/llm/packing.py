@@ -12,7 +12,8 @@ round follows until the band is placed.
 
 A round moves narrow rows only (number, size), and a window over a depth is short, since it
 holds at most one gap and one piece of each size. Token ids are made once, in Arrow batches, with a
-bounded cache of words, and are reduced to checksums there.
+bounded cache of words (of their letters and marks, where the tokenizer parts these), and are reduced
+to checksums there.
 
 Defined results: a NULL or empty text is the end token alone; repeated rows are packed
 separately; an empty table gives an empty result; other columns are ignored.
@@ -20,7 +21,9 @@ separately; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +31,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Workspace
-from .words import words_of
+from .words import cut_at_marks, words_of
 
 CAPACITY, END_ID = 2048, 0
 #: Distinct words a task remembers the ids of before it starts afresh.
 CACHE_WORDS = 400_000
+#: Words encoded in one call, which makes an object for each.
+CALL_WORDS = 1000
+#: A splitting at white space that also parts letters from marks, whatever stands beside them.
+PARTING = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -41,9 +48,13 @@ class WordIds:
     """Token ids of words; a bounded table from word hash to a slice of ids."""
 
     def __init__(self, path: str):
+        # Spark's tasks fill the cores; threads of the library would only take time from each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.parts = PARTING in str(self.tokenizer.pre_tokenizer)
+        self.folds = "Lowercase()" in str(self.tokenizer.normalizer)
         self.clear()
 
     def clear(self) -> None:
@@ -51,15 +62,18 @@ class WordIds:
         self.ids = np.zeros(0, np.uint32)
 
     def learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        sizes = np.fromiter((len(e.ids) for e in found), np.int64, len(found))
+        """``hashes`` ascend."""
+        sizes, parts = [], [self.ids]
+        for k in range(0, len(texts), CALL_WORDS):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[k:k + CALL_WORDS], add_special_tokens=False)]
+            sizes += map(len, found)
+            parts.append(np.array(list(chain.from_iterable(found)), np.uint32))
+        sizes = np.array(sizes, np.int64)
         ends = np.cumsum(sizes) + len(self.ids)
-        self.ids = np.concatenate([self.ids, np.fromiter(
-            (i for e in found for i in e.ids), np.uint32, int(sizes.sum()))])
-        keys = np.concatenate([self.keys, hashes])
-        spans = np.concatenate([self.spans, np.stack([ends - sizes, ends], axis=1)])
-        order = np.argsort(keys)
-        self.keys, self.spans = keys[order], spans[order]
+        self.ids = np.concatenate(parts)
+        at = np.searchsorted(self.keys, hashes)
+        self.keys = np.insert(self.keys, at, hashes)
+        self.spans = np.insert(self.spans, at, np.stack([ends - sizes, ends], axis=1), axis=0)
 
     def spans_of(self, words) -> np.ndarray:
         """(from, to) in ``ids`` for every word."""
@@ -83,7 +97,9 @@ def _tokenise(tokenizer_path: str, capacity: int):
         known = WordIds(tokenizer_path)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for row, words in words_of(batch.column(1)):
+            for row, words in words_of(batch.column(1), fold=known.folds):
+                if known.parts:
+                    words = cut_at_marks(words, fold=known.folds)
                 out = [[] for _ in range(5)]
                 spans = known.spans_of(words) if len(words.hashes) else np.zeros((0, 2), np.int64)
                 sizes = spans[:, 1] - spans[:, 0]

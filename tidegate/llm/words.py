@@ -71,13 +71,30 @@ def _split(data: np.ndarray, bounds: np.ndarray, fold: bool) -> Words:
     edges = bounds[1:][bounds[1:] > 0] - 1
     closes[edges] = word[edges]
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    if len(starts):
-        sums = np.add.reduceat(_TABLES[fold][data] * _powers(len(data), _STEP), starts)
-        sums *= _powers(len(data), _INVERSE)[starts]
-        hashes = mix(sums + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    else:
-        hashes = np.zeros(0, np.uint64)
-    return Words(data, starts, ends, np.searchsorted(starts, bounds), hashes)
+    return Words(data, starts, ends, np.searchsorted(starts, bounds), _hashes(data, starts, ends, fold))
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool) -> np.ndarray:
+    """Hashes of pieces that have nothing but space between them."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    sums = np.add.reduceat(_TABLES[fold][data] * _powers(len(data), _STEP), starts)
+    sums *= _powers(len(data), _INVERSE)[starts]
+    return mix(sums + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+#: ASCII letters 1, ASCII marks but the apostrophe 2, all else 0.
+_KINDS = np.array([1 if chr(b).isalpha() and b < 128 else 2 if 32 < b < 127 and not chr(b).isalnum() and b != 39 else 0
+                   for b in range(256)], np.uint8)
+
+
+def cut_at_marks(words: Words, fold: bool = False) -> Words:
+    """The pieces of the words, cut between ASCII letters and marks other than the apostrophe."""
+    kinds = _KINDS[words.data]
+    cuts = np.flatnonzero(kinds[1:] + kinds[:-1] == 3) + 1
+    starts, ends = np.union1d(words.starts, cuts), np.union1d(words.ends, cuts)
+    first = np.searchsorted(starts, np.append(words.starts, len(words.data))[words.first])
+    return Words(words.data, starts, ends, first, _hashes(words.data, starts, ends, fold))
 
 
 def words_of(texts: pa.Array, fold: bool = False) -> Iterator[tuple[int, Words]]:
