@@ -84,3 +84,12 @@ def test_many_classes_just_apart(spark, monkeypatch, short):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(df).collect()}
     assert got == dict(enumerate(least))
+
+
+def test_pairs_of_blocks_name_the_sets_they_need_in_two_rows():
+    size = jaccard_join.BLOCK_SETS
+    pairs = [0 * size + 5, 63 * size + 64, 64 * size + 127, 127 * size + 5]
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([9]), pa.array([pairs], pa.list_(pa.int32()))], list("xyp"))
+    found = [r for b in jaccard_join._used([batch]) for r in b.to_pylist()]
+    named = {r["block"]: {k for k in range(128) if (r["low"], r["high"])[k // 64] >> k % 64 & 1} for r in found}
+    assert len(found) == 2 and named == {7: {0, 63, 64, 127}, 9: {5, 64, 127}}

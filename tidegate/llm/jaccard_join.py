@@ -42,7 +42,7 @@ COUNTED_SHARE, HOT, HOT_TOKENS = 0.3, 40, 200_000
 ROUNDS = 3
 #: Tokens a task collects before it sends them on.
 SEND = 2_000_000
-#: Sets of a block and bytes of their tokens; a longer set is a block of its own.
+#: Sets of a block, two words of bits at most, and bytes of their tokens; a longer set is a block of its own.
 BLOCK_SETS, BLOCK_BYTES = 128, 400_000
 #: Sets of a list up to which its pairs are made one by one; longer lists meet block against block.
 SHORT_LIST = 64
@@ -273,6 +273,20 @@ def _candidates(percent: int):
     return run
 
 
+def _used(batches):
+    """The sets of each of two blocks that their pairs need, as bits by place: two rows for two blocks."""
+    for batch in batches:
+        for x, y, pairs in zip(*batch.columns):
+            pairs = pairs.values.to_numpy(zero_copy_only=False)
+            bits = np.zeros((2, 2 * 64), np.uint8)
+            bits[0, pairs // BLOCK_SETS] = 1
+            bits[1, pairs % BLOCK_SETS] = 1
+            words = np.packbits(bits, axis=1, bitorder="little").view("<i8")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x.as_py(), y.as_py()], pa.int64()), pa.array(words[:, 0]), pa.array(words[:, 1])],
+                ["block", "low", "high"])
+
+
 def _set_blocks(batches):
     """Blocks of whole sets, from (block, place, row, tokens) in this order."""
     name, places, rows, sizes, parts = None, [], [], [], []
@@ -430,7 +444,7 @@ class JaccardJoin:
         both = met.join(sides["x"], "x").join(sides["y"], "y").select(
             "x", "y", *[f"{c}_{side}" for side in "xy" for c in columns])
         pairs = ws.keep(both.mapInArrow(
-            _candidates(percent), "x long, y long, pairs array<int>, kinds array<int>, used array<long>"), "pairs")
+            _candidates(percent), "x long, y long, pairs array<int>, kinds array<int>, used array<long>").drop("used"), "pairs")
         ws.drop(held)
         place = ws.keep(blocks.select("block", F.posexplode("rows").alias("place", ROW)), "place")
         ws.drop(blocks)
@@ -468,18 +482,20 @@ class JaccardJoin:
         met = pairs.select("a", "b").join(sides["a"], "a").join(sides["b"], "b").select(
             "a", "b", F.least("at_a", "at_b").alias("i"), F.greatest("at_a", "at_b").alias("j"))
         met = met.groupBy(F.col("i.block").alias("x"), F.col("j.block").alias("y")).agg(
-            F.collect_list((F.col("i.place") * BLOCK_SETS + F.col("j.place")).cast("int")).alias("pairs"),
-            F.array_distinct(F.flatten(F.collect_list(F.array("a", "b")))).alias("used"))
+            F.collect_list((F.col("i.place") * BLOCK_SETS + F.col("j.place")).cast("int")).alias("pairs"))
         # Every pair counts as one of two classes of its own.
-        met = ws.keep(met.select("x", "y", "pairs", F.expr("sequence(0, size(pairs) - 1)").alias("kinds"), "used"), "met")
+        met = ws.keep(met.select("x", "y", "pairs", F.expr("sequence(0, size(pairs) - 1)").alias("kinds")), "met")
         ws.drop(lists)
         return self.exact(place, met)
 
     def exact(self, place: DataFrame, pairs: DataFrame) -> DataFrame:
-        """a, b: of pairs of blocks (x, y, pairs, kinds, used), a similar pair of each kind."""
+        """a, b: of pairs of blocks (x, y, pairs, kinds), a similar pair of each kind."""
         ws = self.ws
         ws.release()
-        wanted = pairs.select(F.explode("used").alias(ROW)).distinct().select(
+        used = pairs.select("x", "y", "pairs").mapInArrow(_used, "block long, low long, high long").groupBy("block").agg(
+            F.bit_or("low").alias("low"), F.bit_or("high").alias("high"))
+        needed = F.expr("getbit(if(place < 64, low, high), place % 64) = 1")
+        wanted = place.join(used.hint("merge"), "block").where(needed).select(
             ROW, F.lit(None).cast("long").alias("leader"), F.lit(False).alias("leads"))
         sets = self.sets(wanted)
         whole = ws.keep(sets.select(ROW, "tokens").join(place.hint("merge"), ROW).repartition("block")
