@@ -50,6 +50,33 @@ def test_a_batch_that_cannot_be_stored_fails_alone(spark, target, refuse, option
     assert done.outcome.error is None
 
 
+@pytest.mark.parametrize("catalog", [False, True])
+def test_groups_are_tried_beside_the_epoch_and_stored_by_one_job(spark, target, name, refuse, monkeypatch, catalog):
+    refuse("id % 700 = 37")
+    jobs, running, most, write = [], [], [0], TableStore.write_epoch
+
+    def counted(self, kind, df, writer, epoch, mode="overwrite"):
+        if kind != "rows":
+            return write(self, kind, df, writer, epoch, mode)
+        jobs.append(writer)
+        running.append(writer)
+        most[0] = max(most[0], len(running))
+        try:
+            return write(self, kind, df, writer, epoch, mode)
+        finally:
+            running.remove(writer)
+
+    monkeypatch.setattr(TableStore, "write_epoch", counted)
+    where = {"table": name} if catalog else {"path": target}
+    done = tg.insert(spark.range(2000), batch_size=10, order_by="id", **where)
+    lost = {37 // 10, 737 // 10, 1437 // 10}
+    assert {r.batch_no for r in done.log.where("not ok").collect()} == lost
+    assert jobs.count(done.writer) == 2 and most[0] > 1
+    stored = sorted(r.id for r in tg.read_table(spark, **where).collect())
+    assert stored == [i for i in range(2000) if i // 10 not in lost]
+    assert {r._writer for r in done.store.stored_rows().select("_writer").collect()} == {done.writer}
+
+
 def test_batches_of_several_channels_in_a_catalog_table(spark, name, refuse):
     refuse("id = 40")
     done = tg.insert(spark.range(100), name, batch_size=7, channels="id % 3", order_by="id")

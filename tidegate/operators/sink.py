@@ -18,7 +18,7 @@ from __future__ import annotations
 import logging
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -50,6 +50,8 @@ MOST_CHANNELS, CHANNELS_AT_A_TIME = 1000, 8
 # Groups into which batches that could not be stored together are split, and failures in a row
 # after which the store counts as down.
 SPLIT, DOWN_AFTER = 8, 64
+# Groups of batches that are tried at a time, and folders by place that their rows are read from.
+TRIES_AT_A_TIME, SLICES = 8, 64
 # Plan nodes that yield the same rows whenever they are read.
 REPEATING_NODES = {
     "DataSourceV2Relation", "Filter", "Generate", "LocalRelation", "LogicalRelation", "Project",
@@ -335,8 +337,10 @@ def _salvaged(verdict: Verdict | None, rows: DataFrame, plan: InsertPlan, store:
     """After the rows of an epoch could not be stored: store what batches can be, in groups.
 
     A group that fails is split, down to single batches, so that a batch fails alone; jobs that fail
-    leave nothing. When nothing was stored for ``DOWN_AFTER`` attempts, the store counts as down
-    and the groups left fail as they are.
+    leave nothing. Groups are first tried beside the epoch, many at a time, and what passes is then
+    stored by one job. Keys of one group decide what another stores, so with ``dedupe_on_key``
+    the groups are stored one after the other instead. When nothing was stored for ``DOWN_AFTER``
+    attempts, the store counts as down and the groups left fail as they are.
     """
     if verdict is None or BATCH not in verdict.rows.columns:
         verdict = _verdict(None, rows if verdict is None else verdict.rows, [CHANNEL, BATCH], plan,
@@ -344,15 +348,30 @@ def _salvaged(verdict: Verdict | None, rows: DataFrame, plan: InsertPlan, store:
     placed = number_rows(verdict.batches.where("not failed").select(CHANNEL, BATCH), [], [CHANNEL, BATCH],
                          f"{scratch}/places").select(CHANNEL, BATCH, F.col(SEQ).alias("_place"))
     placed, _ = _written(placed, f"{scratch}/placed")
-    good, _ = _written(verdict.rows.join(placed, [CHANNEL, BATCH]), f"{scratch}/good")
-    todo, lost, in_a_row = [(0, placed.count())], [], 0
+    n = placed.count()
+    step = -(-n // SLICES) or 1
+    good = (verdict.rows.join(placed, [CHANNEL, BATCH]).withColumn(PART, F.expr(f"_place div {step}"))
+            .repartitionByRange("_place").sortWithinPartitions("_place"))
+    good.write.mode("overwrite").partitionBy(PART).parquet(f"{scratch}/good")
+    good = store.spark.read.schema(good.schema).parquet(f"{scratch}/good")
+
+    def within(low: int, high: int) -> DataFrame:
+        return good.where((F.col("_place") >= low) & (F.col("_place") < high)
+                          & F.col(PART).between(low // step, (high - 1) // step))
+
     store.drop_epoch("rows", done.writer, done.epoch)
+    lost = [] if plan.options.dedupe_on_key else _failing(n, within, plan, store, done)
+    if lost:
+        ranges = store.spark.createDataFrame(lost, "low long, high long")
+        ranges = ranges.select(F.explode(F.sequence("low", F.col("high") - 1)).alias("_place"))
+        refused, _ = _written(ranges, f"{scratch}/refused")
+        good = good.join(refused, "_place", "left_anti")
+    todo, in_a_row = [(0, n)] if sum(high - low for low, high in lost) < n else [], 0
     stored = False
     while todo:
         low, high = todo.pop()
-        group = (F.col("_place") >= low) & (F.col("_place") < high)
         try:
-            store.write_epoch("rows", table_rows(good.where(group), plan, store, done, also_own=stored),
+            store.write_epoch("rows", table_rows(within(low, high), plan, store, done, also_own=stored),
                               done.writer, done.epoch, mode="append")
             stored, in_a_row = True, 0
         except Exception as e:
@@ -361,17 +380,18 @@ def _salvaged(verdict: Verdict | None, rows: DataFrame, plan: InsertPlan, store:
             in_a_row += 1
             log.error("batches %s to %s of epoch %s of %s were not stored: %s", low, high - 1, done.epoch, done.writer, e)
             if high - low == 1 or in_a_row > DOWN_AFTER:
-                lost.append(group)
+                lost.append((low, high))
             else:
-                step = -(-(high - low) // SPLIT)
-                todo += [(k, min(k + step, high)) for k in reversed(range(low, high, step))]
+                todo += _split(low, high)
     if not stored:
         store.drop_epoch("rows", done.writer, done.epoch)
         return verdict
     done.error = None
     if not lost:
         return verdict
-    failed = placed.where(reduce(Column.__or__, lost)).select(CHANNEL, BATCH).withColumn("_lost", F.lit(True))
+    ranges = store.spark.createDataFrame(lost, "low long, high long")
+    ranges = ranges.select(F.explode(F.sequence("low", F.col("high") - 1)).alias("_place")).distinct()
+    failed = placed.join(ranges, "_place").select(CHANNEL, BATCH).withColumn("_lost", F.lit(True))
     batches, totals = _written(
         verdict.batches.join(failed, [CHANNEL, BATCH], "left")
         .withColumn("failed", F.col("failed") | F.coalesce("_lost", F.lit(False))).drop("_lost"),
@@ -382,6 +402,49 @@ def _salvaged(verdict: Verdict | None, rows: DataFrame, plan: InsertPlan, store:
                    rows_failed=done.rows_failed, batches_failed=done.batches_failed)
 
 
+def _split(low: int, high: int) -> list[tuple[int, int]]:
+    step = -(-(high - low) // SPLIT)
+    return [(k, min(k + step, high)) for k in reversed(range(low, high, step))]
+
+
+def _failing(n: int, within, plan: InsertPlan, store: TableStore, done: Epoch) -> list[tuple[int, int]]:
+    """The groups of the places 0 to n that can't be stored: single batches, or, when the store is down, what is left.
+
+    Every group is written as an epoch of a writer of its own, which has no log, and dropped again.
+    Groups lie one behind the other on a stack, so that few are open, however many batches there are.
+    """
+    def stores(low: int, high: int) -> Exception | None:
+        writer = f"{done.writer}{CHANNEL_MARK}.{low}-{high}"
+        try:
+            store.write_epoch("rows", table_rows(within(low, high), plan, store, done), writer, done.epoch)
+        except Exception as e:
+            return e
+        finally:
+            store.drop_epoch("rows", writer, done.epoch)
+
+    todo, running, lost, in_a_row = _split(0, n) if n > 1 else [], {}, [], 0
+    with ThreadPoolExecutor(TRIES_AT_A_TIME) as pool:
+        while todo or running:
+            while todo and len(running) < TRIES_AT_A_TIME:
+                low, high = todo.pop()
+                running[pool.submit(inheritable_thread_target(store.spark)(stores), low, high)] = low, high
+            for ended in wait(running, return_when=FIRST_COMPLETED).done:
+                low, high = running.pop(ended)
+                error = ended.result()
+                if error is None:
+                    in_a_row = 0
+                    continue
+                if done.out_of_time():
+                    raise error
+                in_a_row += 1
+                log.error("batches %s to %s of epoch %s of %s were not stored: %s", low, high - 1, done.epoch, done.writer, error)
+                if high - low == 1 or in_a_row > DOWN_AFTER * TRIES_AT_A_TIME:
+                    lost.append((low, high))
+                else:
+                    todo += _split(low, high)
+    return lost
+
+
 def _nothing_to_reject(df: DataFrame, plan: InsertPlan, evaluate_once: bool) -> bool:
     """Whether the verdict can be skipped.
 
