@@ -263,6 +263,7 @@ def repeated_windows(ws: Workspace, docs: DataFrame, text_col: str = "text", win
     cut = ws.keep(texts.mapInArrow(_segments(window, mark), _SEGMENTS), "segments")
     contents = ws.keep(cut.groupBy("mark", "content").agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct(ROW, "at", "n")).alias("one")), "contents")
+    ws.release()
     marks = ws.keep(contents.groupBy("mark").agg(F.sum("times").alias("all"), F.count(F.lit(1)).alias("kinds"))
                     .where(F.col("all") > 1).select("mark", (F.col("kinds") > HOT).alias("hot"), "kinds"), "marks")
     # A content that occurs twice repeats whole; those with other contents beside them are searched.
@@ -273,6 +274,7 @@ def repeated_windows(ws: Workspace, docs: DataFrame, text_col: str = "text", win
     wanted = shared.unionByName(hot).groupBy(ROW).agg(F.collect_list(F.struct("at", "n", "mark", "content", "hot")).alias("asked"))
     read = ws.keep(texts.join(wanted, ROW).select(ROW, "text", "asked").mapInArrow(
         _contents(window), f"{ROW} long, at int, mark long, content long, words binary"), "read")
+    ws.release()
     single = read.where(F.col(ROW).isNotNull())
     twice = single.groupBy("content").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     size = read.where(F.col(ROW).isNull()).agg(F.sum(F.octet_length("words") / 8)).first()[0] or 0
@@ -280,6 +282,7 @@ def repeated_windows(ws: Workspace, docs: DataFrame, text_col: str = "text", win
     found = ws.keep(
         read.where(F.col(ROW).isNull()).withColumn("shard", F.pmod(F.xxhash64("mark"), F.lit(shards)))
         .groupBy("shard").applyInArrow(_search(window), "mark long, content long, starts array<int>"), "found")
+    ws.release()
     equal = contents.where("times > 1").select("mark", "content")
     quiet = cut.join(marks.where("not hot").select("mark"), "mark", "left_semi")
     starts = quiet.join(equal, ["mark", "content"], "left_semi").select(
@@ -287,8 +290,12 @@ def repeated_windows(ws: Workspace, docs: DataFrame, text_col: str = "text", win
     inner = quiet.join(found, ["mark", "content"]).select(ROW, F.explode("starts").alias("k"), "at").select(
         ROW, (F.col("at") + F.col("k")).alias("from"), (F.col("at") + F.col("k")).alias("to"))
     alone = single.join(twice, "content", "left_semi").select(ROW, F.col("at").alias("from"), F.col("at").alias("to"))
-    return ws.keep(starts.unionByName(inner).unionByName(alone).groupBy(ROW).agg(
+    spans = ws.keep(starts.unionByName(inner).unionByName(alone).groupBy(ROW).agg(
         F.collect_list(F.struct("from", "to")).alias("spans")), "spans")
+    for done in (cut, contents, marks, read, found):
+        ws.drop(done)
+    ws.release()
+    return spans
 
 
 def _without(window: int):
