@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..operators.numbering import SEQ, number_rows
 from .common import ROW, Workspace, keyed, pinned
 from .components import components
-from .words import mix, shingles, u64, words_of
+from .words import distinct, mix, shingles, u64, words_of
 
 WORDS, PERCENT = 5, 75
 #: Tokens counted for the order: those whose hash is in the lowest share; a prefix hardly
@@ -50,11 +50,21 @@ SHORT_LIST = 64
 STRIPE = 4096
 
 
-def _sets(batch, column: int, length: int):
-    """(first row, number of texts, text, token) with each text's tokens distinct and ascending."""
+def _grouped(group: np.ndarray) -> np.ndarray:
+    """Order that brings equal small numbers together, stable; of 16 bits numpy sorts them by counting."""
+    small = len(group) and int(group.max()) < 1 << 16
+    return np.argsort(group.astype(np.uint16) if small else group, kind="stable")
+
+
+def _sets(batch, column: int, length: int, below: int = 1 << 64):
+    """(first row, number of texts, text, token) with each text's tokens under ``below`` distinct and ascending."""
     for row, words in words_of(batch.column(column), fold=True):
         doc, value = shingles(words, length)
-        order = np.lexsort((value, doc))
+        if below < 1 << 64:
+            low = value < np.uint64(below)
+            doc, value = doc[low], value[low]
+        order = np.argsort(value)
+        order = order[_grouped(doc[order])]
         doc, value = doc[order], value[order]
         new = np.ones(len(doc), dtype=bool)
         new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
@@ -94,14 +104,14 @@ def _dealt(buckets: int, columns: list[str]):
 
 def _low_tokens(length: int, buckets: int):
     send = _dealt(buckets, ["tokens"])
-    limit = np.uint64(int(COUNTED_SHARE * 2**64))
+    limit = int(COUNTED_SHARE * 2**64)
 
     def run(batches):
         held, parts = 0, []
         for batch in batches:
-            for _, _, _, value in _sets(batch, 0, length):
-                parts.append(value[value < limit])
-                held += len(parts[-1])
+            for _, _, _, value in _sets(batch, 0, length, limit):
+                parts.append(value)
+                held += len(value)
                 if held >= SEND:
                     yield send([parts])
                     held, parts = 0, []
@@ -129,7 +139,7 @@ def _postings(length: int, percent: int, hot: np.ndarray, buckets: int):
                 if len(hot):
                     at = np.minimum(np.searchsorted(hot, value), len(hot) - 1)
                     late = hot[at] == value
-                    order = np.lexsort((late, doc))
+                    order = _grouped(2 * doc + late)
                     doc, value = doc[order], value[order]
                 sizes = np.diff(np.searchsorted(doc, np.arange(n + 1)))
                 starts = np.cumsum(sizes) - sizes
@@ -194,7 +204,7 @@ def _prefix_blocks(batches):
             [*[pa.array([v], pa.list_(k)) for v, k in zip(held, kinds)],
              pa.array([[len(p) for p in parts]], pa.list_(pa.int64())),
              pa.array([np.concatenate(parts).tobytes()], pa.binary()),
-             pa.array([np.unique(np.concatenate(longs)).tobytes()], pa.binary())], [*names, "counts", "tokens", "longs"])
+             pa.array([distinct(np.concatenate(longs)).tobytes()], pa.binary())], [*names, "counts", "tokens", "longs"])
 
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns[:5]]
@@ -264,7 +274,7 @@ def _candidates(percent: int):
                 if len(i):
                     _, kind_x = np.unique(comps_x, return_inverse=True)
                     _, kind_y = np.unique(comps_y, return_inverse=True)
-                    used = np.union1d(rows_x[i], rows_y[j])
+                    used = distinct(np.concatenate([rows_x[i], rows_y[j]]))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([x], pa.int64()), pa.array([y], pa.int64()),
                          pa.array([(i * BLOCK_SETS + j).astype(np.int32)]),
@@ -328,7 +338,7 @@ def _needed(batches):
 
 def _grid_counts(left, left_sizes, right, right_sizes) -> np.ndarray:
     """Common tokens of every set of one block with every set of another."""
-    shared = np.intersect1d(left, right)
+    shared = np.intersect1d(distinct(left), distinct(right), assume_unique=True)
     sides = []
     for tokens, sizes in ((left, left_sizes), (right, right_sizes)):
         at = np.searchsorted(shared, tokens)
