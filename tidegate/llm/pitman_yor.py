@@ -55,6 +55,12 @@ _TOTALS = "bucket int, target int, heads binary, customers binary, tables binary
 _ANSWERS = "chunk long, bucket int, own binary, known binary, customers binary, parents binary, opens binary"
 
 
+def _rows(table):
+    """The rows of a batch or table as dictionaries, made one at a time: a row holds tens of megabytes."""
+    for k in range(table.num_rows):
+        yield table.slice(k, 1).to_pylist()[0]
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Bytes of 32-bit numbers by significance, which compress better."""
     return np.ascontiguousarray(values.astype(np.int32).view(np.uint8).reshape(-1, 4).T).tobytes()
@@ -141,7 +147,7 @@ def _asked(buckets: int, with_counts: bool):
     """A row for each bucket a chunk asks."""
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 names = np.frombuffer(row["names"], np.uint64)
                 words, contexts, pair = pairs_of(names, _from_planes(row["tokens"]))
                 sizes, contexts = np.bincount(words, minlength=len(names)), (names >> _SHIFT)[contexts]
@@ -200,7 +206,7 @@ def _reports(buckets: int):
     """What a bucket holds of each context, for the buckets of the contexts."""
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 heads, back = np.unique(_from_short(row["contexts"]), return_inverse=True)
                 customers, tables = (np.bincount(back, _from_planes(row[c]), minlength=len(heads)) for c in ("counts", "seats"))
                 at = _bounds(heads, buckets)
@@ -327,7 +333,7 @@ def _answers(samples: list[Totals]):
             if s in seats:
                 own += np.maximum(counts - t.discount * seats[s][0], 0) / len(samples)
         out = {c: [] for c in ("own", "known", "customers", "parents", "opens")}
-        for row in asked.select(["names", "sizes", "contexts"]).to_pylist():
+        for row in _rows(asked.select(["names", "sizes", "contexts"])):
             want = np.frombuffer(row["names"], np.uint64)
             at, there = _placed(names, want)
             in_context, met = _placed(places, _from_short(row["contexts"]))
@@ -355,7 +361,7 @@ def _answers(samples: list[Totals]):
 def _scores(train: int, words: int):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 answers = sorted(row.pop("answers"), key=lambda a: a["bucket"])
                 p = np.concatenate([np.frombuffer(a["own"], np.float32) for a in answers]).astype(np.float64)
                 known, customers = (np.concatenate([_from_planes(a[c]) for a in answers]) for c in ("known", "customers"))
