@@ -49,4 +49,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = ws.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        ws.release()
     return docs

@@ -172,6 +172,7 @@ def removed_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_c
                      .where("holders > 1"), "shared")
     claims = ws.keep(single.join(shared.hint("merge"), "line").where(F.col("doc") > F.col("first"))
                      .select(ROW, "line", F.col(f"first.{ROW}").alias("early")), "claims")
+    ws.release()
     gone = ws.keep(_aligned(whole, claims.select(ROW, "early").distinct()), "first-gone")
     # The places of the claimed lines that the first holders leave.
     held = claims.groupBy(ROW).agg(F.collect_list("line").alias("held"))
@@ -181,6 +182,7 @@ def removed_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_c
             .where("line is not null and array_contains(held, line)"
                    " and not coalesce(array_contains(taken, place), false)"))
     left = ws.keep(rest.select(ROW, "place", "line"), "unsettled")
+    ws.release()
     for more in _further(ws, whole, single, left):
         gone = gone.unionByName(more)
     return ws.keep(gone.distinct().groupBy(ROW).agg(F.collect_list("place").alias("gone")), "gone")
