@@ -45,3 +45,34 @@ def test_letters_are_learnt_once_and_few_at_a_time(monkeypatch):
     assert max(map(len, calls)) == 4
     met = [t.lower() for c in calls for t in c]
     assert len(met) == len(set(met)) and {"word", "other", ",", "."} < set(met)
+
+
+def test_letters_and_marks_are_encoded_as_few_texts():
+    rng, whole = random.Random(5), Tokenizer.from_file(TOKENIZER)
+    words = list({"".join(rng.choice("abcdeéßÿöÄÑXYZ") for _ in range(rng.randint(1, 9))) for _ in range(3000)})
+    words += list({"".join(rng.choice("!#$%&()<|>*~`_-") for _ in range(rng.randint(1, 5))) for _ in range(500)})
+    words += ["don't", "éte", "1234", "क़a", "İb", " ", "a b", "日本", "x́"]
+    known, calls = packing.WordIds(TOKENIZER), []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            calls.extend(texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    known.tokenizer = Counting()
+    known.learn(np.arange(len(words), dtype=np.uint64), words)
+    assert len(calls) < 20
+    for word, (a, b) in zip(words, known.spans):
+        assert known.ids[a:b].tolist() == whole.encode(word, add_special_tokens=False).ids, word
+
+
+def test_known_words_do_not_count_twice(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 30)
+    known, learnt = packing.WordIds(TOKENIZER), []
+    learn = known.learn
+    known.learn = lambda hashes, texts: (learnt.extend(texts), learn(hashes, texts))
+    text = pa.array([" ".join(f"{a}{b}" for a in "abcd" for b in "efghi")])
+    for _ in range(3):
+        for _, words in packing.words_of(text):
+            known.spans_of(words)
+    assert len(learnt) == 20

@@ -12,8 +12,8 @@ round follows until the band is placed.
 
 A round moves narrow rows only (number, size), and a window over a depth is short, since it
 holds at most one gap and one piece of each size. Token ids are made once, in Arrow batches, with a
-bounded cache of words (of their letters and marks, where the tokenizer parts these), and are reduced
-to checksums there.
+bounded cache of words (of their letters and marks, where the tokenizer parts these, a thousand new ones
+encoded as one text), and are reduced to checksums there.
 
 Defined results: a NULL or empty text is the end token alone; repeated rows are packed
 separately; an empty table gives an empty result; other columns are ignored.
@@ -22,6 +22,7 @@ separately; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from itertools import chain
 
@@ -36,11 +37,14 @@ from .words import cut_at_marks, words_of
 CAPACITY, END_ID = 2048, 0
 #: Distinct words a task remembers the ids of before it starts afresh.
 CACHE_WORDS = 400_000
-#: Words encoded in one call, which makes an object for each.
-CALL_WORDS = 1000
+#: Words encoded in one call, and the least of them that are joined to one text.
+CALL_WORDS, JOINED_WORDS = 1000, 64
 #: A splitting at white space that also parts letters from marks, whatever stands beside them.
 PARTING = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+#: Words that such a splitting leaves whole: letters that normal form C and lower case keep letters, or marks.
+_WHOLE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[!-&(-/:-@[-`{-~]+").fullmatch
+
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -55,41 +59,72 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.parts = PARTING in str(self.tokenizer.pre_tokenizer)
         self.folds = "Lowercase()" in str(self.tokenizer.normalizer)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = None
+        if self.parts and suffix:
+            # The ids that end what the splitting leaves whole.
+            self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
         self.keys, self.spans = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def _apart(self, texts: list[str]) -> tuple[list[int], np.ndarray]:
+        """(number of ids of each word, ids); an object is made for every word."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return list(map(len, found)), np.array(list(chain.from_iterable(found)), np.uint32)
+
+    def _joined(self, texts: list[str]) -> tuple[list[int], np.ndarray]:
+        """The same for words that are left whole, encoded as one text and told apart by the ids that end them."""
+        if len(texts) < JOINED_WORDS:
+            return self._apart(texts)
+        found = self.tokenizer.encode_batch_fast(["\n".join(texts)], add_special_tokens=False)[0].ids
+        ids = np.array(found, np.uint32)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(texts) or ends[-1] != len(ids):
+            return self._apart(texts)
+        return np.diff(ends, prepend=0).tolist(), ids
+
     def learn(self, hashes: np.ndarray, texts: list[str]) -> None:
         """``hashes`` ascend."""
+        whole, rest = [], []
+        for k, text in enumerate(texts):
+            (whole if self.last is not None and _WHOLE(text) else rest).append(k)
         sizes, parts = [], [self.ids]
-        for k in range(0, len(texts), CALL_WORDS):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[k:k + CALL_WORDS], add_special_tokens=False)]
-            sizes += map(len, found)
-            parts.append(np.array(list(chain.from_iterable(found)), np.uint32))
-        sizes = np.array(sizes, np.int64)
-        ends = np.cumsum(sizes) + len(self.ids)
+        for chosen, encode in ((whole, self._joined), (rest, self._apart)):
+            for k in range(0, len(chosen), CALL_WORDS):
+                counts, ids = encode([texts[i] for i in chosen[k:k + CALL_WORDS]])
+                sizes += counts
+                parts.append(ids)
+        ends = np.cumsum(sizes, dtype=np.int64) + len(self.ids)
+        spans = np.empty((len(texts), 2), np.int64)
+        spans[whole + rest] = np.stack([ends - sizes, ends], axis=1)
         self.ids = np.concatenate(parts)
         at = np.searchsorted(self.keys, hashes)
         self.keys = np.insert(self.keys, at, hashes)
-        self.spans = np.insert(self.spans, at, np.stack([ends - sizes, ends], axis=1), axis=0)
+        self.spans = np.insert(self.spans, at, spans, axis=0)
+
+    def _new(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether each of the hashes is not known."""
+        at = np.searchsorted(self.keys, hashes)
+        at[at == len(self.keys)] = 0
+        return self.keys[at] != hashes if len(self.keys) else np.ones(len(hashes), bool)
 
     def spans_of(self, words) -> np.ndarray:
         """(from, to) in ``ids`` for every word."""
         distinct, first, back = np.unique(words.hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(distinct) > CACHE_WORDS:
+        new = self._new(distinct)
+        if len(self.keys) + int(new.sum()) > CACHE_WORDS:
             self.clear()
-        at = np.searchsorted(self.keys, distinct)
-        at[at == len(self.keys)] = 0
-        new = self.keys[at] != distinct if len(self.keys) else np.ones(len(distinct), bool)
+            new = self._new(distinct)
         if new.any():
             data = words.data.tobytes()
             places = first[new]
             self.learn(distinct[new], [data[a:b].decode("utf-8", "replace") for a, b in
                                        zip(words.starts[places].tolist(), words.ends[places].tolist())])
-            at = np.searchsorted(self.keys, distinct)
-        return self.spans[at][back]
+        return self.spans[np.searchsorted(self.keys, distinct)][back]
 
 
 def _tokenise(tokenizer_path: str, capacity: int):
