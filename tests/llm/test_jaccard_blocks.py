@@ -8,6 +8,8 @@ import pyarrow as pa
 import pytest
 
 from tidegate.llm import jaccard_join
+from tidegate.llm.common import Workspace
+from tidegate.llm.components import components
 
 
 def test_common_tokens_of_blocks():
@@ -93,3 +95,37 @@ def test_pairs_of_blocks_name_the_sets_they_need_in_two_rows():
     found = [r for b in jaccard_join._used([batch]) for r in b.to_pylist()]
     named = {r["block"]: {k for k in range(128) if (r["low"], r["high"])[k // 64] >> k % 64 & 1} for r in found}
     assert len(found) == 2 and named == {7: {0, 63, 64, 127}, 9: {5, 64, 127}}
+
+
+@pytest.fixture
+def many_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_blocks_are_full_however_many_partitions(spark, monkeypatch, many_partitions):
+    monkeypatch.setattr(jaccard_join, "SHORT_LIST", 1)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 8)
+    monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
+    places, exact = [], jaccard_join.JaccardJoin.exact
+
+    def spied(self, place, pairs):
+        places.append(sorted(r["count"] for r in place.groupBy("block").count().collect()))
+        return exact(self, place, pairs)
+
+    monkeypatch.setattr(jaccard_join.JaccardJoin, "exact", spied)
+    rng = random.Random(6)
+    texts = [" ".join([f"w{k}" for k in range(20)] + [f"x{rng.randrange(10**6)}" for _ in range(60)]) for _ in range(50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in jaccard_join.near_duplicates(df).collect()} == {(k, k) for k in range(50)}
+    assert sum(places[0]) > 16 and all(n == 8 for n in places[0][1:])
+
+
+def test_rounds_of_components_pass_few_files_on(spark, many_partitions):
+    ws = Workspace(spark, "test-components")
+    edges = ws.keep(spark.createDataFrame([(k, k + 1) for k in range(300) if k % 10 != 9], "a long, b long"), "given")
+    found = components(ws, edges)
+    assert sorted(map(tuple, found.collect())) == [(k, k - k % 10) for k in range(300)]
+    assert len(found.inputFiles()) == 1

@@ -15,6 +15,8 @@ ROW = "__tidegate_row"
 _FILE, _RANK, _AT = "__tidegate_file", "__tidegate_rank", "__tidegate_place"
 #: Bits of a key that hold the place of a row in its file.
 _FILE_BITS = 40
+#: Bytes of a narrow kept table for which one task is enough.
+_TASK_BYTES = 1 << 20
 #: Files whose ranks every task is told; the rows of more files are written with their keys.
 _RANKED_FILES = 100_000
 #: The bytes that separate words, as characters and as a regular expression class.
@@ -33,8 +35,15 @@ class Workspace:
         self._count += 1
         return f"{self.path}/{self._count}-{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write and reread: cuts the lineage, survives lost executors, shows Spark the real size."""
+    def keep(self, df: DataFrame, name: str, like: DataFrame | None = None) -> DataFrame:
+        """Write and reread: cuts the lineage, survives lost executors, shows Spark the real size.
+
+        ``like``: a table that is no smaller than ``df``. A small one is written by few tasks: the
+        rounds of an iteration else pass as many almost empty files on as there are shuffle partitions.
+        """
+        if like is not None:
+            size = str(like._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+            df = df.coalesce(min(1 + int(size) // _TASK_BYTES, 1 << 20))
         return self.at(df, self.folder(name))
 
     def at(self, df: DataFrame, path: str) -> DataFrame:
