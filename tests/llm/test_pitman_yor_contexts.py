@@ -44,3 +44,12 @@ def test_pairs_of_tokens():
 def test_leading_bytes_of_hashes():
     heads = np.array([0, 1, 255, 2**40 - 1, 2**39 + 7], np.uint64)
     assert pitman_yor._from_short(pitman_yor._short(heads)).tolist() == heads.tolist()
+
+
+def test_a_chunk_meets_its_answers_alone(spark, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "CHUNK_TOKENS", 5)
+    df = spark.createDataFrame([(i, f"some words of text {i}") for i in range(30)], "doc_id long, text string").coalesce(1)
+    found = pitman_yor.score_texts(df)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+    assert sorted(r.doc_id for r in found.collect()) == list(range(30))

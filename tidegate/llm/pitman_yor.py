@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 from .. import storage
 from .common import Workspace
 from .toxicity import held_out
-from .words import words_of
+from .words import distinct, words_of
 
 #: Sweeps before the first sample, and samples.
 BURN, SAMPLES, SEED = 1, 3, 5
 STRENGTH = 1.0
-CHUNK_TOKENS, BUCKET_PAIRS = 2_000_000, 500_000
+CHUNK_TOKENS, BUCKET_PAIRS = 1_000_000, 500_000
 #: Shares of the buckets that are asked one after the other, which bounds what is shuffled at a time.
 TURNS = 3
 #: Customers seated one by one; then blocks of a sixteenth of those that sit.
@@ -56,9 +56,11 @@ _ANSWERS = "chunk long, bucket int, own binary, known binary, customers binary,
 
 
 def _rows(table):
-    """The rows of a batch or table as dictionaries, made one at a time: a row holds tens of megabytes."""
+    """The rows of a batch or table as dictionaries, made one at a time and without copies: a row holds tens of megabytes."""
+    binary = [pa.types.is_binary(f.type) or pa.types.is_large_binary(f.type) for f in table.schema]
     for k in range(table.num_rows):
-        yield table.slice(k, 1).to_pylist()[0]
+        cells = [column[k] for column in table.columns]
+        yield {name: cell.as_buffer() if b else cell.as_py() for name, cell, b in zip(table.schema.names, cells, binary)}
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -91,16 +93,20 @@ def tokens_of(words) -> tuple[np.ndarray, np.ndarray]:
     return tokens, counts + 1
 
 
+def _codes(names: np.ndarray, token: np.ndarray) -> np.ndarray:
+    code = token.astype(np.uint64) << np.uint64(32)
+    code[1:] |= token[:-1].astype(np.uint64)
+    code[:1] |= np.uint64(np.searchsorted(names, _END))
+    return code
+
+
 def pairs_of(names: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, contexts, pair) of the tokens of whole texts, given as places in ascending ``names``.
 
     ``words`` and ``contexts`` place the distinct pairs of a token and the one before it in ``names``, by word; ``pair`` is
     the pair of each token. A text follows the end of the one before it.
     """
-    code = token.astype(np.uint64) << np.uint64(32)
-    code[1:] |= token[:-1].astype(np.uint64)
-    code[:1] |= np.uint64(np.searchsorted(names, _END))
-    code, pair = np.unique(code, return_inverse=True)
+    code, pair = np.unique(_codes(names, token), return_inverse=True)
     return (code >> np.uint64(32)).astype(np.int64), (code & np.uint64(0xFFFFFFFF)).astype(np.int64), pair
 
 
@@ -115,7 +121,7 @@ def _chunks(batches):
         ids, out, counts, tokens = (np.concatenate(p) for p in zip(*parts))
         names, token = np.unique(tokens, return_inverse=True)
         del tokens
-        n_pairs = len(pairs_of(names, token)[0])
+        n_pairs = len(distinct(_codes(names, token)))
         n_train = int(counts[out % 2 == 0].sum())
         return pa.RecordBatch.from_arrays(
             [pa.array([base + number]), pa.array([ids.tobytes()], pa.binary()), pa.array([out.tobytes()], pa.binary()),
@@ -359,29 +365,30 @@ def _answers(samples: list[Totals]):
 
 
 def _scores(train: int, words: int):
-    def run(batches):
-        for batch in batches:
-            for row in _rows(batch):
-                answers = sorted(row.pop("answers"), key=lambda a: a["bucket"])
-                p = np.concatenate([np.frombuffer(a["own"], np.float32) for a in answers]).astype(np.float64)
-                known, customers = (np.concatenate([_from_planes(a[c]) for a in answers]) for c in ("known", "customers"))
-                parents, opens = (np.concatenate([np.frombuffer(a[c], np.float32).reshape(SAMPLES, -1) for a in answers], axis=1)
-                                  for c in ("parents", "opens"))
-                del answers
-                word, context, pair = pairs_of(np.frombuffer(row["names"], np.uint64), _from_planes(row["tokens"]))
-                for s in range(SAMPLES):
-                    p += opens[s][context].astype(np.float64) * parents[s][word] / SAMPLES
-                p = np.log10(p / (STRENGTH + customers[context]))
-                ends = np.frombuffer(row["ends"], np.int64)
-                starts = np.append(0, ends[:-1])
-                base = np.log10((known + 1.0) / (train + words + 1.0))[word]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(row["ids"], np.int64), mask=np.frombuffer(row["held"], np.uint8) > 1),
-                     pa.array(np.frombuffer(row["held"], np.uint8) % 2 == 1), pa.array(ends - starts),
-                     pa.array(np.add.reduceat((known > 0)[word][pair].astype(np.int64), starts)),
-                     pa.array(np.full(len(ends), train)), pa.array(np.add.reduceat(base[pair], starts)),
-                     pa.array(np.add.reduceat(p[pair], starts))],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    """The texts of a chunk, from what the buckets answer about it."""
+    def run(key, chunk, told):
+        told = told.sort_by("bucket")
+        column = lambda c, read: [read(v.as_buffer()) for v in told.column(c)]
+        floats = lambda data: np.frombuffer(data, np.float32)
+        p = np.concatenate(column("own", floats)).astype(np.float64)
+        known, customers = (np.concatenate(column(c, _from_planes)) for c in ("known", "customers"))
+        parents, opens = (np.concatenate([a.reshape(SAMPLES, -1) for a in column(c, floats)], axis=1)
+                          for c in ("parents", "opens"))
+        del told
+        ids, held, ends, names, tokens = (chunk.column(c)[0].as_buffer() for c in ("ids", "held", "ends", "names", "tokens"))
+        word, context, pair = pairs_of(np.frombuffer(names, np.uint64), _from_planes(tokens))
+        for s in range(SAMPLES):
+            p += opens[s][context].astype(np.float64) * parents[s][word] / SAMPLES
+        p = np.log10(p / (STRENGTH + customers[context]))
+        held, ends = np.frombuffer(held, np.uint8), np.frombuffer(ends, np.int64)
+        starts = np.append(0, ends[:-1])
+        base = np.log10((known + 1.0) / (train + words + 1.0))[word]
+        return pa.table(
+            [pa.array(np.frombuffer(ids, np.int64), mask=held > 1), pa.array(held % 2 == 1), pa.array(ends - starts),
+             pa.array(np.add.reduceat((known > 0)[word][pair].astype(np.int64), starts)),
+             pa.array(np.full(len(ends), train)), pa.array(np.add.reduceat(base[pair], starts)),
+             pa.array(np.add.reduceat(p[pair], starts))],
+            ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
@@ -446,7 +453,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     for part in parts:
         ws.drop(part)
     storage.remove(spark, path)
-    told = answers.groupBy("chunk").agg(F.collect_list(F.struct(*[c for c in answers.columns if c != "chunk"])).alias("answers"))
-    return chunks.select("chunk", "ids", "held", "ends", "names", "tokens").join(told, "chunk").mapInArrow(
+    # Every chunk meets its answers alone: several of them in one batch would not fit the memory of a task.
+    texts = chunks.select("chunk", "ids", "held", "ends", "names", "tokens")
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         _scores(n_train, int(now.words)),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
