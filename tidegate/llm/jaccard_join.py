@@ -29,7 +29,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import storage
 from ..operators.numbering import SEQ, number_rows
 from .common import ROW, Workspace, keyed, pinned
 from .components import components
@@ -45,6 +44,8 @@ ROUNDS = 3
 SEND = 2_000_000
 #: Sets of a block, two words of bits at most, and bytes of their tokens; a longer set is a block of its own.
 BLOCK_SETS, BLOCK_BYTES = 128, 400_000
+#: Blocks that a task cuts at least, if there are so many.
+TASK_BLOCKS = 4
 #: Sets of a list up to which its pairs are made one by one; longer lists meet block against block.
 SHORT_LIST = 64
 #: Tokens that two blocks are compared on at a time.
@@ -195,10 +196,10 @@ def _common(batches):
 
 
 def _prefix_blocks(batches):
-    """Blocks of listed tokens, from sets in the order of their blocks; one that is too wide is cut."""
+    """Cuts the sets, as they come, into blocks of their listed tokens."""
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
     names = ["rows", "sizes", "comps", "leaders", "fars"]
-    held, parts, longs, width, name = [[] for _ in names], [], [], 0, None
+    held, parts, longs, width = [[] for _ in names], [], [], 0
 
     def block():
         return pa.RecordBatch.from_arrays(
@@ -209,12 +210,11 @@ def _prefix_blocks(batches):
 
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns[:5]]
-        for k, (tokens, far_held, one) in enumerate(zip(*batch.columns[5:])):
+        for k, (tokens, far_held) in enumerate(zip(batch.column(5), batch.column(6))):
             tokens = np.sort(tokens.values.to_numpy(zero_copy_only=False).view(np.uint64))
-            if parts and (one.as_py() != name or width + tokens.nbytes > BLOCK_BYTES):
+            if parts and (len(parts) == BLOCK_SETS or width + tokens.nbytes > BLOCK_BYTES):
                 yield block()
                 held, parts, longs, width = [[] for _ in names], [], [], 0
-            name = one.as_py()
             for part, column in zip(held, columns):
                 part.append(column[k])
             parts.append(tokens)
@@ -437,17 +437,15 @@ class JaccardJoin:
         travel as the numbers of a block's sets.
         """
         ws, percent = self.ws, self.percent
-        listed, folder = ws.keep(listed, "listed"), ws.folder("numbered")
-        numbered = number_rows(listed, [], ["near", "leader", "comp", ROW], folder).withColumn(
-            "block", F.expr(f"{SEQ} div {BLOCK_SETS}"))
-        # Blocks are full, however many partitions there are: the pairs of blocks grow with the square of their number.
-        blocks = numbered.repartition("block").sortWithinPartitions("block", SEQ).select(
-            ROW, "n", "comp", "leader", "far", "tokens", "longs", "block").mapInArrow(
+        listed, order = ws.keep(listed, "listed"), ["near", "leader", "comp", ROW]
+        # A part-filled block ends every partition, and the pairs of blocks grow with the square of their number.
+        tasks = 1 + listed.count() // (TASK_BLOCKS * BLOCK_SETS)
+        blocks = listed.repartitionByRange(*order).sortWithinPartitions(*order).select(
+            ROW, "n", "comp", "leader", "far", "tokens", "longs").coalesce(tasks).mapInArrow(
             _prefix_blocks, "rows array<long>, sizes array<long>, comps array<long>, leaders array<long>, "
                             "fars array<double>, counts array<long>, tokens binary, longs binary")
         blocks = ws.keep(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
         ws.drop(listed)
-        storage.remove(ws.spark, folder)
         held = ws.keep(blocks.select("block", "sizes", "longs").mapInArrow(
             _block_tokens, "token long, block long, low long, high long"), "held")
         x, y = held.alias("x"), held.alias("y")
