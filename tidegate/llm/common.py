@@ -35,19 +35,20 @@ class Workspace:
         self._count += 1
         return f"{self.path}/{self._count}-{name}"
 
-    def keep(self, df: DataFrame, name: str, like: DataFrame | None = None) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, like: DataFrame | None = None, times: int = 1) -> DataFrame:
         """Write and reread: cuts the lineage, survives lost executors, shows Spark the real size.
 
-        ``like``: a table that is no smaller than ``df``. A small one is written by few tasks: the
+        ``like``: a table that, so many ``times``, is no smaller than ``df``. A small one is written by few tasks: the
         rounds of an iteration else pass as many almost empty files on as there are shuffle partitions.
         """
         if like is not None:
             size = str(like._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-            df = df.coalesce(min(1 + int(size) // _TASK_BYTES, 1 << 20))
+            df = df.coalesce(min(1 + times * int(size) // _TASK_BYTES, 1 << 20))
         return self.at(df, self.folder(name))
 
-    def at(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    def at(self, df: DataFrame, path: str, *folders: str) -> DataFrame:
+        """``folders``: columns by which the table is told apart in folders, so that a part is read alone."""
+        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*folders).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, df: DataFrame) -> None:

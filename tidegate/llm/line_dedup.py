@@ -138,12 +138,12 @@ def _aligned(whole: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _further(ws: Workspace, whole: DataFrame, single: DataFrame, left: DataFrame) -> list[DataFrame]:
     """What the alignments with the holders after the first delete of the places ``left`` (__tidegate_row, place, line)."""
-    lines = ws.keep(left.select("line").distinct(), "left-lines")
+    lines = ws.keep(left.select("line").distinct(), "left-lines", like=left)
     holders = single.join(lines.hint("merge"), "line", "left_semi").select("line", F.col("doc.id").alias("id"), ROW)
     holders = ws.keep(number_rows(holders, ["line"], ["id", ROW], ws.folder("ranked")).select(
         "line", ROW, F.col(SEQ).alias("rank")), "holders")
-    whole = ws.keep(whole.join(holders.select(ROW).distinct().hint("merge"), ROW, "left_semi"), "left-texts")
-    left = ws.keep(left.join(holders.hint("merge"), ["line", ROW]), "left")
+    whole = ws.keep(whole.join(holders.select(ROW).distinct().hint("merge"), ROW, "left_semi"), "left-texts", like=whole)
+    left = ws.keep(left.join(holders.hint("merge"), ["line", ROW]), "left", like=left)
     found, low = [], 1
     while True:
         left = left.where(F.col("rank") > low)
@@ -153,10 +153,13 @@ def _further(ws: Workspace, whole: DataFrame, single: DataFrame, left: DataFrame
         tried = left.select(ROW, "line", F.explode(F.sequence(
             F.lit(low).cast("long"), F.least(F.lit(high).cast("long"), "rank") - 1)).alias("rank")).distinct()
         pairs = ws.keep(tried.join(holders.withColumnRenamed(ROW, "early").hint("merge"), ["line", "rank"])
-                        .select(ROW, "early").distinct(), "further-pairs")
-        gone = ws.keep(_aligned(whole, pairs), "further-gone")
+                        .select(ROW, "early").distinct(), "further-pairs", like=left, times=low)
+        gone = ws.keep(_aligned(whole, pairs), "further-gone", like=whole)
+        ws.drop(pairs)
         found.append(gone)
-        left = ws.keep(left.join(gone.hint("merge"), [ROW, "place"], "left_anti"), "left")
+        before = left
+        left = ws.keep(left.join(gone.hint("merge"), [ROW, "place"], "left_anti"), "left", like=left)
+        ws.drop(before)
         low = high
         ws.release()
 
@@ -169,11 +172,12 @@ def removed_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_c
     single = whole.select(ROW, F.struct("id", ROW).alias("doc"), F.explode(F.array_distinct("lines")).alias("line"))
     single = single.where("line is not null")
     shared = ws.keep(single.groupBy("line").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("holders"))
-                     .where("holders > 1"), "shared")
+                     .where("holders > 1"), "shared", like=whole)
     claims = ws.keep(single.join(shared.hint("merge"), "line").where(F.col("doc") > F.col("first"))
-                     .select(ROW, "line", F.col(f"first.{ROW}").alias("early")), "claims")
+                     .select(ROW, "line", F.col(f"first.{ROW}").alias("early")), "claims", like=whole, times=3)
+    ws.drop(shared)
     ws.release()
-    gone = ws.keep(_aligned(whole, claims.select(ROW, "early").distinct()), "first-gone")
+    gone = ws.keep(_aligned(whole, claims.select(ROW, "early").distinct()), "first-gone", like=whole)
     # The places of the claimed lines that the first holders leave.
     held = claims.groupBy(ROW).agg(F.collect_list("line").alias("held"))
     taken = gone.groupBy(ROW).agg(F.collect_list("place").alias("taken"))
@@ -181,11 +185,13 @@ def removed_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_c
             .select(ROW, "held", "taken", F.posexplode("lines").alias("place", "line"))
             .where("line is not null and array_contains(held, line)"
                    " and not coalesce(array_contains(taken, place), false)"))
-    left = ws.keep(rest.select(ROW, "place", "line"), "unsettled")
+    left = ws.keep(rest.select(ROW, "place", "line"), "unsettled", like=whole, times=2)
+    ws.drop(claims)
     ws.release()
     for more in _further(ws, whole, single, left):
         gone = gone.unionByName(more)
-    return ws.keep(gone.distinct().groupBy(ROW).agg(F.collect_list("place").alias("gone")), "gone")
+    gone = gone.distinct().groupBy(ROW).agg(F.collect_list("place").alias("gone"))
+    return ws.keep(gone, "gone", like=gone)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

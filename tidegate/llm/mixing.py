@@ -90,7 +90,7 @@ def solve_rates(ws: Workspace, cells: DataFrame, sources: DataFrame, cap: int =
         step = step.select("idx", "n_docs", "source_size", "need", "full",
                            F.when(done, F.col("lam")).when(inside, F.col("newton")).otherwise(halved).alias("lam"),
                            "lo", "hi", "miss")
-        state = ws.keep(step.unionByName(state.where("full").withColumn("miss", F.lit(0.0))), "state")
+        state = ws.keep(step.unionByName(state.where("full").withColumn("miss", F.lit(0.0))), "state", like=sources)
         if (state.agg(F.max("miss")).first()[0] or 0.0) <= TOLERANCE:
             break
     rate = F.when(F.col("full"), F.lit(float(cap))).otherwise(
@@ -117,12 +117,12 @@ def round_rates(ws: Workspace, rated: DataFrame, sources: DataFrame, cap: int =
     cells = ws.keep(summed.withColumn("extra", extra.cast("long")).select(
         "idx", "size", "n", "copies",
         F.greatest(F.lit(0), F.least(F.col("extra"), F.when(F.col("copies") < cap, F.col("n")).otherwise(0)))
-        .cast("long").alias("extra")), "rounded")
+        .cast("long").alias("extra")), "rounded", like=split)
     for _ in range(EVENING_ROUNDS):
         taken = cells.groupBy("idx").agg(
             F.sum(F.col("size") * (F.col("n") * F.col("copies") + F.col("extra"))).alias("taken"))
         rest = ws.keep(sources.join(taken, "idx").select(
-            "idx", (F.col("target") - F.col("taken")).alias("rest")), "rest")
+            "idx", (F.col("target") - F.col("taken")).alias("rest")), "rest", like=sources)
         # The one document, added or left out, that brings the source closest to its target.
         sign = F.when(F.col("rest") > 0, 1).otherwise(-1)
         able = F.when(sign > 0, (F.col("extra") < F.col("n")) & (F.col("copies") < cap)).otherwise(F.col("extra") > 0)
@@ -132,7 +132,7 @@ def round_rates(ws: Workspace, rated: DataFrame, sources: DataFrame, cap: int =
                 .select("idx", F.col("b.size").alias("size"), F.col("b.sign").alias("change")))
         cells = ws.keep(cells.join(best, ["idx", "size"], "left").select(
             "idx", "size", "n", "copies",
-            (F.col("extra") + F.coalesce(F.col("change"), F.lit(0))).cast("long").alias("extra")), "evened")
+            (F.col("extra") + F.coalesce(F.col("change"), F.lit(0))).cast("long").alias("extra")), "evened", like=cells)
     return cells
 
 

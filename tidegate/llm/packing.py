@@ -189,14 +189,16 @@ def _round(ws: Workspace, pieces: DataFrame, bins: DataFrame, high: int) -> Data
     # minimum, 0, -1, -2, .., have no gap before them.
     placed = placed.withColumn("level", F.when(F.col("way") > 0, depth).otherwise(depth + 1))
     level = Window.partitionBy("level").orderBy("at")
-    return ws.keep(
+    matched = ws.keep(
         placed.withColumn("after", F.lead(F.struct("way", "name", "length")).over(level))
         .withColumn("before", F.lag("way").over(level))
         .select("way", "name", "length", "slot", "gap",
                 F.when((F.col("way") > 0) & (F.col("after.way") < 0), F.col("after.name")).alias("put"),
                 F.when((F.col("way") > 0) & (F.col("after.way") < 0), F.col("after.length")).alias("put_length"),
                 F.when((F.col("way") < 0) & F.coalesce(F.col("before") < 0, F.lit(True)), -F.col("level"))
-                .alias("rank")), "matched")
+                .alias("rank")), "matched", like=dealt)
+    ws.drop(dealt)
+    return matched
 
 
 def pack(ws: Workspace, pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -237,7 +239,8 @@ def pack(ws: Workspace, pieces: DataFrame, capacity: int = CAPACITY) -> DataFram
                 placed.append(places)
                 bins, left = bins.unionByName(fresh), left - min(new, left)
                 rest = lost.where(F.col("rank") >= new).select("key", "length")
-        bins = ws.keep(bins.unionByName(idle), "bins")
+        bins = bins.unionByName(idle)
+        bins = ws.keep(bins, "bins", like=bins)
     out = placed[0]
     for part in placed[1:]:
         out = out.unionByName(part)
