@@ -4,6 +4,7 @@ import zlib
 from itertools import count
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidegate.llm import pitman_yor
@@ -53,3 +54,34 @@ def test_a_chunk_meets_its_answers_alone(spark, monkeypatch):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
     assert sorted(r.doc_id for r in found.collect()) == list(range(30))
+
+
+def test_each_turn_asks_its_buckets_once():
+    rng = np.random.default_rng(4)
+    tokens = np.append(rng.choice(rng.integers(0, 2**64, 90, dtype=np.uint64), 600), pitman_yor._END)
+    names, token = np.unique(tokens, return_inverse=True)
+    chunk = pa.RecordBatch.from_pydict({
+        "chunk": [7], "held": [np.zeros(1, np.uint8).tobytes()], "ends": [np.array([len(tokens)], np.int64).tobytes()],
+        "names": [names.tobytes()], "tokens": [pitman_yor._planes(token)]})
+    rows = lambda *turn: [r for b in pitman_yor._asked(7, *turn)([chunk]) for r in b.to_pylist()]
+    whole = {r["bucket"]: {c: r[c] for c in ("names", "sizes", "contexts")} for r in rows()}
+    asked = [rows(turn) for turn in range(pitman_yor.TURNS)]
+    assert [{r["bucket"] % pitman_yor.TURNS for r in part} for part in asked] == [{t} for t in range(pitman_yor.TURNS)]
+    asked = [r for part in asked for r in part]
+    assert len(asked) == len(whole)
+    assert {r["bucket"]: {c: r[c] for c in ("names", "sizes", "contexts")} for r in asked} == whole
+
+
+def test_chunks_are_scored_in_turns(spark, monkeypatch):
+    kept, keep = [], pitman_yor.Workspace.keep
+
+    def seen(ws, df, name, **options):
+        kept.append((name, df))
+        return keep(ws, df, name, **options)
+
+    monkeypatch.setattr(pitman_yor.Workspace, "keep", seen)
+    monkeypatch.setattr(pitman_yor, "CHUNK_TOKENS", 50)
+    df = spark.range(300).selectExpr("id doc_id", "concat('a b ', id % 7, ' c ', id) text").repartition(6)
+    found = pitman_yor.score_texts(df).collect()
+    assert [name for name, _ in kept].count("scored") == pitman_yor.TURNS - 1
+    assert sorted(r.doc_id for r in found) == list(range(300))

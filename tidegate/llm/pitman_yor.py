@@ -38,13 +38,13 @@ from .words import distinct, words_of
 BURN, SAMPLES, SEED = 1, 3, 5
 STRENGTH = 1.0
 CHUNK_TOKENS, BUCKET_PAIRS = 1_000_000, 500_000
-#: Shares of the buckets that are asked one after the other, which bounds what is shuffled at a time.
+#: Shares of the buckets that are asked, and of the chunks that are scored, one after the other: bounds what is shuffled at a time.
 TURNS = 3
 #: Customers seated one by one; then blocks of a sixteenth of those that sit.
 SINGLE = 64
 #: Contexts are told apart, and words dealt, by as many leading bytes of their hash.
 CONTEXT_BYTES = 5
-_SHIFT = np.uint64(64 - 8 * CONTEXT_BYTES)
+_SHIFT, _HIGH = np.uint64(64 - 8 * CONTEXT_BYTES), np.uint64(8 * CONTEXT_BYTES)
 
 _END = np.uint64(0x7F4A7C15F39CC060)
 _CHUNK = "chunk long, ids binary, held binary, ends binary, names binary, tokens binary, n_pairs long, n_train long"
@@ -52,15 +52,16 @@ _ASKED = "bucket int, chunk long, names binary, sizes binary, contexts binary"
 _STATE = ("bucket int, names binary, sizes binary, contexts binary, counts binary, seats binary, roots binary, "
           "stats array<double>")
 _TOTALS = "bucket int, target int, heads binary, customers binary, tables binary"
-_ANSWERS = "chunk long, bucket int, own binary, known binary, customers binary, parents binary, opens binary"
+_ANSWERS = "chunk long, bucket int, own binary, known binary, customers binary, sent binary, roots binary, tables binary"
 
 
 def _rows(table):
     """The rows of a batch or table as dictionaries, made one at a time and without copies: a row holds tens of megabytes."""
-    binary = [pa.types.is_binary(f.type) or pa.types.is_large_binary(f.type) for f in table.schema]
     for k in range(table.num_rows):
-        cells = [column[k] for column in table.columns]
-        yield {name: cell.as_buffer() if b else cell.as_py() for name, cell, b in zip(table.schema.names, cells, binary)}
+        row = table.slice(k, 1)
+        cells = zip(row.schema, (column[0] for column in row.columns))
+        yield {f.name: cell.as_buffer() if pa.types.is_binary(f.type) or pa.types.is_large_binary(f.type) else cell.as_py()
+               for f, cell in cells}
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -100,6 +101,10 @@ def _codes(names: np.ndarray, token: np.ndarray) -> np.ndarray:
     return code
 
 
+def _split_codes(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (code >> np.uint64(32)).astype(np.int64), (code & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def pairs_of(names: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, contexts, pair) of the tokens of whole texts, given as places in ascending ``names``.
 
@@ -107,7 +112,7 @@ def pairs_of(names: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarr
     the pair of each token. A text follows the end of the one before it.
     """
     code, pair = np.unique(_codes(names, token), return_inverse=True)
-    return (code >> np.uint64(32)).astype(np.int64), (code & np.uint64(0xFFFFFFFF)).astype(np.int64), pair
+    return *_split_codes(code), pair
 
 
 def _chunks(batches):
@@ -149,25 +154,31 @@ def _bounds(heads: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(heads, np.arange(buckets + 1, dtype=np.uint64) * np.uint64(size))
 
 
-def _asked(buckets: int, with_counts: bool):
-    """A row for each bucket a chunk asks."""
+def _asked(buckets: int, turn: int | None = None):
+    """A row for each bucket a chunk asks: with the counts of the pairs, or of the buckets whose ``turn`` it is without."""
     def run(batches):
         for batch in batches:
             for row in _rows(batch):
                 names = np.frombuffer(row["names"], np.uint64)
-                words, contexts, pair = pairs_of(names, _from_planes(row["tokens"]))
+                at, token = _bounds(names >> _SHIFT, buckets), _from_planes(row["tokens"])
+                used = np.diff(at) > 0
+                if turn is None:
+                    words, contexts, pair = pairs_of(names, token)
+                else:
+                    mine = np.arange(buckets) % TURNS == turn
+                    used &= mine
+                    words, contexts = _split_codes(distinct(_codes(names, token)[np.repeat(mine, np.diff(at))[token]]))
                 sizes, contexts = np.bincount(words, minlength=len(names)), (names >> _SHIFT)[contexts]
-                if with_counts:
+                if turn is None:
                     ends, out = np.frombuffer(row["ends"], np.int64), np.frombuffer(row["held"], np.uint8)
                     counts = np.bincount(pair[np.repeat(out % 2 == 0, np.diff(ends, prepend=0))], minlength=len(words))
-                at = _bounds(names >> _SHIFT, buckets)
                 pairs = np.append(0, np.cumsum(sizes, dtype=np.int64))[at]
-                used = np.flatnonzero(np.diff(at))
+                used = np.flatnonzero(used)
                 columns = [pa.array(used.astype(np.int32)), pa.array([row["chunk"]] * len(used), pa.int64()),
                            pa.array([names[at[b]:at[b + 1]].tobytes() for b in used], pa.binary()),
                            pa.array([_planes(sizes[at[b]:at[b + 1]]) for b in used], pa.binary()),
                            pa.array([_short(contexts[pairs[b]:pairs[b + 1]]) for b in used], pa.binary())]
-                if with_counts:
+                if turn is None:
                     columns.append(pa.array([_planes(counts[pairs[b]:pairs[b + 1]]) for b in used], pa.binary()))
                 yield pa.RecordBatch.from_arrays(
                     columns, ["bucket", "chunk", "names", "sizes", "contexts", "counts"][:len(columns)])
@@ -188,19 +199,24 @@ def _merged(key, group):
     """The training pairs of a bucket with their counts; one table each to begin with."""
     rows = group.to_pylist()
     counts = np.concatenate([_from_planes(r["counts"]) for r in rows])
-    words = np.concatenate([np.repeat(np.frombuffer(r["names"], np.uint64), _from_planes(r["sizes"])) for r in rows])
-    contexts = np.concatenate([_from_short(r["contexts"]) for r in rows])
-    del rows
+    names = [np.frombuffer(r["names"], np.uint64) for r in rows]
+    every = distinct(np.concatenate(names))
+    words = np.concatenate([np.repeat(np.searchsorted(every, n), _from_planes(r["sizes"])) for n, r in zip(names, rows)])
+    # A word's place and the bytes of a context fill 64 bits.
+    code = words.astype(np.uint64) << _HIGH | np.concatenate([_from_short(r["contexts"]) for r in rows])
+    del rows, names, words
     order = np.flatnonzero(counts > 0)
-    order = order[np.lexsort((contexts[order], words[order]))]
-    words, contexts, counts = words[order], contexts[order], counts[order].astype(np.int64)
+    order = order[np.argsort(code[order])]
+    code, counts = code[order], counts[order].astype(np.int64)
     new = np.ones(len(order), bool)
-    new[1:] = (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])
+    new[1:] = code[1:] != code[:-1]
     first = np.flatnonzero(new)
     counts = np.add.reduceat(counts, first) if len(first) else counts
-    words, contexts = words[first], contexts[first]
-    names, sizes = np.unique(words, return_counts=True)
-    seats, roots = np.ones(len(words), np.int64), np.ones(len(names), np.int64)
+    code = code[first]
+    contexts = code & ((np.uint64(1) << _HIGH) - np.uint64(1))
+    sizes = np.bincount((code >> _HIGH).astype(np.int64), minlength=len(every))
+    names, sizes = every[sizes > 0], sizes[sizes > 0]
+    seats, roots = np.ones(len(code), np.int64), np.ones(len(names), np.int64)
     return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "names": pa.array([names.tobytes()], pa.binary()),
                      "sizes": pa.array([_planes(sizes)], pa.binary()), "contexts": pa.array([_short(contexts)], pa.binary()),
                      "counts": pa.array([_planes(counts)], pa.binary()), "seats": pa.array([_planes(seats)], pa.binary()),
@@ -314,7 +330,7 @@ def _taken(values: np.ndarray, at: np.ndarray, there: np.ndarray) -> np.ndarray:
 
 def _answers(samples: list[Totals]):
     """For every asked pair the mean share of its own seats. For every asked word its count and, as a context, its customers;
-    by sample, its probability in the parent and the weight of a new table in its restaurant."""
+    by sample, its customers and tables in the parent, and the tables of its restaurant."""
     def run(key, asked, held):
         rows = held.to_pylist()
         nothing = np.zeros(0, np.int64)
@@ -325,8 +341,7 @@ def _answers(samples: list[Totals]):
             sizes, counts = (_from_planes(base[c]).astype(np.int64) for c in ("sizes", "counts"))
         starts = _starts(sizes)
         total = np.add.reduceat(counts, starts) if len(counts) else counts
-        places, context = np.unique(contexts, return_inverse=True)
-        code = np.repeat(np.arange(len(names)), sizes).astype(np.uint64) << np.uint64(32) | context.astype(np.uint64)
+        code = np.repeat(np.arange(len(names)), sizes).astype(np.uint64) << _HIGH | contexts
         seats = {r["sample"]: [_from_planes(r[c]).astype(np.int64) for c in ("seats", "roots")]
                  for r in rows if r["seats"] is not None}
         totals = next((r for r in rows if r["heads"] is not None), None)
@@ -338,47 +353,44 @@ def _answers(samples: list[Totals]):
         for s, t in enumerate(samples):
             if s in seats:
                 own += np.maximum(counts - t.discount * seats[s][0], 0) / len(samples)
-        out = {c: [] for c in ("own", "known", "customers", "parents", "opens")}
+        sent = {s: np.add.reduceat(sitting, starts) if len(sitting) else sitting for s, (sitting, _) in seats.items()}
+        out = {c: [] for c in ("own", "known", "customers", "sent", "roots", "tables")}
         for row in _rows(asked.select(["names", "sizes", "contexts"])):
             want = np.frombuffer(row["names"], np.uint64)
             at, there = _placed(names, want)
-            in_context, met = _placed(places, _from_short(row["contexts"]))
-            pair, hit = _placed(code, np.repeat(at, _from_planes(row["sizes"])).astype(np.uint64) << np.uint64(32)
-                                | in_context.astype(np.uint64))
-            hit &= met & np.repeat(there, _from_planes(row["sizes"]))
+            wanted = _from_planes(row["sizes"])
+            pair, hit = _placed(code, np.repeat(at, wanted).astype(np.uint64) << _HIGH | _from_short(row["contexts"]))
+            hit &= np.repeat(there, wanted)
             place, known = _placed(heads, want >> _SHIFT)
-            parents, opens = [], []
-            for s, t in enumerate(samples):
-                sitting, roots = seats.get(s, (nothing, nothing))
-                sent = np.add.reduceat(sitting, starts) if len(sitting) else sitting
-                parents.append(t.root(_taken(sent, at, there), _taken(roots, at, there)))
-                opens.append(t.open(_taken(tables.get(s, nothing), place, known)))
-            out["own"].append(_taken(own, pair, hit).astype(np.float32).tobytes())
+            out["own"].append(_planes(_taken(own, pair, hit).astype(np.float32).view(np.int32)))
             out["known"].append(_planes(_taken(total, at, there)))
             out["customers"].append(_planes(_taken(customers, place, known)))
-            out["parents"].append(np.array(parents, np.float32).tobytes())
-            out["opens"].append(np.array(opens, np.float32).tobytes())
+            # Numbers of seats are small: their bytes shrink as those of the probabilities made of them would not.
+            for c, of, k, found in (("sent", sent, at, there), ("tables", tables, place, known)):
+                out[c].append(_planes(np.concatenate([_taken(of.get(s, nothing), k, found) for s in range(len(samples))])))
+            out["roots"].append(_planes(np.concatenate(
+                [_taken(seats[s][1] if s in seats else nothing, at, there) for s in range(len(samples))])))
         chunks = asked.column("chunk")
         return pa.table({"chunk": chunks, "bucket": pa.array([key[0].as_py()] * len(chunks), pa.int32()),
                          **{c: pa.array(v, pa.binary()) for c, v in out.items()}})
     return run
 
 
-def _scores(train: int, words: int):
+def _scores(train: int, words: int, samples: list[Totals]):
     """The texts of a chunk, from what the buckets answer about it."""
     def run(key, chunk, told):
         told = told.sort_by("bucket")
         column = lambda c, read: [read(v.as_buffer()) for v in told.column(c)]
-        floats = lambda data: np.frombuffer(data, np.float32)
-        p = np.concatenate(column("own", floats)).astype(np.float64)
+        p = np.concatenate(column("own", _from_planes)).view(np.float32).astype(np.float64)
         known, customers = (np.concatenate(column(c, _from_planes)) for c in ("known", "customers"))
-        parents, opens = (np.concatenate([a.reshape(SAMPLES, -1) for a in column(c, floats)], axis=1)
-                          for c in ("parents", "opens"))
+        sent, roots, tables = (np.concatenate([a.reshape(len(samples), -1) for a in column(c, _from_planes)], axis=1)
+                               for c in ("sent", "roots", "tables"))
         del told
         ids, held, ends, names, tokens = (chunk.column(c)[0].as_buffer() for c in ("ids", "held", "ends", "names", "tokens"))
         word, context, pair = pairs_of(np.frombuffer(names, np.uint64), _from_planes(tokens))
-        for s in range(SAMPLES):
-            p += opens[s][context].astype(np.float64) * parents[s][word] / SAMPLES
+        for s, t in enumerate(samples):
+            parent, opens = t.root(sent[s], roots[s]).astype(np.float32), t.open(tables[s]).astype(np.float32)
+            p += opens[context].astype(np.float64) * parent[word] / len(samples)
         p = np.log10(p / (STRENGTH + customers[context]))
         held, ends = np.frombuffer(held, np.uint8), np.frombuffer(ends, np.int64)
         starts = np.append(0, ends[:-1])
@@ -402,13 +414,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     narrow = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(0).cast("long")).alias("id"),
                          flags.cast("byte").alias("held"), docs[text_col].cast("string").alias("text"))
     chunks = ws.keep(narrow.mapInArrow(_chunks, _CHUNK), "chunks")
-    sums = chunks.agg(F.sum("n_pairs"), F.sum("n_train")).first()
+    sums = chunks.agg(F.sum("n_pairs"), F.sum("n_train"), F.max("chunk")).first()
     n_train = int(sums[1] or 0)
     buckets = max(1, int((sums[0] or 0) // BUCKET_PAIRS) + 1)
     asked = chunks.select("chunk", "held", "ends", "names", "tokens").mapInArrow(
-        _asked(buckets, True), f"{_ASKED}, counts binary")
+        _asked(buckets), f"{_ASKED}, counts binary")
     path = ws.folder("state")
     state = ws.at(asked.groupBy("bucket").applyInArrow(_merged, _STATE), path)
+    ws.release()
 
     def totals() -> Totals:
         rows = state.select(F.posexplode("stats")).groupBy("pos").agg(F.sum("col").alias("v")).collect()
@@ -441,12 +454,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     held = state.select("bucket", "names", "sizes", "contexts", "counts")
     for part in parts:
         held = held.unionByName(part, allowMissingColumns=True)
-    again = chunks.select("chunk", "names", "tokens").mapInArrow(_asked(buckets, False), _ASKED)
-    answers = None
+    again = chunks.select("chunk", "names", "tokens")
+    # The chunks of whole tasks are scored together, so that few files of chunks are read in several turns.
+    tasks, answers = 1 + (int(sums[2] or 0) >> 32), None
+    bounds = [tasks * t // TURNS << 32 for t in range(TURNS + 1)]
+    scored_in = sum((F.col("chunk") >= b).cast("int") for b in bounds[1:-1])
     for turn in range(TURNS):
         mine = F.col("bucket") % TURNS == turn
-        found = again.where(mine).groupBy("bucket").cogroup(held.where(mine).groupBy("bucket"))
-        found = ws.keep(found.applyInArrow(_answers(samples), _ANSWERS), "answers")
+        found = again.mapInArrow(_asked(buckets, turn), _ASKED).groupBy("bucket").cogroup(held.where(mine).groupBy("bucket"))
+        found = found.applyInArrow(_answers(samples), _ANSWERS).withColumn("turn", scored_in)
+        found = ws.at(found, ws.folder("answers"), "turn")
         answers = found if answers is None else answers.unionByName(found)
         del found
         ws.release()
@@ -455,6 +472,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     storage.remove(spark, path)
     # Every chunk meets its answers alone: several of them in one batch would not fit the memory of a task.
     texts = chunks.select("chunk", "ids", "held", "ends", "names", "tokens")
-    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _scores(n_train, int(now.words)),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = None
+    for turn in range(TURNS):
+        mine = (F.col("chunk") >= bounds[turn]) & (F.col("chunk") < bounds[turn + 1])
+        told = answers.where(F.col("turn") == turn).drop("turn")
+        scored = texts.where(mine).groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
+            _scores(n_train, int(now.words), samples),
+            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        if turn < TURNS - 1:
+            scored = ws.keep(scored, "scored")
+        out = scored if out is None else out.unionByName(scored)
+        del scored
+        ws.release()
+    return out
