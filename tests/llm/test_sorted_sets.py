@@ -71,3 +71,30 @@ def test_scratch_tables_of_removed_repeats_are_dropped(spark):
     left = [name for name in storage.children(spark, ws.path) if not name.endswith(("files", "input"))]
     assert [name.partition("-")[2] for name in left] == ["spans"]
     assert spans.select(F.size("spans")).count() == 3
+
+
+@pytest.mark.parametrize("size", [3, 400])
+def test_sets_come_in_slices_that_fit_a_cache(size):
+    rng = np.random.default_rng(size)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 50, rng.integers(0, 2 * size))) for _ in range(2_000_000 // (size * 4))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    (first, *more), n = list(jaccard_join._sets(batch, 0, 5)), 0
+    assert more and (sum(map(len, texts[:first[1]])) <= jaccard_join.SLICE)
+    for row, texts_of_slice, doc, value in (first, *more):
+        order = np.lexsort((value, doc))
+        assert (order == np.arange(len(doc))).all()
+        assert row == n
+        n += texts_of_slice
+    assert n == len(texts)
+    doc, value = (np.concatenate(a) for a in zip(*((row + doc, value) for row, _, doc, value in (first, *more))))
+    (_, found), = words.words_of(pa.array(texts), fold=True, size=1 << 40)
+    whole = sorted(set(zip(*(a.tolist() for a in words.shingles(found, 5)))))
+    assert list(zip(doc.tolist(), value.tolist())) == whole
+
+
+@pytest.mark.parametrize("n", [1, 5, 3000])
+def test_frequent_tokens_are_told_apart(n):
+    rng = np.random.default_rng(n)
+    known = words.distinct(np.append(rng.integers(0, 2**64, n, dtype=np.uint64), np.uint64(2**64 - 1)))
+    values = np.concatenate([known, known + np.uint64(1), known - np.uint64(1), rng.integers(0, 2**64, 5000, dtype=np.uint64)])
+    assert (jaccard_join._among(known)(values) == np.isin(values, known)).all()

@@ -40,6 +40,12 @@ WORDS, PERCENT = 5, 75
 COUNTED_SHARE, HOT, HOT_TOKENS = 0.3, 40, 200_000
 #: Rounds in which sets outside a class try further members before all pairs left are looked at.
 ROUNDS = 3
+#: Bytes of text whose words are worked on at a time: all that is made of them fits a core's cache.
+SLICE = 250_000
+#: Tokens that texts hold on average at least if each is sorted alone.
+SORTED_ALONE = 32
+#: Bits of a hash that are looked up before the frequent tokens are searched for it.
+LOOK_BITS = 21
 #: Tokens a task collects before it sends them on.
 SEND = 2_000_000
 #: Sets of a block, two words of bits at most, and bytes of their tokens; a longer set is a block of its own.
@@ -58,16 +64,29 @@ def _grouped(group: np.ndarray) -> np.ndarray:
     return np.argsort(group.astype(np.uint16) if small else group, kind="stable")
 
 
+def _by_text(doc: np.ndarray, value: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens by text and value. A sort for every text takes a quarter of the time of one for all, unless they are tiny."""
+    if len(value) < SORTED_ALONE * texts:
+        order = np.argsort(value)
+        order = order[_grouped(doc[order])]
+        return doc[order], value[order]
+    if (doc[1:] < doc[:-1]).any():
+        order = _grouped(doc)
+        doc, value = doc[order], value[order]
+    ends = np.searchsorted(doc, np.arange(texts + 1)).tolist()
+    for start, end in zip(ends[:-1], ends[1:]):
+        value[start:end].sort()
+    return doc, value
+
+
 def _sets(batch, column: int, length: int, below: int = 1 << 64):
     """(first row, number of texts, text, token) with each text's tokens under ``below`` distinct and ascending."""
-    for row, words in words_of(batch.column(column), fold=True):
+    for row, words in words_of(batch.column(column), fold=True, size=SLICE):
         doc, value = shingles(words, length)
         if below < 1 << 64:
             low = value < np.uint64(below)
             doc, value = doc[low], value[low]
-        order = np.argsort(value)
-        order = order[_grouped(doc[order])]
-        doc, value = doc[order], value[order]
+        doc, value = _by_text(doc, value, len(words.first) - 1)
         new = np.ones(len(doc), dtype=bool)
         new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
         yield row, len(words.first) - 1, doc[new], value[new]
@@ -93,7 +112,7 @@ def _dealt(buckets: int, columns: list[str]):
     def send(parts):
         arrays = [np.concatenate(p) for p in parts]
         bucket = (arrays[0] >> np.uint64(20)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
+        order = _grouped(bucket)
         arrays = [a[order] for a in arrays]
         ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
         used = np.flatnonzero(np.diff(ends))
@@ -130,18 +149,31 @@ def _frequent(key, group):
     return pa.table({"token": u64(tokens[starts[hot]]), "n": pa.array(counts[hot])})
 
 
+def _among(known: np.ndarray):
+    """Whether values are among ascending known ones; most are told apart by their leading bits."""
+    shift = np.uint64(64 - LOOK_BITS)
+    seen = np.zeros(1 << LOOK_BITS, bool)
+    seen[known >> shift] = True
+
+    def run(values: np.ndarray) -> np.ndarray:
+        found = seen[values >> shift]
+        at = np.flatnonzero(found)
+        places = np.minimum(np.searchsorted(known, values[at]), len(known) - 1)
+        found[at] = known[places] == values[at]
+        return found
+    return run
+
+
 def _postings(length: int, percent: int, hot: np.ndarray, buckets: int):
     send = _dealt(buckets, ["tokens", "rows", "sizes", "places"])
 
     def run(batches):
-        held, parts = 0, ([], [], [], [])
+        held, parts, frequent = 0, ([], [], [], []), _among(hot)
         for batch in batches:
             rows = np.asarray(batch.column(0))
             for row, n, doc, value in _sets(batch, 1, length):
                 if len(hot):
-                    at = np.minimum(np.searchsorted(hot, value), len(hot) - 1)
-                    late = hot[at] == value
-                    order = _grouped(2 * doc + late)
+                    order = _grouped(2 * doc + frequent(value))
                     doc, value = doc[order], value[order]
                 sizes = np.diff(np.searchsorted(doc, np.arange(n + 1)))
                 starts = np.cumsum(sizes) - sizes
@@ -403,7 +435,7 @@ class JaccardJoin:
         first = self.profile.where("n > 0").groupBy("n", "f1", "f2").agg(F.min(ROW).alias(ROW)).select(ROW)
         entries = ws.keep(entries, "entries")
         ws.release()
-        lists = ws.keep(entries.join(first, ROW, "left_semi"), "lists")
+        lists = ws.keep(entries.join(first, ROW, "left_semi"), "lists", like=entries)
         ws.drop(entries)
         return lists
 
@@ -553,14 +585,16 @@ class JaccardJoin:
         # The leader of a block is the set that shares most with all others, as the original of copies does.
         tokens = lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
         weights = lists.join(tokens, "token").groupBy(ROW).agg(F.sum("m").alias("weight"), F.first("n").alias("n"))
-        lists = ws.keep(lists.join(weights.select(ROW, "weight"), ROW), "weighted")
+        found = lists
+        lists = ws.keep(lists.join(weights.select(ROW, "weight"), ROW), "weighted", like=lists)
+        ws.drop(found)
         best = F.max(F.struct("weight", (-F.col(ROW)).alias("row")))
         leaders = lists.groupBy("token", "block").agg(best.alias("best"), F.count(F.lit(1)).alias("m")).where("m > 1")
         votes = (lists.join(leaders.select("token", "block", (-F.col("best.row")).alias("leader")), ["token", "block"])
                  .where(F.col(ROW) != F.col("leader")).groupBy(ROW, "leader").agg(F.count(F.lit(1)).alias("votes"),
                                                                                    F.first("n").alias("n")))
         # Few common tokens are left to the second round, which has an exact bound for them.
-        chosen = ws.keep(self.most_votes(votes), "chosen")
+        chosen = ws.keep(self.most_votes(votes), "chosen", like=lists)
         ws.release()
         first = self.with_leaders(chosen)
         ws.release()
@@ -579,16 +613,18 @@ class JaccardJoin:
                      .where(F.col("comp") != F.col("top.comp"))
                      .groupBy(ROW, F.col(f"top.one.{ROW}").alias("leader"))
                      .agg(F.count(F.lit(1)).alias("votes"), F.first("n").alias("n")))
-            chosen = ws.keep(self.most_votes(tries).join(compared, ["a", "b"], "left_anti"), "chosen")
+            chosen = ws.keep(self.most_votes(tries).join(compared, ["a", "b"], "left_anti"), "chosen", like=lists)
             if chosen.isEmpty():
                 break
             ws.release()
             more = self.with_leaders(chosen)
-            compared = ws.keep(compared.unionByName(more.select("a", "b")), "compared")
+            compared = compared.unionByName(more.select("a", "b"))
+            compared = ws.keep(compared, "compared", like=compared)
             new = more.where(similar).select("a", "b")
             if new.isEmpty():
                 break
-            edges = ws.keep(edges.unionByName(new), "links")
+            edges = edges.unionByName(new)
+            edges = ws.keep(edges, "links", like=edges)
             classes = components(ws, edges)
 
         known = first.select(F.col("a").alias(ROW), F.col("b").alias("leader"), (1 - F.col("common") / F.col("joint")).alias("far"))
@@ -596,12 +632,13 @@ class JaccardJoin:
                   .select("token", "block", ROW, "n", "place", F.coalesce("comp", ROW).alias("comp"),
                           F.coalesce("leader", ROW).alias("leader"), F.coalesce("far", F.lit(0.0)).alias("far")))
         # Only lists with several classes can hold a link that isn't implied yet.
-        marked = ws.keep(marked, "marked")
+        marked = ws.keep(marked, "marked", like=lists)
         mixed = marked.groupBy("token").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(ROW).alias("first"),
             (F.count(F.lit(1)) > SHORT_LIST).alias("long")).where("lo <> hi").select("token", "first", "long")
-        open_lists = ws.keep(marked.join(mixed, "token"), "open")
-        ws.drop(marked)
+        open_lists = ws.keep(marked.join(mixed, "token"), "open", like=marked)
+        for df in (lists, marked):
+            ws.drop(df)
         listed = open_lists.groupBy(ROW).agg(
             *[F.first(c).alias(c) for c in ("n", "comp", "leader", "far")],
             F.min(F.when(F.col("long"), F.col("first"))).alias("near"), F.collect_list("token").alias("tokens"),
@@ -615,7 +652,7 @@ class JaccardJoin:
         same = self.profile.where("n > 0").groupBy("n", "f1", "f2").agg(F.min(ROW).alias("first"))
         same = same.join(classes.withColumnRenamed("node", "first"), "first", "left").select(
             "n", "f1", "f2", F.coalesce("comp", "first").alias("comp"))
-        return self.ws.keep(self.profile.join(same, ["n", "f1", "f2"], "left").select(ROW, "id", "n", "comp"), "classes")
+        return self.ws.keep(self.profile.join(same, ["n", "f1", "f2"], "left").select(ROW, "id", "n", "comp"), "classes", like=self.profile)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -636,5 +673,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = JaccardJoin(ws, docs, id_col, text_col, length, percent).classes()
     first = classes.where("comp is not null").groupBy("comp").agg(F.min(F.struct("id", ROW)).alias("first"))
     kept = ws.keep(first.select(F.col(f"first.{ROW}").alias(ROW))
-                   .unionByName(classes.where("comp is null").select(ROW)), "kept")
+                   .unionByName(classes.where("comp is null").select(ROW)), "kept", like=classes)
     return docs.join(kept.hint("merge"), ROW, "left_semi").drop(ROW)

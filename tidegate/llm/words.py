@@ -84,7 +84,9 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool)
     """Hashes of pieces that have nothing but space between them."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    sums = np.add.reduceat(_TABLES[fold][data] * _powers(len(data), _STEP), starts)
+    values = np.take(_TABLES[fold], data)
+    values *= _powers(len(data), _STEP)
+    sums = np.add.reduceat(values, starts)
     sums *= _powers(len(data), _INVERSE)[starts]
     return mix(sums + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -106,8 +108,9 @@ def cut_at_marks(words: Words, fold: bool = False) -> Words:
     return Words(words.data, starts, ends, first, _hashes(words.data, starts, ends, fold))
 
 
-def words_of(texts: pa.Array, fold: bool = False) -> Iterator[tuple[int, Words]]:
-    """(first row, words) of slices of a string array; NULL has no words; ``fold`` lower-cases A-Z."""
+def words_of(texts: pa.Array, fold: bool = False, size: int | None = None) -> Iterator[tuple[int, Words]]:
+    """(first row, words) of slices of a string array; NULL has no words; ``fold`` lower-cases A-Z; ``size``: bytes of a slice."""
+    size = size or SLICE_BYTES
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count:
@@ -119,7 +122,7 @@ def words_of(texts: pa.Array, fold: bool = False) -> Iterator[tuple[int, Words]]
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(texts):
-        end = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1
         end = min(max(end, row + 1), len(texts))
         yield row, _split(data[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row], fold)
         row = end
