@@ -77,6 +77,90 @@ def test_groups_are_tried_beside_the_epoch_and_stored_by_one_job(spark, target,
     assert {r._writer for r in done.store.stored_rows().select("_writer").collect()} == {done.writer}
 
 
+@pytest.fixture
+def row_writes(monkeypatch):
+    """Writers of the rows written so far; writes of the places that ``broken`` holds fail, whatever the rows."""
+    class Writes(list):
+        broken = ()
+
+    writes, write = Writes(), TableStore.write_epoch
+
+    def counted(self, kind, df, writer, epoch, mode="overwrite"):
+        if kind == "rows":
+            writes.append(writer)
+            low, _, high = writer.rpartition(".c.")[2].partition("-")
+            if ".c." in writer and any(int(low) <= place < int(high) for place in writes.broken):
+                raise OSError("disk gone")
+        return write(self, kind, df, writer, epoch, mode)
+
+    monkeypatch.setattr(TableStore, "write_epoch", counted)
+    return writes
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_writes_do_not_grow_with_the_batches_that_are_refused(spark, target, name, refuse, row_writes, catalog):
+    refuse("id % 50 = 37")
+    where = {"table": name} if catalog else {"path": target}
+    done = tg.insert(spark.range(5000), batch_size=10, order_by="id", **where)
+    lost = {b for b in range(500) if b % 5 == 3}
+    assert {r.batch_no for r in done.log.where("not ok").collect()} == lost
+    assert sorted(r.id for r in tg.read_table(spark, **where).collect()) == [i for i in range(5000) if i // 10 not in lost]
+    assert {r.id for r in done.results.where("not _Inserted_").collect()} == {i for i in range(5000) if i // 10 in lost}
+    assert done.outcome.error is None and done.outcome.rows_failed == 1000
+    # The epoch twice, and 8 groups as often as 500 batches can be split by 8.
+    assert len(row_writes) <= 2 + 8 * 3
+
+
+def test_what_a_trial_writes_is_no_row_of_the_table(spark, target, refuse, monkeypatch):
+    refuse("id % 100 = 37")
+    seen, refused = [], TableStore.refused
+
+    def look(self, writer, epoch):
+        seen.append((tg.read_table(spark, path=target).count(), self.stored_rows(writer, epoch).count()))
+        return refused(self, writer, epoch)
+
+    monkeypatch.setattr(TableStore, "refused", look)
+    done = tg.insert(spark.range(1000), path=target, batch_size=10, order_by="id", epoch=0)
+    assert seen and set(seen) == {(0, 0)}
+    assert done.rows.count() == 900
+    tg.forget(spark, path=target, writer="batch")
+    assert tg.read_table(spark, path=target).count() == 0
+
+
+def test_a_group_whose_job_fails_is_split_and_others_name_their_batches(spark, target, refuse, row_writes):
+    refuse("id % 100 = 37")
+    row_writes.broken = (0, 33, 58)         # 33 is also refused for a row
+    done = tg.insert(spark.range(1000), path=target, batch_size=10, order_by="id")
+    lost = {b for b in range(100) if b % 10 == 3} | {0, 58}
+    assert {r.batch_no for r in done.log.where("not ok").collect()} == lost
+    assert sorted(r.id for r in done.rows.collect()) == [i for i in range(1000) if i // 10 not in lost]
+
+
+def test_rows_that_fail_before_the_last_step_of_the_write(spark, target, refuse, monkeypatch):
+    refuse("id in (37, 81)")
+    failing = sink.table_rows
+    # The rows are shuffled after they failed, where a trial can't name them: groups are split.
+    monkeypatch.setattr(sink, "table_rows", lambda *a, **more: failing(*a, **more).repartition(2))
+    done = tg.insert(spark.range(100), path=target, batch_size=10, order_by="id")
+    assert {r.batch_no for r in done.log.where("not ok").collect()} == {3, 8}
+    assert sorted(r.id for r in done.rows.collect()) == [i for i in range(100) if i // 10 not in (3, 8)]
+
+
+def test_batches_that_the_store_takes_later_are_stored(spark, target, refuse):
+    refuse("id % 100 = 37", times=1 + 8 + 8)    # the epoch and two trials of eight groups
+    done = tg.insert(spark.range(5000), path=target, batch_size=10, order_by="id")
+    assert done.rows.count() == 5000 and done.log.where("not ok").isEmpty()
+
+
+def test_trials_of_columns_with_odd_names(spark, target, refuse):
+    refuse("`a.b` = 37")
+    rows = spark.range(100).selectExpr("id a", "cast(null as string) n", "id b", "id c")
+    done = tg.insert(rows, path=target, batch_size=10, order_by="a", channels="a % 2", schema=[
+        ("_place", "int64"), ("_row", "optional<rstring>"), ("a.b", "int64"), ("x y", "int64")])
+    lost = set(range(21, 40, 2))
+    assert sorted(r[0] for r in done.rows.collect()) == [i for i in range(100) if i not in lost]
+
+
 def test_batches_of_several_channels_in_a_catalog_table(spark, name, refuse):
     refuse("id = 40")
     done = tg.insert(spark.range(100), name, batch_size=7, channels="id % 3", order_by="id")

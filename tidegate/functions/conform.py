@@ -12,6 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +52,16 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def spared(value: Column) -> Column:
+    """``value``, or NULL in rows where evaluating it raises an error, which would else fail the task.
+
+    SQL's own ``try_`` functions are made of this expression, which has no name of its own there.
+    """
+    jvm = SparkContext._active_spark_context._jvm
+    bridge = jvm.org.apache.spark.sql.classic.ExpressionUtils
+    return Column(bridge.column(jvm.org.apache.spark.sql.catalyst.expressions.TryEval(bridge.expression(value._jc))))
+
+
 def _wrap_unsigned(bits: int, target: T.DataType) -> Callable[[Column], Column]:
     """Keep the low bits and read them as two's complement."""
     spare = 64 - bits

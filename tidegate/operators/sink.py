@@ -32,8 +32,8 @@ from ..errors import DrainLimitExceeded, IngestError, InsertFailed, OptionError,
 from ..functions.conform import ColumnPlan, conform, plan_columns, quoted
 from ..functions.types import default_batch_size, split_keys, stream_columns, table_schema
 from ..options import InsertOptions
-from ..sources.tables import (CHANNEL_MARK, EPOCH, INSERTED, KINDS, SHARD, WRITER, TableSpec, TableStore,
-                              check_schema, new_spec)
+from ..sources.tables import (CHANNEL_MARK, EPOCH, INSERTED, KINDS, SHARD, TRIAL_MARK, WRITER, TableSpec,
+                              TableStore, check_schema, new_spec)
 from .batching import (BAD, BATCH, CHANNEL, LOG_SCHEMA, arrival_offsets, batches_from_counts, channel_column,
                        log_from_batches, order_names, summarise_batches, with_batch_numbers)
 from .deadline import Deadline
@@ -336,11 +336,12 @@ def _salvaged(verdict: Verdict | None, rows: DataFrame, plan: InsertPlan, store:
               scratch: str) -> Verdict:
     """After the rows of an epoch could not be stored: store what batches can be, in groups.
 
-    A group that fails is split, down to single batches, so that a batch fails alone; jobs that fail
-    leave nothing. Groups are first tried beside the epoch, many at a time, and what passes is then
-    stored by one job. Keys of one group decide what another stores, so with ``dedupe_on_key``
-    the groups are stored one after the other instead. When nothing was stored for ``DOWN_AFTER``
-    attempts, the store counts as down and the groups left fail as they are.
+    Groups are first tried beside the epoch, many at a time. A trial names the batches that have a row
+    which the writing task can't evaluate, so that the number of jobs does not grow with theirs; a group
+    whose job fails all the same is split, down to single batches, so that a batch fails alone. Jobs that
+    fail leave nothing. What passes is then stored by one job. Keys of one group decide what another
+    stores, so with ``dedupe_on_key`` the groups are stored one after the other instead. When nothing
+    was stored for ``DOWN_AFTER`` attempts, the store counts as down and the groups left fail as they are.
     """
     if verdict is None or BATCH not in verdict.rows.columns:
         verdict = _verdict(None, rows if verdict is None else verdict.rows, [CHANNEL, BATCH], plan,
@@ -353,20 +354,22 @@ def _salvaged(verdict: Verdict | None, rows: DataFrame, plan: InsertPlan, store:
     good = (verdict.rows.join(placed, [CHANNEL, BATCH]).withColumn(PART, F.expr(f"_place div {step}"))
             .repartitionByRange("_place").sortWithinPartitions("_place"))
     good.write.mode("overwrite").partitionBy(PART).parquet(f"{scratch}/good")
-    good = store.spark.read.schema(good.schema).parquet(f"{scratch}/good")
+    schema = good.schema
+    good = store.spark.read.schema(schema).parquet(f"{scratch}/good")
 
-    def within(low: int, high: int) -> DataFrame:
-        return good.where((F.col("_place") >= low) & (F.col("_place") < high)
+    def within(low: int, high: int, copied: str | None = None) -> DataFrame:
+        rows = good if copied is None else store.spark.read.schema(schema).parquet(copied)
+        return rows.where((F.col("_place") >= low) & (F.col("_place") < high)
                           & F.col(PART).between(low // step, (high - 1) // step))
 
     store.drop_epoch("rows", done.writer, done.epoch)
-    lost = [] if plan.options.dedupe_on_key else _failing(n, within, plan, store, done)
-    if lost:
-        ranges = store.spark.createDataFrame(lost, "low long, high long")
-        ranges = ranges.select(F.explode(F.sequence("low", F.col("high") - 1)).alias("_place"))
-        refused, _ = _written(ranges, f"{scratch}/refused")
+    lost, refused, n_refused = [], None, 0
+    if not plan.options.dedupe_on_key:
+        refused, _ = _written(_failing(n, within, plan, store, done, scratch), f"{scratch}/refused")
+        n_refused = refused.count()
+    if n_refused:
         good = good.join(refused, "_place", "left_anti")
-    todo, in_a_row = [(0, n)] if sum(high - low for low, high in lost) < n else [], 0
+    todo, in_a_row = [(0, n)] if n_refused < n else [], 0
     stored = False
     while todo:
         low, high = todo.pop()
@@ -387,11 +390,11 @@ def _salvaged(verdict: Verdict | None, rows: DataFrame, plan: InsertPlan, store:
         store.drop_epoch("rows", done.writer, done.epoch)
         return verdict
     done.error = None
-    if not lost:
+    if not lost and not n_refused:
         return verdict
-    ranges = store.spark.createDataFrame(lost, "low long, high long")
-    ranges = ranges.select(F.explode(F.sequence("low", F.col("high") - 1)).alias("_place")).distinct()
-    failed = placed.join(ranges, "_place").select(CHANNEL, BATCH).withColumn("_lost", F.lit(True))
+    places = _places(store.spark, lost)
+    failed = placed.join((places.union(refused) if n_refused else places).distinct(), "_place")
+    failed = failed.select(CHANNEL, BATCH).withColumn("_lost", F.lit(True))
     batches, totals = _written(
         verdict.batches.join(failed, [CHANNEL, BATCH], "left")
         .withColumn("failed", F.col("failed") | F.coalesce("_lost", F.lit(False))).drop("_lost"),
@@ -407,42 +410,79 @@ def _split(low: int, high: int) -> list[tuple[int, int]]:
     return [(k, min(k + step, high)) for k in reversed(range(low, high, step))]
 
 
-def _failing(n: int, within, plan: InsertPlan, store: TableStore, done: Epoch) -> list[tuple[int, int]]:
-    """The groups of the places 0 to n that can't be stored: single batches, or, when the store is down, what is left.
+def _places(spark, ranges: list[tuple[int, int]]) -> DataFrame:
+    ranges = spark.createDataFrame(ranges, "low long, high long")
+    return ranges.select(F.explode(F.sequence("low", F.col("high") - 1)).alias("_place"))
+
+
+def _failing(n: int, within, plan: InsertPlan, store: TableStore, done: Epoch, scratch: str) -> DataFrame:
+    """Places, of 0 to n, of the batches that can't be stored; when the store is down, of what is left.
 
     Every group is written as an epoch of a writer of its own, which has no log, and dropped again.
     Groups lie one behind the other on a stack, so that few are open, however many batches there are.
+    The batches that a trial names are copied, as the driver may not hold their places, and tried again
+    by themselves, as often as a group can be split, as an error may pass.
     """
-    def stores(low: int, high: int) -> Exception | None:
-        writer = f"{done.writer}{CHANNEL_MARK}.{low}-{high}"
+    spark = store.spark
+    schema = T.StructType([T.StructField("_place", T.LongType())])
+
+    def places_in(folder: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(folder)
+
+    def kept(low: int, high: int, size: int) -> str:
+        return f"{scratch}/{'lost' if size == 1 else f'named{size}'}/{low}-{high}"
+
+    def named(low: int, high: int, size: int, among: str | None, copied: str | None) -> int | Exception:
+        writer = f"{done.writer}{TRIAL_MARK}{low}-{high}"
+        rows = within(low, high, copied)
+        if among is not None:
+            rows = rows.join(places_in(among), "_place", "left_semi")
         try:
-            store.write_epoch("rows", table_rows(within(low, high), plan, store, done), writer, done.epoch)
+            trial = table_rows(rows.withColumn(PART, F.col("_place")), plan, store, done, trial=True)
+            store.write_epoch("rows", trial, writer, done.epoch)
+            found, totals = _written(store.refused(writer, done.epoch), kept(low, high, size), F.count(F.lit(1)).alias("n"))
+            if totals["n"] and size > 1 and copied is None:
+                _written(rows.join(found, "_place", "left_semi"), f"{scratch}/again/{low}-{high}")
+            return totals["n"]
         except Exception as e:
             return e
         finally:
-            store.drop_epoch("rows", writer, done.epoch)
+            store.drop_epoch("tries", writer, done.epoch)
 
-    todo, running, lost, in_a_row = _split(0, n) if n > 1 else [], {}, [], 0
+    # A group: the places from low to high, the size of what it was split into, and, once some of them
+    # were named, the folders of these and of a copy of their rows.
+    todo, running, lost, in_a_row = [], {}, [], 0
+    if n > 1:
+        todo = [(low, high, high - low, None, None) for low, high in _split(0, n)]
     with ThreadPoolExecutor(TRIES_AT_A_TIME) as pool:
         while todo or running:
             while todo and len(running) < TRIES_AT_A_TIME:
-                low, high = todo.pop()
-                running[pool.submit(inheritable_thread_target(store.spark)(stores), low, high)] = low, high
+                group = todo.pop()
+                running[pool.submit(inheritable_thread_target(spark)(named), *group)] = group
             for ended in wait(running, return_when=FIRST_COMPLETED).done:
-                low, high = running.pop(ended)
-                error = ended.result()
-                if error is None:
+                low, high, size, among, copied = running.pop(ended)
+                found, smaller = ended.result(), -(-size // SPLIT)
+                if not isinstance(found, Exception):
                     in_a_row = 0
+                    if found:
+                        log.error("%s of batches %s to %s of epoch %s of %s can't be written", found, low, high - 1, done.epoch, done.writer)
+                        if size > 1:
+                            todo.append((low, high, smaller, kept(low, high, size), copied or f"{scratch}/again/{low}-{high}"))
                     continue
                 if done.out_of_time():
-                    raise error
+                    raise found
                 in_a_row += 1
-                log.error("batches %s to %s of epoch %s of %s were not stored: %s", low, high - 1, done.epoch, done.writer, error)
-                if high - low == 1 or in_a_row > DOWN_AFTER * TRIES_AT_A_TIME:
+                log.error("batches %s to %s of epoch %s of %s were not stored: %s", low, high - 1, done.epoch, done.writer, found)
+                if high - low > 1 and in_a_row <= DOWN_AFTER * TRIES_AT_A_TIME:
+                    todo += [(*part, smaller, among, copied) for part in _split(low, high)]
+                elif among is None:
                     lost.append((low, high))
                 else:
-                    todo += _split(low, high)
-    return lost
+                    _written(places_in(among).where(F.col("_place").between(low, high - 1)), kept(low, high, 1))
+    places = _places(spark, lost)
+    if storage.exists(spark, f"{scratch}/lost"):
+        places = places.union(places_in(f"{scratch}/lost/*"))
+    return places
 
 
 def _nothing_to_reject(df: DataFrame, plan: InsertPlan, evaluate_once: bool) -> bool:
@@ -566,13 +606,14 @@ def _key_straddles(verdict: Verdict, order: list[str]) -> bool:
 
 
 def table_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch,
-               also_own: bool = False) -> DataFrame:
+               also_own: bool = False, trial: bool = False) -> DataFrame:
     """What is written for the accepted rows: converted, laid out, with helper columns.
 
     ``also_own``: rows of this epoch are stored already, whose keys count too.
+    ``trial``: the rows have a ``_part``, which they keep.
     """
     order = tuple(order_names(plan.options.order_columns))
-    converted = conform(rows, plan.columns, (CHANNEL, *order))
+    converted = conform(rows, plan.columns, (CHANNEL, *order, *([PART] if trial else [])))
     if plan.options.dedupe_on_key:
         keys = list(plan.spec.primary_key)
         converted = without_stored_keys(first_per_key(converted, keys, list(order)), converted,
@@ -582,7 +623,7 @@ def table_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch
             converted = anti_join(converted, own.toDF(*key_names(keys)), keys)
     laid_out = lay_out(converted.drop(*order), plan.spec)
     return laid_out.select(*map(quoted, plan.spec.schema.fieldNames()), CHANNEL,
-                           F.spark_partition_id().alias(PART), SHARD)
+                           F.col(PART) if trial else F.spark_partition_id().alias(PART), SHARD)
 
 
 def _write_rows(rows: DataFrame, plan: InsertPlan, store: TableStore, done: Epoch) -> None:

@@ -3,7 +3,7 @@
 Each of the three is partitioned by writer and epoch and every epoch is written by
 replacing its own folder, so an epoch that runs again leaves one copy, and an epoch
 that becomes empty leaves none. The log is written last: an epoch with log rows is
-complete.
+complete. Trials of rows lie beside them and are never read as rows.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from .. import storage
 from ..errors import IngestError, OptionError, SchemaMismatch
+from ..functions.conform import quoted, spared
 from ..functions.types import comparable
 from ..operators.batching import LOG_SCHEMA
 
@@ -30,9 +31,11 @@ HIDDEN = T.StructType([
 ADDRESS = T.StructType([T.StructField(WRITER, T.StringType()), T.StructField(EPOCH, T.LongType())])
 # Between a writer and the channel of it that commits by itself; no writer's name holds it.
 CHANNEL_MARK = ".c"
+# Between a writer and the places of the batches that it tries to store.
+TRIAL_MARK = f"{CHANNEL_MARK}."
 SPEC_PROPERTY = "tidegate.spec"
 # What is stored, in the order in which it goes; the first two are catalog tables.
-KINDS = ("log", "rows", "results", "marks", "keys")
+KINDS = ("log", "rows", "results", "marks", "keys", "tries")
 CATALOGUED = KINDS[:2]
 
 
@@ -174,10 +177,24 @@ class TableStore:
 
     def write_epoch(self, kind: str, df: DataFrame, writer: str, epoch: int,
                     mode: str = "overwrite") -> None:
-        """Replace an epoch, or append to it; what a failed job wrote does not show."""
+        """Replace an epoch, or append to it; what a failed job wrote does not show.
+
+        Rows of a trial go to a folder of their own. One that can't be evaluated does not fail its job
+        there, but is NULL in all columns but ``_part``, which holds the place of its batch.
+        """
+        if kind == "rows" and TRIAL_MARK in writer:
+            kind, part = "tries", HIDDEN["_part"].name
+            row = spared(F.struct(*[quoted(n) for n in df.columns if n != part])).alias("_row")
+            df = df.select(part, row).select(part, "_row.*")
         df.write.mode(mode).parquet(self.epoch_path(kind, writer, epoch))
         self._register(kind, writer, epoch)
 
+    def refused(self, writer: str, epoch: int) -> DataFrame:
+        """Places of the batches of a trial that have a row which can't be evaluated: of a row that was
+        written, the channel is never NULL."""
+        tried = self.spark.read.schema("_part bigint, _channel bigint").parquet(self.epoch_path("tries", writer, epoch))
+        return tried.where("_channel is null").select(F.col("_part").alias("_place")).distinct()
+
     def write_beside(self, kind: str, df: DataFrame, writer: str, epoch: int, partition: str) -> None:
         """Write what belongs to an epoch and is in no catalog, in folders by one column."""
         df.write.mode("overwrite").partitionBy(partition).parquet(self.epoch_path(kind, writer, epoch))
